@@ -1,3 +1,5 @@
 """Importing this module registers every query of the engine."""
 
 from . import registry  # noqa: F401
+from . import q_time  # noqa: F401
+from . import q_analysis  # noqa: F401

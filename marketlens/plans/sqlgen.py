@@ -60,11 +60,11 @@ def stats_sql(prefix: str, where: str | None = None, decimals: int | None = R) -
     return out
 
 
-def trade_volume_cte(step: str = "1 day", name: str = "tv") -> str:
+def trade_volume_cte(step: str = "1 day", name: str = "tv", decimals: int | None = R) -> str:
     """CTE text ending with ``{name}`` = the 35-column wide table."""
-    aggs = ohlc_sql("feed = 'PRICE'")
+    aggs = ohlc_sql("feed = 'PRICE'", decimals)
     for feed, prefix in C.STAT_PREFIX:
-        aggs += stats_sql(prefix, f"feed = '{feed}'")
+        aggs += stats_sql(prefix, f"feed = '{feed}'", decimals)
     having = " AND ".join(f"count(*) FILTER (WHERE feed = '{f}') > 0" for f in C.FEEDS)
     return f"""{rows_sql(step)},
 {name} AS (
@@ -76,3 +76,13 @@ def trade_volume_cte(step: str = "1 day", name: str = "tv") -> str:
 
 def trade_volume(step: str = "1 day") -> str:
     return f"WITH {trade_volume_cte(step)} SELECT * FROM tv"
+
+
+def saved_tv_cte() -> str:
+    """The saved fact table (unrounded, day buckets) as CTE ``tv``."""
+    return trade_volume_cte("1 day", "tv", None)
+
+
+def measures(prefix: str = "") -> list[str]:
+    from ..schemas import MEASURE_COLUMNS
+    return [prefix + c for c in MEASURE_COLUMNS]

@@ -22,7 +22,8 @@ SESSION_DEFAULTS: dict[str, str] = {
 
 def get_session(master: str | None = None, app_name: str = "marketlens",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                driver_memory: str | None = "8g") -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
     The web UI stays off: jobs are non-interactive and open no extra port.
@@ -32,6 +33,8 @@ def get_session(master: str | None = None, app_name: str = "marketlens",
         builder = builder.master(master)
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
+    if driver_memory:   # local mode: the driver JVM is the executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
