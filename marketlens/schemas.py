@@ -94,14 +94,12 @@ def conform(df: DataFrame, schema: T.StructType, *, strict_names: bool = False)
     return df.select(*cols)
 
 
-def quarantine_split(df: DataFrame, schema: T.StructType,
-                     required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Conform ``df`` and split it into (good, bad).
-
-    A row is bad when a required source value is missing, or present but not
-    convertible to the declared type.  Bad rows keep their original columns
-    plus a ``reason``; nothing is silently turned into a NULL row.
-    """
+def quarantine_tag(df: DataFrame, schema: T.StructType, required: list[str] | None = None,
+                   keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Conform ``df`` to ``schema`` and add ``reason``: NULL for a good row,
+    ``missing:<field>`` when a required source value is absent, or
+    ``bad_type:<field>`` when it is present but does not convert.  ``keep``
+    columns pass through unchanged."""
     required = required or [f.name for f in schema.fields]
     by_lower = {c.lower(): c for c in df.columns}
     types = {f.name: f.dataType for f in schema.fields}
@@ -118,9 +116,17 @@ def quarantine_split(df: DataFrame, schema: T.StructType,
         else:
             checks.append(F.when(F.col(src).isNull(), F.lit(f"missing:{c}"))
                           .when(converted(c).isNull(), F.lit(f"bad_type:{c}")))
-    tagged = df.withColumn("_reason", F.coalesce(*checks))
-    good = tagged.where(F.col("_reason").isNull()) \
-        .select(*[converted(f.name).alias(f.name) for f in schema.fields])
-    bad = tagged.where(F.col("_reason").isNotNull()) \
-        .select(*df.columns, F.col("_reason").alias("reason"))
+    return df.select(*keep, *[converted(f.name).alias(f.name) for f in schema.fields],
+                     F.coalesce(*checks).alias("reason"))
+
+
+def quarantine_split(df: DataFrame, schema: T.StructType,
+                     required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): good rows conformed to ``schema``; bad rows keep their
+    original columns plus ``reason``.  Nothing becomes a silent NULL row."""
+    src = [F.col(f"`{c}`").alias(f"_src_{i}") for i, c in enumerate(df.columns)]
+    t = quarantine_tag(df, schema, required, keep=src)
+    good = t.where(F.col("reason").isNull()).select(*[f.name for f in schema.fields])
+    bad = t.where(F.col("reason").isNotNull()).select(
+        *[F.col(f"_src_{i}").alias(c) for i, c in enumerate(df.columns)], "reason")
     return good, bad

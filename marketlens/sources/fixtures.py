@@ -79,3 +79,46 @@ def feed_sql(alias: str = "feed") -> str:
          CASE WHEN feed IN ({book}) THEN CAST(k % 4 AS DOUBLE)
               ELSE CAST(CAST((k + 1) / 10 AS FLOAT) AS DOUBLE) END AS quantity
   FROM {alias}_raw)"""
+
+
+def kafka_records(feed: DataFrame) -> DataFrame:
+    """Feed rows as Kafka records (the source's column layout): JSON value
+    from :func:`marketlens.sinks.kafka.encode_feed`, offset = seq, record
+    time = event time at millisecond precision."""
+    from ..sinks.kafka import encode_feed
+    enc = encode_feed(feed)
+    return enc.select(
+        "key", F.col("value").cast("binary").alias("value"), "topic",
+        F.lit(0).alias("partition"), F.col("seq").alias("offset"),
+        F.timestamp_millis(F.unix_millis("ts")).alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
+def raw_trades(feed: DataFrame) -> DataFrame:
+    """Executed trades as an exchange returns them: text price/quantity, a
+    buyer-is-maker flag (here: even seq) and the trade time."""
+    return feed.where(F.col("feed").isin(*C.TRADE_FEEDS)).select(
+        "seq", "currency",
+        F.col("cost").cast("string").alias("price"),
+        F.col("quantity").cast("string").alias("qty"),
+        (F.col("seq") % 2 == 0).alias("is_buyer_maker"),
+        F.col("ts").alias("ts"))
+
+
+def order_books(feed: DataFrame, snapshot: str = "1 hour") -> DataFrame:
+    """Order-book snapshots as an exchange returns them: per (snapshot
+    window, currency) a ``bids`` array sorted best (highest) first and an
+    ``asks`` array sorted best (lowest) first, levels as text
+    ``struct(price, qty)``.  One snapshot per hour of book rows."""
+    book = feed.where(F.col("feed").isin(*C.BOOK_FEEDS)).withColumn(
+        "snapshot", F.window("ts", snapshot).start)
+    lvl = F.struct("cost", "quantity")
+
+    def as_text(arr):
+        return F.transform(arr, lambda x: F.struct(x["cost"].cast("string").alias("price"),
+                                                   x["quantity"].cast("string").alias("qty")))
+    books = book.groupBy("snapshot", "currency").agg(
+        F.array_sort(F.collect_list(F.when(F.col("feed") == C.BID, lvl))).alias("_b"),
+        F.array_sort(F.collect_list(F.when(F.col("feed") == C.ASK, lvl))).alias("_a"))
+    return books.select("snapshot", "currency", as_text(F.reverse("_b")).alias("bids"),
+                        as_text(F.col("_a")).alias("asks"))
