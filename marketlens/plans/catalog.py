@@ -4,3 +4,4 @@ from . import registry  # noqa: F401
 from . import q_time  # noqa: F401
 from . import q_analysis  # noqa: F401
 from . import q_io  # noqa: F401
+from . import q_feeds  # noqa: F401
