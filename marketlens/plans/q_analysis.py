@@ -11,6 +11,7 @@ from ..schemas import MEASURE_COLUMNS
 from ..sources.fixtures import feed_table
 from . import sqlgen as Q
 from .registry import register
+from .trade_volume import trade_volume_batch
 from .tv import saved_trade_volume
 
 TV = C.TRADE_VOLUME_TABLE
@@ -90,19 +91,10 @@ def q_stamp_columns(spark, sf_dir):
     per-symbol summaries inner-joined on ``currency``, stamped with the batch
     close time and its day."""
     f = feed_table(spark, sf_dir)
-    keys = ("currency",)
-    price = f.where(F.col("feed") == C.PRICE).groupBy(*keys).agg(*S.ohlc_exprs())
-    frames = [price]
-    for feed_name, prefix in C.STAT_PREFIX:
-        rows = f.where(F.col("feed") == feed_name)
-        if feed_name in C.BOOK_FEEDS:
-            rows = rows.select("currency", "cost", "quantity").distinct()
-        frames.append(rows.groupBy(*keys).agg(*S.order_stat_exprs(prefix)))
-    joined = S.join_fold(frames, keys)
     # the batch's processing instant is a parameter of the batch; here it is
     # the batch close time, the latest event instant (one scalar aggregate)
     now = f.agg(F.max(F.col("ts").cast("timestamp_ntz")).alias("now")).first()["now"]
-    stamped = A.stamp_columns(joined, F.lit(now).cast("timestamp_ntz"))
+    stamped = trade_volume_batch(f, now)
     return _rounded(stamped)
 
 
