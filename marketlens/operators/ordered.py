@@ -36,32 +36,37 @@ def _numeric(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
-def with_series_index(df: DataFrame, key: str, order: str | list[str], index: str = "t",
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def with_series_index(df: DataFrame, key: str | list[str], order: str | list[str],
+                      index: str = "t", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``index`` = 0-based position of each row within its ``key`` when
     sorted by ``order`` (the first order column drives chunking; further
-    columns only break ties)."""
+    columns only break ties).  ``key`` may be several columns."""
+    keys = _keys(key)
     orders = [order] if isinstance(order, str) else list(order)
     x = _numeric(df, orders[0])
     base = df.withColumn("_x", x)
-    span = base.groupBy(key).agg(
+    span = base.groupBy(*keys).agg(
         F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
     span = span.withColumn(
         "_width", (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(chunk_rows)) + F.lit(1e-9))
-    chunked = base.join(span.select(key, "_lo", "_width"), key).withColumn(
+    chunked = base.join(span.select(*keys, "_lo", "_width"), keys).withColumn(
         "_chunk", F.floor((F.col("_x") - F.col("_lo")) / F.col("_width")))
-    counts = chunked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_c").over(
-            Window.partitionBy(key).orderBy("_chunk")
+            Window.partitionBy(*keys).orderBy("_chunk")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = Window.partitionBy(key, "_chunk").orderBy(*orders)
-    return (chunked.join(offsets.select(key, "_chunk", "_off"), [key, "_chunk"])
+    local = Window.partitionBy(*keys, "_chunk").orderBy(*orders)
+    return (chunked.join(offsets.select(*keys, "_chunk", "_off"), [*keys, "_chunk"])
             .withColumn(index, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
             .drop("_x", "_lo", "_width", "_chunk", "_off"))
 
 
-def with_lags(df: DataFrame, key: str, index: str, cols: list[str], lags: list[int],
+def with_lags(df: DataFrame, key: str | list[str], index: str, cols: list[str], lags: list[int],
               chunk_rows: int = DEFAULT_CHUNK_ROWS, name: str = "{col}_lag{k}") -> DataFrame:
     """Add ``lag(col, k)`` for every col and k, by position ``index``
     (consecutive 0..n-1 per key, as :func:`with_series_index` gives)."""
@@ -73,7 +78,7 @@ def with_lags(df: DataFrame, key: str, index: str, cols: list[str], lags: list[i
     halo = (F.col(index) % size) >= (size - lmax)
     copies = df.withColumn("_own", part).withColumn(
         "_part", F.explode(F.when(halo, F.array(part, part + 1)).otherwise(F.array(part))))
-    w = Window.partitionBy(key, "_part").orderBy(index)
+    w = Window.partitionBy(*_keys(key), "_part").orderBy(index)
     out = copies.select("*", *[F.lag(c, k).over(w).alias(name.format(col=c, k=k))
                                for c in cols for k in lags])
     return out.where(F.col("_part") == F.col("_own")).drop("_own", "_part")

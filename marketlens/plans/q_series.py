@@ -134,3 +134,17 @@ def q_lag_features(spark, sf_dir):
 def q_ar_linear(spark, sf_dir):
     """Per symbol and feature, a linear autoregression on the last 4 values."""
     return X.ar_linear(saved_trade_volume(spark, sf_dir), FEATURES, WIN)
+
+
+@register("arima_grid", None)
+def q_arima_grid(spark, sf_dir):
+    """ARIMA(p, d, q) search, p, d, q in 0..4, per symbol; least AIC marked."""
+    from ..operators.arima import arima_grid
+    return arima_grid(saved_trade_volume(spark, sf_dir))
+
+
+@register("arima_forecast", None)
+def q_arima_forecast(spark, sf_dir):
+    """Fitted values, residuals and 1000 forecasts of each symbol's best model."""
+    from ..operators.arima import arima_forecast
+    return arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1000)
