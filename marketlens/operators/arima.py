@@ -51,7 +51,7 @@ def _prepare(df: DataFrame, key: str, order: str, value: str, P: int, D: int, Q:
     ylag = with_lags(s, key, "t", ["y"], list(range(1, D + 1))) if D else s
     long = ylag.select(key, "t", "y", F.explode(F.array(*[
         F.struct(F.lit(d).alias("d"), _diff(d).alias("w")) for d in range(D + 1)])).alias("_x")) \
-        .select(key, "t", "y", "_x.d", "_x.w").where(F.col("w").isNotNull())
+        .select(key, "t", "y", "_x.d", "_x.w")      # w is NULL for t < d
     wl = with_lags(long, [key, "d"], "t", ["w"], list(range(1, M + 1)))
     wl = wl.join(counts.select(key, "_n", "_m"), key)
     return wl, M
@@ -62,8 +62,8 @@ def _hannan_rissanen(df, key, order, value, P, D, Q):
     key_type = df.schema[key].dataType.simpleString()
     # step 1: long AR(m) per (key, d)
     cols1 = ["c"] + [f"w_lag{i}" for i in range(1, M + 1)] + ["w"]
-    rows1 = wl.where(F.col("t") >= F.col("d") + F.col("_m")).withColumn("c", F.lit(1.0))
-    g1 = R.gram(rows1, [key, "d", "_m"], cols1)
+    rows1 = wl.withColumn("c", F.lit(1.0))
+    g1 = R.gram(rows1, [key, "d", "_m"], cols1, where=F.col("t") >= F.col("d") + F.col("_m"))
 
     def long_ar(kv, g):
         m = int(kv[2])
@@ -78,8 +78,8 @@ def _hannan_rissanen(df, key, order, value, P, D, Q):
     # residuals of the long AR, then their lags
     e = F.element_at("a", 1) + reduce(lambda x, y: x + y, [
         F.element_at("a", i + 1) * F.coalesce(F.col(f"w_lag{i}"), F.lit(0.0)) for i in range(1, M + 1)])
-    res = wl.join(ar1.where(F.col("a").isNotNull()).select(key, "d", "a"), [key, "d"]).withColumn(
-        "e", F.when(F.col("t") >= F.col("d") + F.col("_m"), F.col("w") - e))
+    res = wl.join(ar1.select(key, "d", "a"), [key, "d"]).withColumn(
+        "e", F.when((F.col("t") >= F.col("d") + F.col("_m")) & F.col("a").isNotNull(), F.col("w") - e))
     el = with_lags(res, [key, "d"], "t", ["e"], list(range(1, Q + 1)))
     return el, ar1, M
 
@@ -126,9 +126,9 @@ def arima_fits(df: DataFrame, key: str = "currency", order: str = "current_time"
                value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4):
     """Every (p, d, q) fit with coefficients, plus the step-2 design rows."""
     el, _, M = _hannan_rissanen(df, key, order, value, max_p, max_d, max_q)
-    rows2 = el.where(F.col("t") >= F.col("d") + F.col("_m") + max_q).withColumn("c", F.lit(1.0))
+    rows2 = el.withColumn("c", F.lit(1.0))
     cols2, solve = _grid_rows(max_p, max_q)
-    g2 = R.gram(rows2, [key, "d"], cols2)
+    g2 = R.gram(rows2, [key, "d"], cols2, where=F.col("t") >= F.col("d") + F.col("_m") + max_q)
     key_type = df.schema[key].dataType.simpleString()
     fits = R.solve_grouped(g2, [key, "d"], len(cols2), solve, f"{key} {key_type}, d int, {GRID_SCHEMA}")
     ok = F.col("status") == "ok"

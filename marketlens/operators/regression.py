@@ -16,12 +16,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def gram(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """``(keys..., i, j, s)`` with ``s = sum(col_i * col_j)`` for ``i <= j``."""
+def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None = None) -> DataFrame:
+    """``(keys..., i, j, s)`` with ``s = sum(col_i * col_j)`` for ``i <= j``.
+
+    ``where`` selects the sample rows; rows outside it contribute zeros, so
+    a key without any sample row still gets an (all-zero) matrix and its
+    solver can report why no fit exists instead of the key vanishing.
+    """
     k = len(cols)
     iu, ju = np.triu_indices(k)
     key_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
@@ -38,7 +43,10 @@ def gram(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
             out.update({"i": iu.astype("int32"), "j": ju.astype("int32"), "s": m[iu, ju]})
             yield pd.DataFrame(out)
 
-    data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
+    def val(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return (F.when(where, v) if where is not None else v).alias(c)
+    data = df.select(*keys, *[val(c) for c in cols])
     partial = data.mapInPandas(run, f"{key_schema}, i int, j int, s double")
     return partial.groupBy(*keys, "i", "j").agg(F.sum("s").alias("s"))
 

@@ -141,7 +141,7 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
         return s.sparkSession.createDataFrame([], f"{key} string, {ADF_SCHEMA}")
     lmax = max(int(lmax), 0)
     lagged = with_lags(s, key, "t", ["y"], list(range(1, lmax + 2)))
-    design = lagged.join(counts.where(F.col("_ml") >= 0), key).select(
+    design = lagged.join(counts, key).select(
         key, "t", "_ml", F.lit(1.0).alias("c"), F.col("y_lag1").alias("ylag"),
         *[(F.col(f"y_lag{i}") - F.col(f"y_lag{i + 1}")).alias(f"dy{i}") for i in range(1, lmax + 1)],
         (F.col("y") - F.col("y_lag1")).alias("dy"))
@@ -152,11 +152,11 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
         return [0, 1] + list(range(2, 2 + lag))
 
     if autolag:
-        g1 = R.gram(design.where(F.col("t") >= F.col("_ml") + 1), [key, "_ml"], cols)
+        g1 = R.gram(design, [key, "_ml"], cols, where=F.col("t") >= F.col("_ml") + 1)
 
         def pick(kv, g):
             best = (float("inf"), None)
-            for lag in range(int(kv[1]) + 1):
+            for lag in range(max(int(kv[1]), -1) + 1):
                 fit = R.ols(g, xs(lag), Y)
                 if "error" in fit:
                     continue
@@ -170,18 +170,26 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
     else:
         chosen = counts.select(key, "_ml", F.col("_ml").alias("_lag"),
                                F.lit(None).cast("double").alias("icbest"))
-    chosen = chosen.where(F.col("_lag") >= 0).drop("_ml")
-    d2 = design.join(chosen.select(key, "_lag"), key).where(F.col("t") >= F.col("_lag") + 1)
-    g2 = R.gram(d2, [key, "_lag"], cols)
+    # a series too short for any fit keeps a row (lag 0, reported as failed)
+    chosen = chosen.withColumn("_lag", F.greatest(F.col("_lag"), F.lit(0))).drop("_ml")
+    d2 = design.join(chosen.select(key, "_lag"), key)
+    g2 = R.gram(d2, [key, "_lag"], cols, where=F.col("t") >= F.col("_lag") + 1)
 
     def final(kv, g):
         lag = int(kv[1])
         fit = R.ols(g, xs(lag), Y)
         if "error" in fit:
-            return [{"adf_stat": None, "pvalue": None, "usedlag": lag, "nobs": int(g[0, 0]),
-                     "crit_1pct": None, "crit_5pct": None, "crit_10pct": None,
+            nobs = int(g[0, 0])
+            crit = adf_crit(nobs) if nobs > 0 else {"1%": None, "5%": None, "10%": None}
+            return [{"adf_stat": None, "pvalue": None, "usedlag": lag, "nobs": nobs,
+                     "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
                      "error": fit["error"]}]
         sigma2 = fit["ssr"] / (fit["nobs"] - fit["k"])
+        if sigma2 <= 0:
+            crit = adf_crit(fit["nobs"])
+            return [{"adf_stat": None, "pvalue": None, "usedlag": lag, "nobs": int(fit["nobs"]),
+                     "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
+                     "error": "perfect fit"}]
         stat = float(fit["b"][1] / math.sqrt(sigma2 * fit["inv"][1, 1]))
         crit = adf_crit(fit["nobs"])
         return [{"adf_stat": stat, "pvalue": adf_pvalue(stat), "usedlag": lag,
@@ -236,16 +244,15 @@ def ar_linear(df: DataFrame, features: list[str], win: int, key: str = "currency
     every row (term 0 = intercept)."""
     s = with_series_index(df.select(key, order, *features), key, order, "t")
     lagged = with_lags(s, key, "t", features, list(range(1, win + 1)))
-    full = lagged.where(F.col("t") >= win)
-    stacked = full.select(key, F.explode(F.array(*[
+    stacked = lagged.select(key, "t", F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"),
                  *[F.col(f"{f}_lag{k}").cast("double").alias(f"l{k}") for k in range(1, win + 1)])
-        for f in features])).alias("_s")).select(key, "_s.*")
-    stacked = stacked.where(F.col("v").isNotNull())
+        for f in features])).alias("_s")).select(key, "t", "_s.*")
+    sample = (F.col("t") >= win) & F.col("v").isNotNull()
     for k in range(1, win + 1):
-        stacked = stacked.where(F.col(f"l{k}").isNotNull())
+        sample = sample & F.col(f"l{k}").isNotNull()
     cols = ["c"] + [f"l{k}" for k in range(1, win + 1)] + ["v"]
-    g = R.gram(stacked.withColumn("c", F.lit(1.0)), [key, "feature"], cols)
+    g = R.gram(stacked.withColumn("c", F.lit(1.0)), [key, "feature"], cols, where=sample)
     K, Y = len(cols), len(cols) - 1
 
     def fit(kv, gm):

@@ -100,12 +100,13 @@ def q_stamp_columns(spark, sf_dir):
 
 def _corr_sql() -> str:
     pairs = A.corr_pairs(list(MEASURE_COLUMNS))
-    aggs = ", ".join(f"corr({a}, {b}) AS \"{a}__{b}\"" for a, b in pairs)
+    aggs = ", ".join(f"CASE WHEN regr_count({a}, {b}) >= 2 THEN corr({a}, {b}) END AS r{i}"
+                     for i, (a, b) in enumerate(pairs))
+    entries = ", ".join(f"{{'col_x': '{a}', 'col_y': '{b}', 'r': r{i}}}" for i, (a, b) in enumerate(pairs))
     return f"""WITH {Q.saved_tv_cte()},
 w AS (SELECT currency, {aggs} FROM tv GROUP BY currency),
-l AS (UNPIVOT w ON COLUMNS(* EXCLUDE (currency)) INTO NAME pair VALUE r)
-SELECT currency, split_part(pair, '__', 1) AS col_x, split_part(pair, '__', 2) AS col_y,
-       round(r, {Q.R}) AS r FROM l"""
+l AS (SELECT currency, unnest([{entries}]) AS e FROM w)
+SELECT currency, e.col_x AS col_x, e.col_y AS col_y, round(e.r, {Q.R}) AS r FROM l"""
 
 
 @register("corr_matrix", _corr_sql())

@@ -37,7 +37,8 @@ lags AS (SELECT unnest(range(0, {nlags + 1})) AS lag),
 ck AS (SELECT a.currency, lags.lag, sum(a.d * b.d) AS ck
        FROM d a CROSS JOIN lags JOIN d b ON b.currency = a.currency AND b.t = a.t - lags.lag
        GROUP BY a.currency, lags.lag),
-acf_ AS (SELECT c0.currency, CAST(lags.lag AS INTEGER) AS lag, ck / c0 AS acf
+acf_ AS (SELECT c0.currency, CAST(lags.lag AS INTEGER) AS lag,
+                CASE WHEN c0 <> 0 THEN ck / c0 END AS acf
          FROM c0 CROSS JOIN lags LEFT JOIN ck ON ck.currency = c0.currency AND ck.lag = lags.lag)"""
 
 
@@ -78,8 +79,8 @@ def _crit_sql(n: str) -> str:
     out = []
     for name, c in X.ADF_CRIT_C.items():
         col = {"1%": "crit_1pct", "5%": "crit_5pct", "10%": "crit_10pct"}[name]
-        out.append(f"round({c[0]!r} + {c[1]!r} / {n} + {c[2]!r} / ({n} * {n}) "
-                   f"+ {c[3]!r} / ({n} * {n} * {n}), {Q.R}) AS {col}")
+        out.append(f"CASE WHEN {n} > 0 THEN round({c[0]!r} + {c[1]!r} / {n} + {c[2]!r} / ({n} * {n}) "
+                   f"+ {c[3]!r} / ({n} * {n} * {n}), {Q.R}) END AS {col}")
     return ", ".join(out)
 
 
@@ -88,10 +89,15 @@ l AS (SELECT currency, y - lag(y) OVER w AS dy, lag(y) OVER w AS ylag
       FROM s WINDOW w AS (PARTITION BY currency ORDER BY t)),
 r AS (SELECT currency, regr_sxx(dy, ylag) AS sxx, regr_syy(dy, ylag) AS syy,
              regr_sxy(dy, ylag) AS sxy, CAST(regr_count(dy, ylag) AS BIGINT) AS n
-      FROM l WHERE ylag IS NOT NULL GROUP BY currency)
-SELECT currency, round((sxy / sxx) / sqrt(((syy - sxy * sxy / sxx) / (n - 2)) / sxx), {Q.R}) AS adf_stat,
-       0 AS usedlag, n AS nobs, {_crit_sql('n')}
-FROM r""")
+      FROM l WHERE ylag IS NOT NULL GROUP BY currency),
+k AS (SELECT DISTINCT currency FROM s),
+a AS (SELECT k.currency, sxx, syy, sxy, coalesce(n, 0) AS n FROM k LEFT JOIN r USING (currency))
+SELECT currency,
+       CASE WHEN n > 2 AND sxx > 0 AND syy - sxy * sxy / sxx > 0
+            THEN round((sxy / sxx) / sqrt(((syy - sxy * sxy / sxx) / (n - 2)) / sxx), {Q.R}) END AS adf_stat,
+       0 AS usedlag, n AS nobs,
+       {_crit_sql('n')}
+FROM a""")
 def q_adf_lag0(spark, sf_dir):
     """Dickey-Fuller regression without augmentation lags (fixed lag 0)."""
     a = X.adf(saved_trade_volume(spark, sf_dir), maxlag=0, autolag=None)

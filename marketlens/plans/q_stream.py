@@ -48,9 +48,17 @@ def _run(spark, df, name):
     return spark.read.schema(df.schema).parquet(out)
 
 
+def watermark_sql(delay: str, feeds=C.FEEDS) -> str:
+    """Final watermark of per-feed watermarks under the ``min`` policy:
+    min over feeds of (latest event instant at millisecond precision) - delay."""
+    names = ", ".join(f"'{n}'" for n in feeds)
+    return (f"(SELECT min(mx) FROM (SELECT date_trunc('millisecond', max(ts)) AS mx FROM feed "
+            f"WHERE feed IN ({names}) GROUP BY feed)) - INTERVAL {delay}")
+
+
 def _closed_tv_sql(step="1 day", delay=DELAY) -> str:
     return f"""WITH {Q.trade_volume_cte(step)}
-SELECT * FROM tv WHERE current_time + INTERVAL {step} <= (SELECT max(ts) FROM feed) - INTERVAL {delay}"""
+SELECT * FROM tv WHERE current_time + INTERVAL {step} <= {watermark_sql(delay)}"""
 
 
 @register("stream_trade_volume", _closed_tv_sql())
@@ -83,7 +91,7 @@ c AS (SELECT currency, {', '.join(Q.ohlc_sql())}, count(*) AS ticks,
              {Q.bucket_sql(CANDLE_STEP)} AS current_time
       FROM feed WHERE feed = 'PRICE' GROUP BY {Q.bucket_sql(CANDLE_STEP)}, currency)
 SELECT * FROM c
-WHERE current_time + INTERVAL {CANDLE_STEP} <= (SELECT max(ts) FROM feed) - INTERVAL {CANDLE_DELAY}""")
+WHERE current_time + INTERVAL {CANDLE_STEP} <= {watermark_sql(CANDLE_DELAY, [C.PRICE])}""")
 def q_stream_candles(spark, sf_dir):
     """Hourly PRICE candles emitted once the watermark closes them."""
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)

@@ -15,6 +15,8 @@ Two equivalent plans are provided:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,20 +43,34 @@ def _finish(df: DataFrame, decimals: int | None) -> DataFrame:
 
 def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
                          require_all: bool = True, decimals: int | None = None,
-                         bucketed: bool = False) -> DataFrame:
+                         bucketed: bool = False, watermark: str | None = None) -> DataFrame:
     """One aggregate over all five feeds.
 
     ``feed``: long feed table ``(seq, ts, us, currency, feed, cost, quantity)``
     (streaming or batch).  ``require_all`` keeps only (bucket, symbol) groups
     present in every feed, exactly like the inner-join fold.
+
+    ``watermark`` (streams): each feed is filtered first and watermarked on
+    its own, so with Spark's default ``min`` policy a window is final once
+    every feed has passed its end plus the delay — the same rule the
+    stream-stream fold join follows.
     """
-    f = feed if bucketed else S.with_bucket(feed, step)
-    is_book = F.col("feed").isin(*C.BOOK_FEEDS)
-    book = S.distinct_levels(f.where(is_book))
-    rest = f.where(~is_book).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
+    fe = F.col("feed")
+    if watermark is not None:
+        def branch(names):
+            return S.with_bucket(feed.where(fe.isin(*names)).withWatermark("ts", watermark), step)
+        book = reduce(lambda a, b: a.unionByName(b),
+                      [S.distinct_levels(branch([n])) for n in C.BOOK_FEEDS])
+        rest = reduce(lambda a, b: a.unionByName(b), [
+            branch([n]).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
+            for n in C.FEEDS if n not in C.BOOK_FEEDS])
+    else:
+        f = feed if bucketed else S.with_bucket(feed, step)
+        is_book = fe.isin(*C.BOOK_FEEDS)
+        book = S.distinct_levels(f.where(is_book))
+        rest = f.where(~is_book).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
     rows = rest.unionByName(book, allowMissingColumns=True)
 
-    fe = F.col("feed")
     aggs: list[Column] = S.ohlc_exprs(fe == C.PRICE)
     for name, prefix in C.STAT_PREFIX:
         aggs += S.order_stat_exprs(prefix, fe == name)

@@ -27,18 +27,28 @@ def watermarked(feed: DataFrame, delay: str) -> DataFrame:
     return feed.withWatermark("ts", delay)
 
 
+def feed_stream(feed: DataFrame, name: str, delay: str) -> DataFrame:
+    """One feed of the long stream, filtered BEFORE its watermark: the
+    watermark then follows that feed's own event time (explicitly, rather
+    than depending on the optimizer pushing the filter below it)."""
+    return watermarked(feed.where(F.col("feed") == name), delay)
+
+
 def stream_trade_volume(feed: DataFrame, step: str = "1 day", delay: str = "1 hour",
                         decimals: int | None = None) -> DataFrame:
-    """One-pass wide row per closed (window, symbol)."""
-    return trade_volume_onepass(watermarked(feed, delay), step, decimals=decimals)
+    """One-pass wide row per (window, symbol), emitted once every feed's
+    watermark has passed the window."""
+    return trade_volume_onepass(feed, step, decimals=decimals, watermark=delay)
 
 
 def stream_feed_join(feed: DataFrame, step: str = "1 day", delay: str = "1 hour",
                      decimals: int | None = None) -> DataFrame:
     """The fold form on a stream: five per-feed windowed aggregates joined
     on (window, symbol) — stream-stream inner joins of aggregates."""
-    f = S.with_bucket(watermarked(feed, delay), step)
-    frames = [S.price_ohlc(f)] + [S.order_stats(f, n, p) for n, p in C.STAT_PREFIX]
+    def bucketed(name):
+        return S.with_bucket(feed_stream(feed, name, delay), step)
+    frames = [S.price_ohlc(bucketed(C.PRICE))] + [
+        S.order_stats(bucketed(n), n, p) for n, p in C.STAT_PREFIX]
     joined = reduce(lambda a, b: a.join(b, list(S.GROUP_KEYS), "inner"), frames)
     from ..plans.trade_volume import _finish
     return _finish(joined, decimals)
@@ -46,14 +56,15 @@ def stream_feed_join(feed: DataFrame, step: str = "1 day", delay: str = "1 hour"
 
 def stream_dedup(feed: DataFrame, step: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Distinct book levels per window; emitted on first sight, state evicted
-    once the watermark passes the window."""
-    f = S.with_bucket(watermarked(feed, delay), step)
-    return S.distinct_levels(f.where(F.col("feed").isin(*C.BOOK_FEEDS)))
+    once the book feeds' watermark passes the window."""
+    levels = [S.distinct_levels(S.with_bucket(feed_stream(feed, n, delay), step))
+              for n in C.BOOK_FEEDS]
+    return reduce(lambda a, b: a.unionByName(b), levels)
 
 
 def stream_candles(feed: DataFrame, step: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """PRICE candles per closed window."""
-    return candles(watermarked(feed, delay), step)
+    """PRICE candles per window, emitted once the PRICE watermark passes it."""
+    return candles(feed_stream(feed, C.PRICE, delay), step)
 
 
 def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "append",
