@@ -59,8 +59,9 @@ def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
     if watermark is not None:
         def branch(names):
             return S.with_bucket(feed.where(fe.isin(*names)).withWatermark("ts", watermark), step)
-        book = reduce(lambda a, b: a.unionByName(b),
-                      [S.distinct_levels(branch([n])) for n in C.BOOK_FEEDS])
+        # one dedup (one state store) over both watermarked book feeds
+        book = S.distinct_levels(reduce(lambda a, b: a.unionByName(b),
+                                        [branch([n]) for n in C.BOOK_FEEDS]))
         rest = reduce(lambda a, b: a.unionByName(b), [
             branch([n]).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
             for n in C.FEEDS if n not in C.BOOK_FEEDS])

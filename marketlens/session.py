@@ -45,13 +45,41 @@ def get_session(master: str | None = None, app_name: str = "marketlens",
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings the engine needs (UTC, AQE, dynamic overwrite)."""
+    """Apply the SQL settings the engine needs (UTC, AQE, dynamic overwrite)
+    and make the package importable by Python workers."""
     for k, v in SESSION_DEFAULTS.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers
+    (``SparkContext.addPyFile`` of a zip of its sources), once per
+    application.  Grouped-map and map-in-pandas functions refer to package
+    functions by module, so workers must be able to import it."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="marketlens-pyfiles-"), "marketlens.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 

@@ -41,17 +41,23 @@ def append_partitioned(df: DataFrame, *, table: str | None = None, path: str | N
         raise ValueError("table or path is required")
 
 
-def compact(spark: SparkSession, table: str, partition_cols=C.PARTITION_COLUMNS) -> DataFrame:
+def compact(spark: SparkSession, table: str, partition_cols=C.PARTITION_COLUMNS,
+            tasks: int | None = None) -> DataFrame:
     """Rewrite every partition of ``table`` in place with one file each.
 
     Keeps every row (no deduplication).  Dynamic partition overwrite replaces
     only the partitions present in the rewritten data; reading and
-    overwriting the same table is allowed in that mode.
+    overwriting the same table is allowed in that mode.  The rewrite is
+    hash-clustered by partition into ``tasks`` tasks (default: the cluster's
+    parallelism): a table has many small partitions, so the write is bound by
+    files per task, not bytes, and must not be coalesced into a few tasks.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    data = spark.table(table)
+    n = tasks or spark.sparkContext.defaultParallelism
     cols = spark.table(table).columns
-    data.select(*cols).repartition(*partition_cols).write.mode("overwrite").insertInto(table)
+    spark.table(table).select(*cols).repartition(n, *partition_cols) \
+        .write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 

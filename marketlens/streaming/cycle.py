@@ -19,7 +19,8 @@ from .microbatch import idempotent_append
 def run_cycle(spark: SparkSession, stream: DataFrame, *, table: str, checkpoint: str,
               step: str = "1 day", delay: str = "1 hour",
               minutes: float | None = C.RUN_CYCLE_MINUTES, available_now: bool = False,
-              interval_seconds: int = C.MICROBATCH_SECONDS) -> DataFrame:
+              interval_seconds: int = C.MICROBATCH_SECONDS,
+              partitions: int | None = None) -> DataFrame:
     """Append closed event-time windows of the wide row to ``table`` until
     ``minutes`` pass (or, with ``available_now``, the input is consumed),
     then compact every partition of the table in place."""
@@ -29,7 +30,11 @@ def run_cycle(spark: SparkSession, stream: DataFrame, *, table: str, checkpoint:
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{interval_seconds} seconds")
-    q = w.start()
+    from .event_time import state_partitions
+    with state_partitions(spark, partitions):
+        q = w.start()
+        while q.isActive and q.lastProgress is None:
+            q.awaitTermination(1)
     try:
         if available_now:
             q.awaitTermination()

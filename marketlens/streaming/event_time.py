@@ -9,6 +9,7 @@ struct so it is evicted with the window.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -57,9 +58,9 @@ def stream_feed_join(feed: DataFrame, step: str = "1 day", delay: str = "1 hour"
 def stream_dedup(feed: DataFrame, step: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Distinct book levels per window; emitted on first sight, state evicted
     once the book feeds' watermark passes the window."""
-    levels = [S.distinct_levels(S.with_bucket(feed_stream(feed, n, delay), step))
-              for n in C.BOOK_FEEDS]
-    return reduce(lambda a, b: a.unionByName(b), levels)
+    book = reduce(lambda a, b: a.unionByName(b),
+                  [S.with_bucket(feed_stream(feed, n, delay), step) for n in C.BOOK_FEEDS])
+    return S.distinct_levels(book)
 
 
 def stream_candles(feed: DataFrame, step: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -67,8 +68,27 @@ def stream_candles(feed: DataFrame, step: str = "1 hour", delay: str = "10 minut
     return candles(feed_stream(feed, C.PRICE, delay), step)
 
 
+@contextmanager
+def state_partitions(spark, n: int | None):
+    """Scope the number of shuffle (= state store) partitions a streaming
+    query is started with.  The value is recorded in the query's checkpoint
+    at its first batch, so it only matters when a query starts fresh; it
+    should follow the cluster size, not a session default such as 200
+    (every micro-batch commits every state partition of every stateful
+    operator)."""
+    if n is None:
+        n = spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "append",
-                 available_now: bool = True, name: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, name: str | None = None,
+                 partitions: int | None = None) -> StreamingQuery:
     """Run a streaming DataFrame into a parquet file sink (exactly-once via the
     sink's log and the checkpoint) until the available input is consumed."""
     w = df.writeStream.format("parquet").option("path", out) \
@@ -76,6 +96,11 @@ def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "appen
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w
-    q = w.start()
-    q.awaitTermination()
+    with state_partitions(df.sparkSession, partitions):
+        q = w.start()
+        if available_now:
+            q.awaitTermination()
+        else:
+            while q.isActive and q.lastProgress is None:   # first batch fixes the layout
+                q.awaitTermination(1)
     return q

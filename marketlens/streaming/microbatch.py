@@ -76,7 +76,8 @@ def parity_transform(stamp: str = "processing"):
 
 def start_parity(stream: DataFrame, spark: SparkSession, *, checkpoint: str,
                  table: str | None = None, path: str | None = None, stamp: str = "processing",
-                 interval_seconds: int = C.MICROBATCH_SECONDS, available_now: bool = False):
+                 interval_seconds: int = C.MICROBATCH_SECONDS, available_now: bool = False,
+                 partitions: int | None = None):
     """Start the parity-mode query: one summary per micro-batch, appended to
     the fact table.  ``available_now`` consumes what is there and stops."""
     fn = idempotent_append(spark, table=table, path=path, log=f"{checkpoint.rstrip('/')}/_batches",
@@ -84,4 +85,9 @@ def start_parity(stream: DataFrame, spark: SparkSession, *, checkpoint: str,
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{interval_seconds} seconds")
-    return w.start()
+    from .event_time import state_partitions
+    with state_partitions(spark, partitions):
+        q = w.start()
+        while q.isActive and q.lastProgress is None:
+            q.awaitTermination(1)
+    return q
