@@ -65,9 +65,11 @@ def ohlc_exprs(cond: Column | None = None) -> list[Column]:
     ]
 
 
-def order_stat_exprs(prefix: str, cond: Column | None = None) -> list[Column]:
+def order_stat_exprs(prefix: str, cond: Column | None = None, *,
+                     cost: Column | None = None, qty: Column | None = None) -> list[Column]:
     """The seven statistics of a book/trade feed (sample stddev/variance)."""
-    cost, qty = _masked("cost", cond), _masked("quantity", cond)
+    cost = cost if cost is not None else _masked("cost", cond)
+    qty = qty if qty is not None else _masked("quantity", cond)
     return [
         F.avg(cost).alias(f"{prefix}_avg_cost"),
         F.stddev_samp(cost).alias(f"{prefix}_std_cost"),

@@ -6,11 +6,12 @@ Two equivalent plans are provided:
 * :func:`trade_volume_fold` — five per-feed aggregates joined on
   ``(window, currency)`` by an inner-join fold (the reference semantics: a
   symbol missing from any feed disappears).
-* :func:`trade_volume_onepass` — a single aggregate over the long feed table
-  with per-feed conditional aggregates and a presence predicate.  Only the
-  book rows pass through the distinct step; everything else goes straight to
-  the partial aggregate, so the plan has one dedup exchange (book rows only)
-  and one tiny exchange after partial aggregation, and no join.
+* :func:`trade_volume_onepass` — one scan of the long feed table and no
+  join: a first aggregate reduces book rows to distinct levels and every
+  other feed to one partial summary per (window, currency, feed) (map-side
+  partials, one exchange), a second one builds the wide row from that
+  reduced data, and a presence predicate keeps the groups present in every
+  feed.
 """
 
 from __future__ import annotations
@@ -44,7 +45,11 @@ def _finish(df: DataFrame, decimals: int | None) -> DataFrame:
 def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
                          require_all: bool = True, decimals: int | None = None,
                          bucketed: bool = False, watermark: str | None = None) -> DataFrame:
-    """One aggregate over all five feeds.
+    """The wide row from ONE pass over the long feed table, without joins.
+
+    Batch: one scan and two aggregates (:func:`_one_scan`); streams: book
+    levels deduplicated, then a single conditional aggregate
+    (:func:`_single_aggregate`, one state store per stateful step).
 
     ``feed``: long feed table ``(seq, ts, us, currency, feed, cost, quantity)``
     (streaming or batch).  ``require_all`` keeps only (bucket, symbol) groups
@@ -56,30 +61,84 @@ def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
     stream-stream fold join follows.
     """
     fe = F.col("feed")
-    if watermark is not None:
+    if watermark is not None or feed.isStreaming:
         def branch(names):
-            return S.with_bucket(feed.where(fe.isin(*names)).withWatermark("ts", watermark), step)
+            rows = feed.where(fe.isin(*names))
+            rows = rows.withWatermark("ts", watermark) if watermark is not None else rows
+            return rows if bucketed else S.with_bucket(rows, step)
         # one dedup (one state store) over both watermarked book feeds
         book = S.distinct_levels(reduce(lambda a, b: a.unionByName(b),
                                         [branch([n]) for n in C.BOOK_FEEDS]))
         rest = reduce(lambda a, b: a.unionByName(b), [
             branch([n]).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
             for n in C.FEEDS if n not in C.BOOK_FEEDS])
+        rows = rest.unionByName(book, allowMissingColumns=True)
+        out = _single_aggregate(rows)
     else:
-        f = feed if bucketed else S.with_bucket(feed, step)
-        is_book = fe.isin(*C.BOOK_FEEDS)
-        book = S.distinct_levels(f.where(is_book))
-        rest = f.where(~is_book).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
-    rows = rest.unionByName(book, allowMissingColumns=True)
+        out = _one_scan(feed if bucketed else S.with_bucket(feed, step))
+    if require_all:
+        out = out.where(F.least(*[F.col(f"_n_{n}") for n in C.FEEDS]) > 0)
+    return _finish(out, decimals)
+
 
+def _single_aggregate(rows: DataFrame) -> DataFrame:
+    """One stateful aggregate with per-feed conditional functions (streams:
+    one state store keyed by (window, currency))."""
+    fe = F.col("feed")
     aggs: list[Column] = S.ohlc_exprs(fe == C.PRICE)
     for name, prefix in C.STAT_PREFIX:
         aggs += S.order_stat_exprs(prefix, fe == name)
     aggs += [F.count_if(fe == name).alias(f"_n_{name}") for name in C.FEEDS]
-    out = rows.groupBy(*S.GROUP_KEYS).agg(*aggs)
-    if require_all:
-        out = out.where(F.least(*[F.col(f"_n_{n}") for n in C.FEEDS]) > 0)
-    return _finish(out, decimals)
+    return rows.groupBy(*S.GROUP_KEYS).agg(*aggs)
+
+
+def _one_scan(f: DataFrame) -> DataFrame:
+    """Batch form: ONE scan, two aggregates.
+
+    1. Raw rows are grouped by ``(window, currency, feed, level_cost,
+       level_qty)``, the level columns being set for book rows only: book
+       rows collapse to their distinct levels (the dedup) and every other
+       feed to one partial summary per (window, currency, feed) — ten
+       unmasked functions per row, all with map-side partial aggregation,
+       so a hot symbol or level is collapsed before the exchange.
+    2. The reduced rows (distinct levels + one row per other feed) are
+       aggregated per (window, currency) with feed-masked functions.
+
+    Sample stddev of the pre-aggregated feeds is ``sqrt(var_samp)``, exactly
+    how Spark's ``stddev_samp`` evaluates.
+    """
+    fe = F.col("feed")
+    is_book = fe.isin(*C.BOOK_FEEDS)
+    key = F.when(fe == C.PRICE, S.order_key())
+    stage1 = f.groupBy(*S.GROUP_KEYS, "feed",
+                       F.when(is_book, F.col("cost")).alias("level_cost"),
+                       F.when(is_book, F.col("quantity")).alias("level_qty")).agg(
+        F.min_by("cost", key).alias("first_cost"), F.max_by("cost", key).alias("last_cost"),
+        F.max("cost").alias("max_cost"), F.min("cost").alias("min_cost"),
+        F.avg("cost").alias("avg_cost"), F.var_samp("cost").alias("var_cost"),
+        F.sum("quantity").alias("sum_quantity"), F.avg("quantity").alias("avg_quantity"),
+        F.var_samp("quantity").alias("var_quantity"))
+
+    def one(name: str, col: str) -> Column:        # the single row of a non-book feed
+        return F.max(F.when(fe == name, F.col(col)))
+
+    def lv(name: str, col: str) -> Column:         # the distinct levels of a book feed
+        return F.when(fe == name, F.col(col))
+    aggs = [one(C.PRICE, c).alias(c) for c in ("first_cost", "last_cost", "max_cost", "min_cost")]
+    for name, prefix in C.STAT_PREFIX:
+        if name in C.BOOK_FEEDS:
+            aggs += S.order_stat_exprs(prefix, None, cost=lv(name, "level_cost"),
+                                       qty=lv(name, "level_qty"))
+        else:
+            aggs += [one(name, "avg_cost").alias(f"{prefix}_avg_cost"),
+                     F.sqrt(one(name, "var_cost")).alias(f"{prefix}_std_cost"),
+                     one(name, "var_cost").alias(f"{prefix}_var_cost"),
+                     one(name, "sum_quantity").alias(f"{prefix}_sum_quantity"),
+                     one(name, "avg_quantity").alias(f"{prefix}_avg_quantity"),
+                     F.sqrt(one(name, "var_quantity")).alias(f"{prefix}_std_quantity"),
+                     one(name, "var_quantity").alias(f"{prefix}_var_quantity")]
+    aggs += [F.count_if(fe == name).alias(f"_n_{name}") for name in C.FEEDS]
+    return stage1.groupBy(*S.GROUP_KEYS).agg(*aggs)
 
 
 def trade_volume_fold(feed: DataFrame, step: str = "1 day", *,
