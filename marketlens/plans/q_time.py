@@ -80,3 +80,18 @@ def q_hour_grid(spark, sf_dir):
     ev = feed_table(spark, sf_dir).select(F.lit(None).cast("timestamp_ntz").alias("_a"),
                                           F.col("ts").cast("timestamp_ntz").alias("_b"))
     return G.hour_grid(tv.unionByName(ev), "_a", "_b")
+
+
+@register("hour_grid_days", f"""WITH {Q.saved_tv_cte()},
+lim AS (SELECT (SELECT date_trunc('hour', min(current_time)) FROM tv) AS h0,
+               (SELECT date_trunc('hour', max(ts)) FROM feed) AS h1)
+SELECT unnest(generate_series(h0, h0 + to_days(CAST(floor(epoch(h1 - h0) / 86400) AS INTEGER)),
+                              INTERVAL 1 HOUR)) AS hour FROM lim""")
+def q_hour_grid_days(spark, sf_dir):
+    """Hourly points over the whole days of the span plus the start point
+    (days * 24 + 1 points, the count the reference script prints)."""
+    tv = saved_trade_volume(spark, sf_dir).select(F.col("current_time").alias("_a"),
+                                                  F.lit(None).cast("timestamp_ntz").alias("_b"))
+    ev = feed_table(spark, sf_dir).select(F.lit(None).cast("timestamp_ntz").alias("_a"),
+                                          F.col("ts").cast("timestamp_ntz").alias("_b"))
+    return G.hour_grid(tv.unionByName(ev), "_a", "_b", whole_days=True)

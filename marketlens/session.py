@@ -23,12 +23,14 @@ SESSION_DEFAULTS: dict[str, str] = {
 def get_session(master: str | None = None, app_name: str = "marketlens",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None,
-                driver_memory: str | None = "8g") -> SparkSession:
+                driver_memory: str | None = "8g", hive: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
     The web UI stays off: jobs are non-interactive and open no extra port.
     """
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if hive:   # the cluster's shared metastore, as configured in its spark-defaults
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for k, v in SESSION_DEFAULTS.items():

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
-from ..sinks.orc import compact
+from ..sinks.orc import compact, create_database
 from .event_time import stream_trade_volume
 from .microbatch import idempotent_append
 
@@ -24,6 +24,8 @@ def run_cycle(spark: SparkSession, stream: DataFrame, *, table: str, checkpoint:
     """Append closed event-time windows of the wide row to ``table`` until
     ``minutes`` pass (or, with ``available_now``, the input is consumed),
     then compact every partition of the table in place."""
+    if "." in table:
+        create_database(spark, table.split(".")[0])
     rows = stream_trade_volume(stream, step, delay)
     fn = idempotent_append(spark, table=table, log=f"{checkpoint.rstrip('/')}/_batches")
     w = rows.writeStream.outputMode("append").foreachBatch(fn) \
