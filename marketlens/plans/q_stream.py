@@ -56,9 +56,16 @@ def watermark_sql(delay: str, feeds=C.FEEDS) -> str:
             f"WHERE feed IN ({names}) GROUP BY feed)) - INTERVAL {delay}")
 
 
-def _closed_tv_sql(step="1 day", delay=DELAY) -> str:
+def stream_watermark_sql(delay: str) -> str:
+    """Final watermark of one stream: latest event instant (millisecond
+    precision) minus the delay."""
+    return f"(SELECT date_trunc('millisecond', max(ts)) FROM feed) - INTERVAL {delay}"
+
+
+def _closed_tv_sql(step="1 day", delay=DELAY, per_feed=False) -> str:
+    wm = watermark_sql(delay) if per_feed else stream_watermark_sql(delay)
     return f"""WITH {Q.trade_volume_cte(step)}
-SELECT * FROM tv WHERE current_time + INTERVAL {step} <= {watermark_sql(delay)}"""
+SELECT * FROM tv WHERE current_time + INTERVAL {step} <= {wm}"""
 
 
 @register("stream_trade_volume", _closed_tv_sql())
@@ -68,7 +75,7 @@ def q_stream_trade_volume(spark, sf_dir):
     return _rounded(_run(spark, E.stream_trade_volume(s, "1 day", DELAY), "stream_tv"))
 
 
-@register("stream_feed_join", _closed_tv_sql())
+@register("stream_feed_join", _closed_tv_sql(per_feed=True))
 def q_stream_feed_join(spark, sf_dir):
     """Five windowed feed summaries joined stream-to-stream on (window, symbol)."""
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)

@@ -16,7 +16,6 @@ Two equivalent plans are provided:
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,51 +46,27 @@ def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
                          bucketed: bool = False, watermark: str | None = None) -> DataFrame:
     """The wide row from ONE pass over the long feed table, without joins.
 
-    Batch: one scan and two aggregates (:func:`_one_scan`); streams: book
-    levels deduplicated, then a single conditional aggregate
-    (:func:`_single_aggregate`, one state store per stateful step).
+    One scan and two aggregates (:func:`_one_scan`), in batch and on streams.
+
+    ``watermark`` (streams): one watermark on the merged feed stream; the
+    first aggregate's state holds the distinct book levels and per-feed
+    partials of open windows and is evicted when a window closes, the second
+    emits the wide row in the same batch.
 
     ``feed``: long feed table ``(seq, ts, us, currency, feed, cost, quantity)``
     (streaming or batch).  ``require_all`` keeps only (bucket, symbol) groups
     present in every feed, exactly like the inner-join fold.
-
-    ``watermark`` (streams): each feed is filtered first and watermarked on
-    its own, so with Spark's default ``min`` policy a window is final once
-    every feed has passed its end plus the delay — the same rule the
-    stream-stream fold join follows.
     """
-    fe = F.col("feed")
-    if watermark is not None or feed.isStreaming:
-        def branch(names):
-            rows = feed.where(fe.isin(*names))
-            rows = rows.withWatermark("ts", watermark) if watermark is not None else rows
-            return rows if bucketed else S.with_bucket(rows, step)
-        # one dedup (one state store) over both watermarked book feeds
-        book = S.distinct_levels(reduce(lambda a, b: a.unionByName(b),
-                                        [branch([n]) for n in C.BOOK_FEEDS]))
-        rest = reduce(lambda a, b: a.unionByName(b), [
-            branch([n]).select(*S.GROUP_KEYS, "feed", "cost", "quantity", "us", "seq")
-            for n in C.FEEDS if n not in C.BOOK_FEEDS])
-        rows = rest.unionByName(book, allowMissingColumns=True)
-        out = _single_aggregate(rows)
-    else:
-        out = _one_scan(feed if bucketed else S.with_bucket(feed, step))
+    if feed.isStreaming and watermark is None:
+        raise ValueError("a streaming feed needs a watermark delay")
+    if watermark is not None:
+        feed = feed.withWatermark("ts", watermark)
+    out = _one_scan(feed if bucketed else S.with_bucket(feed, step))
     if require_all:
         out = out.where(F.least(*[F.col(f"_n_{n}") for n in C.FEEDS]) > 0)
     return _finish(out, decimals)
 
 
-def _single_aggregate(rows: DataFrame) -> DataFrame:
-    """One stateful aggregate with per-feed conditional functions (streams:
-    one state store keyed by (window, currency))."""
-    fe = F.col("feed")
-    aggs: list[Column] = S.ohlc_exprs(fe == C.PRICE)
-    for name, prefix in C.STAT_PREFIX:
-        aggs += S.order_stat_exprs(prefix, fe == name)
-    aggs += [F.count_if(fe == name).alias(f"_n_{name}") for name in C.FEEDS]
-    return rows.groupBy(*S.GROUP_KEYS).agg(*aggs)
-
-
 def _one_scan(f: DataFrame) -> DataFrame:
     """Batch form: ONE scan, two aggregates.
 

@@ -37,15 +37,19 @@ def feed_stream(feed: DataFrame, name: str, delay: str) -> DataFrame:
 
 def stream_trade_volume(feed: DataFrame, step: str = "1 day", delay: str = "1 hour",
                         decimals: int | None = None) -> DataFrame:
-    """One-pass wide row per (window, symbol), emitted once every feed's
-    watermark has passed the window."""
+    """One-pass wide row per (window, symbol) from one read of each
+    micro-batch, emitted once the stream's watermark (latest event - delay)
+    passes the window."""
     return trade_volume_onepass(feed, step, decimals=decimals, watermark=delay)
 
 
 def stream_feed_join(feed: DataFrame, step: str = "1 day", delay: str = "1 hour",
                      decimals: int | None = None) -> DataFrame:
-    """The fold form on a stream: five per-feed windowed aggregates joined
-    on (window, symbol) — stream-stream inner joins of aggregates."""
+    """The fold form on a stream: five feed streams, each with its own
+    watermark (as five subscriptions would have), aggregated per window and
+    joined on (window, symbol) — stream-stream inner joins of aggregates.
+    Under the default ``min`` policy a row is final once every feed has
+    passed the window end plus the delay."""
     def bucketed(name):
         return S.with_bucket(feed_stream(feed, name, delay), step)
     frames = [S.price_ohlc(bucketed(C.PRICE))] + [
@@ -58,9 +62,8 @@ def stream_feed_join(feed: DataFrame, step: str = "1 day", delay: str = "1 hour"
 def stream_dedup(feed: DataFrame, step: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Distinct book levels per window; emitted on first sight, state evicted
     once the book feeds' watermark passes the window."""
-    book = reduce(lambda a, b: a.unionByName(b),
-                  [S.with_bucket(feed_stream(feed, n, delay), step) for n in C.BOOK_FEEDS])
-    return S.distinct_levels(book)
+    book = watermarked(feed.where(F.col("feed").isin(*C.BOOK_FEEDS)), delay)
+    return S.distinct_levels(S.with_bucket(book, step))
 
 
 def stream_candles(feed: DataFrame, step: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
