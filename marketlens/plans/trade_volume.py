@@ -127,21 +127,18 @@ def trade_volume_fold(feed: DataFrame, step: str = "1 day", *,
 def trade_volume_batch(feed: DataFrame, now, *, decimals: int | None = None) -> DataFrame:
     """Reference micro-batch semantics: the whole input is one batch.
 
-    Five per-symbol summaries (book levels distinct within the batch) are
-    inner-joined on ``currency`` and stamped with ``now`` (the batch's
-    processing instant, a Column or literal) and its day.
+    The per-symbol summaries of the five feeds (book levels distinct within
+    the batch), kept for symbols present in every feed — the same single-scan
+    plan as :func:`trade_volume_onepass` with one bucket for the batch —
+    stamped with ``now`` (the batch's processing instant, a Column or
+    literal) and its day.
     """
     from ..operators.analysis import stamp_columns
-    keys = ("currency",)
-    frames = [feed.where(F.col("feed") == C.PRICE).groupBy(*keys).agg(*S.ohlc_exprs())]
-    for name, prefix in C.STAT_PREFIX:
-        rows = feed.where(F.col("feed") == name)
-        if name in C.BOOK_FEEDS:
-            rows = rows.select("currency", "cost", "quantity").distinct()
-        frames.append(rows.groupBy(*keys).agg(*S.order_stat_exprs(prefix)))
-    joined = S.join_fold(frames, keys)
+    one_bucket = feed.withColumn("window", F.lit(None).cast("struct<start:timestamp,end:timestamp>"))
+    out = _one_scan(one_bucket)
+    out = out.where(F.least(*[F.col(f"_n_{n}") for n in C.FEEDS]) > 0)
     now_col = now if isinstance(now, Column) else F.lit(now)
-    out = stamp_columns(joined, now_col.cast("timestamp_ntz"))
+    out = stamp_columns(out.select("currency", *MEASURE_COLUMNS), now_col.cast("timestamp_ntz"))
     if decimals is not None:
         out = out.select(*[F.round(c, decimals).alias(c) if c in MEASURE_COLUMNS else F.col(c)
                            for c in out.columns])
