@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import analysis as A
-from ..operators import stats as S
 from ..schemas import MEASURE_COLUMNS
 from ..sources.fixtures import feed_table
 from . import sqlgen as Q
@@ -71,18 +70,16 @@ def q_candle_body(spark, sf_dir):
 
 
 def _stamp_sql() -> str:
-    book = ", ".join(f"'{x}'" for x in C.BOOK_FEEDS)
     parts = [f"p AS (SELECT currency, {', '.join(Q.ohlc_sql())} FROM feed WHERE feed = 'PRICE' GROUP BY currency)"]
     for feed_name, prefix in C.STAT_PREFIX:
         src = (f"(SELECT DISTINCT currency, cost, quantity FROM feed WHERE feed = '{feed_name}')"
                if feed_name in C.BOOK_FEEDS else f"(SELECT * FROM feed WHERE feed = '{feed_name}')")
         parts.append(f"{prefix}_s AS (SELECT currency, {', '.join(Q.stats_sql(prefix))} FROM {src} GROUP BY currency)")
     joins = "p" + "".join(f" JOIN {p}_s USING (currency)" for _, p in C.STAT_PREFIX)
-    del book
-    return f"""WITH {Q.feed_sql()}, {', '.join(parts)},
-now_ AS (SELECT max(ts) AS now FROM feed)
-SELECT * EXCLUDE (now), now AS current_time, CAST(now AS DATE) AS current_day
-FROM {joins}, now_"""
+    return f"""WITH {Q.feed_sql()}, {', '.join(parts)}
+SELECT *, (SELECT max(ts) FROM feed) AS current_time,
+       CAST((SELECT max(ts) FROM feed) AS DATE) AS current_day
+FROM {joins}"""
 
 
 @register("stamp_columns", _stamp_sql())

@@ -33,13 +33,13 @@ def _acf_cte(nlags: int = NLAGS) -> str:
 m AS (SELECT currency, avg(y) AS mu FROM s GROUP BY currency),
 d AS (SELECT s.currency, t, y - mu AS d FROM s JOIN m USING (currency)),
 c0 AS (SELECT currency, sum(d * d) AS c0 FROM d GROUP BY currency),
-lags AS (SELECT unnest(range(0, {nlags + 1})) AS lag),
-ck AS (SELECT a.currency, lags.lag, sum(a.d * b.d) AS ck
-       FROM d a CROSS JOIN lags JOIN d b ON b.currency = a.currency AND b.t = a.t - lags.lag
-       GROUP BY a.currency, lags.lag),
-acf_ AS (SELECT c0.currency, CAST(lags.lag AS INTEGER) AS lag,
+ck AS (SELECT a.currency, a.t - b.t AS lag, sum(a.d * b.d) AS ck
+       FROM d a JOIN d b ON b.currency = a.currency AND b.t <= a.t AND a.t - b.t <= {nlags}
+       GROUP BY a.currency, a.t - b.t),
+grid AS (SELECT currency, c0, unnest(range(0, {nlags + 1})) AS lag FROM c0),
+acf_ AS (SELECT grid.currency, CAST(grid.lag AS INTEGER) AS lag,
                 CASE WHEN c0 <> 0 THEN ck / c0 END AS acf
-         FROM c0 CROSS JOIN lags LEFT JOIN ck ON ck.currency = c0.currency AND ck.lag = lags.lag)"""
+         FROM grid LEFT JOIN ck ON ck.currency = grid.currency AND ck.lag = grid.lag)"""
 
 
 @register("acf", f"WITH {_acf_cte()} SELECT currency, lag, round(acf, {Q.R}) AS acf FROM acf_")
