@@ -17,7 +17,8 @@ from . import config as C
 def _session(args):
     from .session import get_session, shared_dir
     spark = get_session(args.master, app_name=f"marketlens-{args.command}",
-                        driver_memory=None if not args.master else "8g", hive=args.hive)
+                        driver_memory=None if not args.master else "8g", hive=args.hive,
+                        profile="local" if args.master and args.master.startswith("local") else "cluster")
     shared_dir(spark)
     return spark
 

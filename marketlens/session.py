@@ -20,10 +20,25 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
+# Settings for large clusters (applied by ``get_session(profile="cluster")``):
+# bigger scan splits, byte-sized shuffle partitions after AQE coalescing, and
+# the RocksDB state store (state off the JVM heap, changelog checkpoints) for
+# long-running event-time queries.
+CLUSTER_SETTINGS: dict[str, str] = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "marketlens",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None,
-                driver_memory: str | None = "8g", hive: bool = False) -> SparkSession:
+                driver_memory: str | None = "8g", hive: bool = False,
+                profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
     The web UI stays off: jobs are non-interactive and open no extra port.
@@ -35,6 +50,9 @@ def get_session(master: str | None = None, app_name: str = "marketlens",
         builder = builder.master(master)
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
+    if profile == "cluster":
+        for k, v in CLUSTER_SETTINGS.items():
+            builder = builder.config(k, v)
     if driver_memory:   # local mode: the driver JVM is the executor
         builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:

@@ -69,3 +69,26 @@ def test_filter_symbols_long_list_uses_semi_join(spark):
     got = sorted(r.currency for r in FD.filter_symbols(df, many).collect())
     assert got == ["A", "C"]
     assert FD.parse_symbols(" A, B,,C ") == ["A", "B", "C"]
+
+
+def test_in_time_range_and_latest_ties(spark):
+    from conftest import feed_rows
+    rows = feed_rows(spark, [
+        (1, "2024-01-01 00:00:00", "A", "PRICE", 1.0, None),
+        (2, "2024-01-01 00:00:05", "A", "PRICE", 2.0, None),
+        (3, "2024-01-01 00:00:10", "A", "PRICE", 3.0, None),
+        (4, "2024-01-01 00:00:10", "A", "PRICE", 4.0, None),   # same instant, later seq
+        (5, "2024-01-01 00:00:11", "B", "SELL", 5.0, 1.0),
+    ])
+    end = F.to_timestamp(F.lit("2024-01-01 00:00:10"))
+    got = sorted(r.seq for r in FD.in_time_range(rows, end, "5 seconds").collect())
+    assert got == [2, 3, 4]
+    latest = {(r.currency, r.feed): r.cost for r in FD.latest_by_key(rows).collect()}
+    assert latest == {("A", "PRICE"): 4.0, ("B", "SELL"): 5.0}
+
+
+def test_poll_limit_keeps_oldest(spark):
+    from conftest import feed_rows
+    rows = feed_rows(spark, [(i, f"2024-01-01 00:00:0{i}", "A", "SELL", float(i), 1.0) for i in range(6)])
+    got = sorted(r.seq for r in FD.poll_limited(rows, "10 seconds", limit=2).collect())
+    assert got == [0, 1]

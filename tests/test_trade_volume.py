@@ -93,3 +93,9 @@ def test_scan_prunes_columns(spark):
     # only the columns the projection needs are read
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in plan \
         or "user_id" in plan and "event_id" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_onepass_reads_the_table_once(spark):
+    plan = trade_volume_onepass(feed_table(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "Union" not in plan and "Join" not in plan
