@@ -30,9 +30,10 @@ def hour_grid(df: DataFrame, time_col: str, end_col: str | None = None,
     ``whole_days=True`` keeps only whole days of the span plus the start
     point (``days * 24 + 1`` points), the count the reference script prints.
     """
+    ttype = df.schema[time_col].dataType          # keep the input's timestamp flavour
     bounds = df.agg(
-        F.date_trunc("hour", F.min(time_col)).alias("_start"),
-        F.date_trunc("hour", F.max(end_col or time_col)).alias("_stop"),
+        F.date_trunc("hour", F.min(time_col)).cast(ttype).alias("_start"),
+        F.date_trunc("hour", F.max(end_col or time_col)).cast(ttype).alias("_stop"),
     )
     stop = F.col("_stop")
     if whole_days:

@@ -80,7 +80,7 @@ def book_explode(books: DataFrame) -> DataFrame:
     concatenation of both sides; duplicates are kept (no set union)."""
     def side(arr: str, name: str) -> Column:
         return F.transform(F.col(arr), lambda x, i: F.struct(
-            F.lit(name).alias("side"), i.alias("level"),
+            F.lit(name).alias("side"), i.cast("long").alias("level"),
             to_double(x["price"]).alias("price"), narrow_to_float(x["qty"]).alias("qty")))
     keys = [c for c in books.columns if c not in ("bids", "asks")]
     return books.select(*keys, F.inline(F.concat(side("bids", C.BID), side("asks", C.ASK))))
@@ -93,7 +93,7 @@ def book_top_n(levels: DataFrame, n: int = C.BOOK_DEPTH,
     snapshot's book."""
     price_rank = F.when(F.col("side") == C.BID, -F.col("price")).otherwise(F.col("price"))
     w = Window.partitionBy(*snapshot_keys, "side").orderBy(price_rank, F.col("qty").desc(), "level")
-    return levels.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return levels.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
 
 
 def latest_by_key(feed: DataFrame, keys: tuple[str, ...] = ("currency", "feed"),

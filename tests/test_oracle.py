@@ -26,6 +26,7 @@ def con():
 def test_matches_duckdb(spark, con, name):
     r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, con, verbose=True)
     assert r["cols_ok"], r
+    assert r["types_ok"], r
     assert r["match"], r
 
 
