@@ -100,20 +100,26 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``.  Only when it is unset (local tests)
-    do we make one of our own and register it with the context.
+    Read from ``spark.checkpoint.dir`` (or a checkpoint directory already set
+    on the context).  Only when neither exists (local tests) do we make one
+    of our own and register it with ``SparkContext.setCheckpointDir`` — the
+    core setting itself cannot be changed at runtime.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        d = _OWN_DIRS.get(sc.applicationId) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        _OWN_DIRS[sc.applicationId] = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
