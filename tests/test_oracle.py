@@ -38,3 +38,19 @@ def test_every_query_has_a_docstring():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 8 and len(df.columns) == 35
+
+
+STREAM_KEYS = ["stream_restart", "stream_candles", "stream_dedup", "stream_microbatch"]
+
+
+@pytest.fixture(scope="module")
+def con_small():
+    from conftest import SF001
+    return duck(SF001)
+
+
+@pytest.mark.parametrize("name", STREAM_KEYS)
+def test_streaming_matches_duckdb(spark, con_small, name):
+    from conftest import SF001
+    r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF001, con_small, verbose=True)
+    assert r["cols_ok"] and r["types_ok"] and r["match"], r
