@@ -62,7 +62,7 @@ def q_recent_trades(spark, sf_dir):
 
 
 _BOOK_SQL = f"""WITH {Q.feed_sql()},
-lv AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS snapshot, currency, feed AS side,
+lv AS (SELECT time_bucket(INTERVAL {C.BOOK_POLL_SECONDS} SECOND, ts) AS snapshot, currency, feed AS side,
               cost AS price, quantity AS qty FROM feed WHERE feed IN ('BID', 'ASK'))"""
 
 
@@ -74,7 +74,7 @@ SELECT snapshot, currency, side,
        price, CAST(CAST(qty AS FLOAT) AS DOUBLE) AS qty
 FROM lv""")
 def q_book_explode(spark, sf_dir):
-    """Hourly order-book snapshots flattened to one row per level and side."""
+    """Order-book snapshots (one per poll) flattened to one row per level and side."""
     lv = FD.book_explode(order_books(feed_table(spark, sf_dir)))
     return lv.select(_ntz("snapshot"), "currency", "side", "level", "price", "qty")
 

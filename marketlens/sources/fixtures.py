@@ -105,11 +105,12 @@ def raw_trades(feed: DataFrame) -> DataFrame:
         F.col("ts").alias("ts"))
 
 
-def order_books(feed: DataFrame, snapshot: str = "1 hour") -> DataFrame:
+def order_books(feed: DataFrame, snapshot: str = f"{C.BOOK_POLL_SECONDS} seconds") -> DataFrame:
     """Order-book snapshots as an exchange returns them: per (snapshot
     window, currency) a ``bids`` array sorted best (highest) first and an
     ``asks`` array sorted best (lowest) first, levels as text
-    ``struct(price, qty)``.  One snapshot per hour of book rows."""
+    ``struct(price, qty)``.  One snapshot per book poll interval, i.e. one
+    response per poll."""
     book = feed.where(F.col("feed").isin(*C.BOOK_FEEDS)).withColumn(
         "snapshot", F.window("ts", snapshot).start)
     lvl = F.struct("cost", "quantity")
