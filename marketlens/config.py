@@ -44,7 +44,7 @@ TRADE_LIMIT = 300
 MICROBATCH_SECONDS = 60
 RUN_CYCLE_MINUTES = 120
 
-# name of the wide fact table and its partition columns (in order)
+# --- fixed values: database, fact table, partition columns (in order) --------
 DATABASE = "coin_broker"
 TRADE_VOLUME_TABLE = "trade_volume"
 PARTITION_COLUMNS: tuple[str, ...] = ("current_day", "currency")
