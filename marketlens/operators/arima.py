@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from . import regression as R
 from .ordered import with_lags
 from .series import series
@@ -123,9 +124,16 @@ def _grid_rows(P: int, Q: int):
 
 
 def arima_fits(df: DataFrame, key: str = "currency", order: str = "current_time",
-               value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4):
-    """Every (p, d, q) fit with coefficients, plus the step-2 design rows."""
+               value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4,
+               materialise: bool = False):
+    """Every (p, d, q) fit with coefficients, plus the step-2 design rows.
+
+    ``materialise`` writes the design rows as a reliable checkpoint first,
+    for callers that use them again (the forecast)."""
     el, _, M = _hannan_rissanen(df, key, order, value, max_p, max_d, max_q)
+    if materialise:
+        shared_dir(df.sparkSession)
+        el = el.checkpoint(eager=True)
     rows2 = el.withColumn("c", F.lit(1.0))
     cols2, solve = _grid_rows(max_p, max_q)
     g2 = R.gram(rows2, [key, "d"], cols2, where=F.col("t") >= F.col("d") + F.col("_m") + max_q)
@@ -154,7 +162,7 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
     Output ``(key, t, kind, y, fitted, resid)``; kind is ``fit`` or
     ``forecast``.
     """
-    fits, el = arima_fits(df, key, order, value, max_p, max_d, max_q)
+    fits, el = arima_fits(df, key, order, value, max_p, max_d, max_q, materialise=True)
     best = fits.where("best").select(key, F.col("d").alias("_bd"), "p", "q", "const", "ar", "ma")
     rows = el.join(best, key).where(F.col("d") == F.col("_bd"))
     ar_term = reduce(lambda a, b: a + b, [

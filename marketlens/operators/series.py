@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normal import norm_ppf
+from ..session import shared_dir
 from . import regression as R
 from .ordered import with_lags, with_series_index
 
@@ -145,6 +146,10 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
         key, "t", "_ml", F.lit(1.0).alias("c"), F.col("y_lag1").alias("ylag"),
         *[(F.col(f"y_lag{i}") - F.col(f"y_lag{i + 1}")).alias(f"dy{i}") for i in range(1, lmax + 1)],
         (F.col("y") - F.col("y_lag1")).alias("dy"))
+    # both passes scan the design: materialise it once (reliable checkpoint in
+    # the shared folder) instead of re-deriving index and lags per pass
+    shared_dir(df.sparkSession)
+    design = design.checkpoint(eager=True)
     cols = ["c", "ylag"] + [f"dy{i}" for i in range(1, lmax + 1)] + ["dy"]
     K, Y = len(cols), len(cols) - 1
 
