@@ -65,6 +65,7 @@ def test_json_decode_cases(spark):
     assert out[0].cost == 1.5 and out[0].quantity == 2.0 and out[0]._corrupt_record is None
     assert out[1].quantity is None and out[1]._corrupt_record is None
     assert out[2]._corrupt_record is not None
+    assert out[2].currency == "ETHBTC" and out[2].quantity == 2.0 and out[2].cost is None
     assert out[3].quantity == 2.0 and out[3]._corrupt_record is None
     assert out[4]._corrupt_record == "not json" and out[4].currency is None
     assert out[5].current_time.replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)

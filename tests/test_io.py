@@ -19,6 +19,7 @@ def test_managed_table_append_compact_and_prune(spark):
     tv = saved_trade_volume(spark, SF001)
     for part in O.hash_slices(tv, 3):
         O.append_partitioned(part.repartition(4), table=table)
+    O.append_partitioned(tv, table=table)   # a second batch for every partition: 2 files each
     meta = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").first()
     assert meta.data_type == "MANAGED"
     cols = spark.table(table).columns
@@ -29,7 +30,9 @@ def test_managed_table_append_compact_and_prune(spark):
     spark.catalog.refreshTable(table)
     after_rows = sorted(map(tuple, spark.table(table).collect()))
     assert after_rows == before_rows                     # nothing dropped, nothing deduplicated
-    assert O.file_count(spark, table) <= before_files
+    partitions = spark.table(table).select("current_day", "currency").distinct().count()
+    assert O.file_count(spark, table) == partitions
+    assert before_files == 2 * partitions
     plan = spark.table(table).where(F.col("currency") == "BTCUSDT")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan and "BTCUSDT" in plan
@@ -92,3 +95,14 @@ def test_poll_limit_keeps_oldest(spark):
     rows = feed_rows(spark, [(i, f"2024-01-01 00:00:0{i}", "A", "SELL", float(i), 1.0) for i in range(6)])
     got = sorted(r.seq for r in FD.poll_limited(rows, "10 seconds", limit=2).collect())
     assert got == [0, 1]
+
+
+def test_symbol_filter_is_pushed_into_the_scan(spark):
+    from marketlens.session import scratch_path
+    path = scratch_path(spark, "t_push")
+    spark.createDataFrame([("A", 1.0), ("B", 2.0), ("C", 3.0)], "currency string, cost double") \
+        .write.parquet(path)
+    df = FD.filter_symbols(spark.read.parquet(path), ["A", "C"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(currency, [A,C])]" in plan
+    assert sorted(r.currency for r in df.collect()) == ["A", "C"]

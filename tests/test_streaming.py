@@ -56,3 +56,27 @@ def test_foreach_batch_replay_is_idempotent(spark):
     fn(batch.limit(0), 1)   # empty batch writes nothing
     n = spark.read.orc(path).count()
     assert n == spark.read.orc(path).select("currency").distinct().count()
+
+
+def test_latest_by_key_as_update_mode_stream(spark):
+    from marketlens.operators.feeds import latest_by_key
+    feed = feed_table(spark, SF001)
+    src = scratch_path(spark, "t_latest_in")
+    write_time_slices(feed, src)
+    s = read_feed_stream(spark, src, files_per_trigger=7)
+    out = scratch_path(spark, "t_latest_out")
+
+    def keep(batch, batch_id):      # upserts arrive per batch; keep them all
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    q = latest_by_key(s).writeStream.outputMode("update").foreachBatch(keep) \
+        .option("checkpointLocation", scratch_path(spark, "t_latest_ckpt")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    from pyspark.sql import Window
+    w = Window.partitionBy("currency", "feed").orderBy(F.col("batch_id").desc())
+    final = spark.read.parquet(out).withColumn("r", F.row_number().over(w)).where("r = 1") \
+        .select("currency", "feed", "cost", "seq")
+    want = latest_by_key(feed).select("currency", "feed", "cost", "seq")
+    assert final.count() == want.count() > 0
+    assert final.exceptAll(want).count() == 0
