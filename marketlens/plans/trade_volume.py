@@ -16,7 +16,6 @@ Two equivalent plans are provided:
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +67,7 @@ def trade_volume_onepass(feed: DataFrame, step: str = "1 day", *,
 
 
 def _one_scan(f: DataFrame) -> DataFrame:
-    """Batch form: ONE scan, two aggregates.
+    """ONE scan, two aggregates (batch, streams and per-batch summaries).
 
     1. Raw rows are grouped by ``(window, currency, feed, level_cost,
        level_qty)``, the level columns being set for book rows only: book
