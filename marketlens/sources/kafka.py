@@ -72,7 +72,11 @@ def decode(records: DataFrame, failfast: bool = False) -> DataFrame:
 
 def as_feed(decoded: DataFrame) -> DataFrame:
     """Decoded records -> long feed table.  Event time is the payload time
-    when present (PRICE), else the record timestamp; ``seq`` is the offset."""
+    when present (PRICE), else the record timestamp; ``seq`` is the offset,
+    which orders records within a topic partition (one topic per feed and
+    symbol, so first/last of a summary break equal-instant ties by arrival
+    within that topic; across partitions of one topic such ties are broken
+    by offset alone)."""
     ts = F.coalesce(F.col("current_time"), F.col("timestamp"))
     return decoded.where(F.col(CORRUPT).isNull()).select(
         F.col("offset").alias("seq"), ts.alias("ts"), F.unix_micros(ts).alias("us"),
