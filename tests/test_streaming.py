@@ -80,3 +80,31 @@ def test_latest_by_key_as_update_mode_stream(spark):
     want = latest_by_key(feed).select("currency", "feed", "cost", "seq")
     assert final.count() == want.count() > 0
     assert final.exceptAll(want).count() == 0
+
+
+def test_rocksdb_state_store_of_the_cluster_profile(spark):
+    from marketlens.session import CLUSTER_SETTINGS
+    keys = ["spark.sql.streaming.stateStore.providerClass",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, CLUSTER_SETTINGS[k])
+    try:
+        feed = feed_table(spark, SF001)
+        src = scratch_path(spark, "t_rocks_in")
+        write_time_slices(feed, src)
+        s = read_feed_stream(spark, src, files_per_trigger=5)
+        out = scratch_path(spark, "t_rocks_out")
+        E.run_to_files(E.stream_trade_volume(s, "1 day", "1 hour", decimals=8), out,
+                       scratch_path(spark, "t_rocks_ckpt"))
+        got = spark.read.parquet(out)
+        end = feed.agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
+        want = _closed(trade_volume_onepass(feed, decimals=8), end, 3600)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
