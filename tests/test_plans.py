@@ -25,3 +25,9 @@ def test_no_cross_join_or_sort_aggregate(spark, name):
 def test_top_n_limited_before_the_shuffle(spark):
     plan = _plan(E.queries()["recent_trades"](spark, SF001))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_one_symbol_query_prunes_partitions(spark):
+    plan = _plan(E.queries()["tv_one_symbol"](spark, SF001))
+    assert "PartitionFilters: [isnotnull(currency" in plan and "(currency#" in plan
+    assert "BTCUSDT" in plan.split("PartitionFilters")[1].split("]")[0]
