@@ -30,8 +30,6 @@ CANDLE_INTERVALS: dict[str, tuple[int, str]] = {
     "4h": (6, "4 hours"),
     "1d": (1, "1 day"),
 }
-CANDLE_ITEMIZATION_MILLIS = 60000
-DAYS_BEFORE_CREATE = 1
 
 # --- fixed values: producer polling parameters --------------------------------
 PRICE_POLL_SECONDS = 2

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 
 
 def interval(step: str) -> Column:
@@ -74,7 +73,3 @@ def candle_grid(df: DataFrame, step: str, ts: str = "ts", key: str = "currency")
     )
     last = F.col("_d1") + interval("1 day") - interval(step)
     return span.select(key, F.explode(F.sequence("_d0", last, interval(step))).alias("bucket_start"))
-
-
-def buckets_per_day(name: str) -> int:
-    return C.CANDLE_INTERVALS[name][0]

@@ -127,13 +127,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/marketlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if "://" not in path:
-        os.makedirs(local_path(path), exist_ok=True)
