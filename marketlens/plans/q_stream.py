@@ -154,3 +154,19 @@ def q_run_cycle(spark, sf_dir):
     table = f"{C.DATABASE}.{C.TRADE_VOLUME_TABLE}_cycle_{loc.rsplit('-', 1)[-1]}"
     out = run_cycle(spark, s, table=table, checkpoint=f"{loc}/_ckpt", available_now=True)
     return _rounded(out)
+
+
+@register("stream_latest_by_symbol", f"""WITH {Q.feed_sql()}
+SELECT currency, feed, last(cost ORDER BY us, seq) AS cost, last(quantity ORDER BY us, seq) AS quantity,
+       last(ts ORDER BY us, seq) AS ts, last(seq ORDER BY us, seq) AS seq
+FROM feed GROUP BY currency, feed""")
+def q_stream_latest_by_symbol(spark, sf_dir):
+    """Latest value of every feed per symbol maintained by a streaming
+    aggregate and kept as an overwritten snapshot table."""
+    from ..operators.feeds import latest_by_key
+    s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)
+    out = scratch_path(spark, "latest_snapshot")
+    E.latest_snapshot(latest_by_key(s), out, scratch_path(spark, "latest_ckpt"))
+    snap = spark.read.parquet(out)
+    return snap.select("currency", "feed", "cost", "quantity",
+                       F.col("ts").cast("timestamp_ntz").alias("ts"), "seq")

@@ -107,3 +107,27 @@ def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "appen
             while q.isActive and q.lastProgress is None:   # first batch fixes the layout
                 q.awaitTermination(1)
     return q
+
+
+def latest_snapshot(latest: DataFrame, out: str, checkpoint: str, *,
+                    available_now: bool = True, partitions: int | None = None) -> StreamingQuery:
+    """Keep the latest value per key as a table at ``out``.
+
+    The aggregate's state holds one row per key (bounded by the number of
+    keys, so no watermark is needed); complete mode hands the whole (small)
+    result to every batch, which overwrites the snapshot — a replayed batch
+    rewrites the same snapshot, so the sink is idempotent.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+    w = latest.writeStream.outputMode("complete").foreachBatch(write) \
+        .option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w
+    with state_partitions(latest.sparkSession, partitions):
+        q = w.start()
+        if available_now:
+            q.awaitTermination()
+        else:
+            while q.isActive and q.lastProgress is None:
+                q.awaitTermination(1)
+    return q

@@ -40,7 +40,8 @@ def test_entry_smoke(spark):
     assert df.count() == 8 and len(df.columns) == 35
 
 
-STREAM_KEYS = ["stream_restart", "stream_candles", "stream_dedup", "stream_microbatch"]
+STREAM_KEYS = ["stream_restart", "stream_candles", "stream_dedup", "stream_microbatch",
+               "stream_latest_by_symbol"]
 
 
 @pytest.fixture(scope="module")
