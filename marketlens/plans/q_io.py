@@ -124,8 +124,9 @@ def q_series_union(spark, sf_dir):
 
 def _write_fragmented(spark, sf_dir, table=None, path=None, appends=3):
     tv = saved_trade_volume(spark, sf_dir)
+    tasks = spark.sparkContext.defaultParallelism      # table-sized appends
     for part in O.hash_slices(tv, appends):
-        O.append_partitioned(part, table=table, path=path)
+        O.append_partitioned(part, table=table, path=path, tasks=tasks)
 
 
 def _rounded(df):

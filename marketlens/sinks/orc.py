@@ -14,22 +14,28 @@ def create_database(spark: SparkSession, name: str = C.DATABASE, location: str |
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
-def _partitioned_layout(df: DataFrame, partition_cols=C.PARTITION_COLUMNS) -> DataFrame:
+def _partitioned_layout(df: DataFrame, partition_cols=C.PARTITION_COLUMNS,
+                        tasks: int | None = None) -> DataFrame:
     """Partition columns last, in table order; rows clustered by partition so
-    each task writes few files (one per partition it holds)."""
+    each task writes one file per partition it holds.  Without ``tasks``
+    AQE sizes the write by bytes (right for small micro-batch appends); a
+    table-sized write passes ``tasks`` so many small partitions are written
+    in parallel rather than by a few tasks in sequence."""
     cols = [c for c in df.columns if c not in partition_cols] + list(partition_cols)
-    return df.select(*cols).repartition(*partition_cols)
+    out = df.select(*cols)
+    return out.repartition(tasks, *partition_cols) if tasks else out.repartition(*partition_cols)
 
 
 def append_partitioned(df: DataFrame, *, table: str | None = None, path: str | None = None,
-                       partition_cols=C.PARTITION_COLUMNS, fmt: str = "orc") -> None:
+                       partition_cols=C.PARTITION_COLUMNS, fmt: str = "orc",
+                       tasks: int | None = None) -> None:
     """Append a batch to the partitioned table.
 
     With ``table`` the write goes through the catalog (``saveAsTable``;
     managed unless ``path`` is also given); with only ``path`` it writes the
     files directly.
     """
-    w = _partitioned_layout(df, partition_cols).write.mode("append").format(fmt) \
+    w = _partitioned_layout(df, partition_cols, tasks).write.mode("append").format(fmt) \
         .partitionBy(*partition_cols)
     if table:
         if path:
