@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import mixing, quality, simhash, token_files
+from marketlens.llm import decontam, mixing, quality, simhash, token_files
 from marketlens.llm.common import read_table, written
 from marketlens.llm.queries import BYTE_BPE, END_ID, prepare, tokenizer_path
 
@@ -27,6 +27,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the benchmark go."""
+    prepare(spark)
+    return decontam.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     prepare(spark)
@@ -40,7 +46,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [("quality rules", quality_rules), ("SimHash near-dedup", simhash_dedup),
-          ("mixing sources", source_mix), ("token-ID output", token_output)]
+          ("benchmark decontamination", decontamination), ("mixing sources", source_mix),
+          ("token-ID output", token_output)]
 
 # Fingerprints, divergences and tokenizer ids have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, mixing, quality, secrets, simhash, token_counts, token_files
+from . import chat, decontam, mixing, quality, secrets, simhash, token_counts, token_files
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -96,6 +96,30 @@ def op6(spark, sf_dir):
     return quality.judged(read_table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
 
 
+_OP7_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+_OP7_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP7_WORDS} AS words FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_OP7_WORDS} AS words FROM benchmark),
+iw AS (SELECT DISTINCT item, words[k:k + 12] AS win
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS k FROM i WHERE len(words) > 0)),
+n AS (SELECT DISTINCT len(win) AS n FROM iw),
+dw AS (SELECT r, k, words[k:k + n - 1] AS win
+  FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS k FROM d JOIN n ON len(words) >= n)),
+hits AS (SELECT dw.r, dw.k, len(dw.win) AS n, iw.item FROM dw JOIN iw ON dw.win = iw.win),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)"""
+
+
+@query("op7_decontamination", _OP7_SQL)
+def op7(spark, sf_dir):
+    """Benchmark windows inside every document, by the positional index."""
+    found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 @query("op8_token_files")
 def op8(spark, sf_dir):
     """All documents written as token files in doc_id order and read back."""
