@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, decontam, mixing, quality, secrets, simhash, token_counts, token_files
+from . import chat, decontam, mixing, quality, secrets, simhash, substring, token_counts, token_files
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -57,6 +57,14 @@ def op1(spark, sf_dir):
                         secrets.spans_text(F.col("spans")).alias("spans"), of(3).alias("n_random"))
 
 
+@query("op2_substring_dedup")
+def op2(spark, sf_dir):
+    """Repeated passages of every document, their removals and the documents that share them."""
+    found = substring.substring_dedup(read_table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["at"].cast("string"), s["end"].cast("string")))
+    return found.withColumn("removed", F.concat_ws(",", spans)).withColumn("passage", F.col("n_repeated") > 0)
+
+
 _OP4_SQL = f"""WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
