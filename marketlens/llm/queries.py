@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, decontam, mixing, quality, secrets, simhash, substring, token_counts, token_files
+from . import chat, decontam, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -65,6 +65,12 @@ def op2(spark, sf_dir):
     return found.withColumn("removed", F.concat_ws(",", spans)).withColumn("passage", F.col("n_repeated") > 0)
 
 
+@query("op3_lm_score")
+def op3(spark, sf_dir):
+    """Attention-model and unigram log probabilities of every whole text of documents."""
+    return lm.score(read_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 _OP4_SQL = f"""WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
