@@ -55,3 +55,45 @@ def free_name(df_columns, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = "_" + wanted
     return wanted
+
+
+class Memo:
+    """A bounded table of computed values in two generations: when the newer one is
+    full it becomes the older one, and what is asked for again moves back.  Frequent
+    keys stay, memory is bounded, and a value never depends on the table's state."""
+
+    def __init__(self, limit: int, longest: int):
+        self.limit, self.longest = limit, longest
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, keys: list, make) -> list:
+        """Values of ``keys`` in order; ``make(list of keys)`` computes those not kept
+        (values are never None)."""
+        got = list(map(self.new.get, keys))
+        at = [i for i, v in enumerate(got) if v is None] if None in got else []
+        if at:
+            old = self.old
+            miss = {keys[i] for i in at}
+            found = {k: old[k] for k in miss if k in old}
+            rest = [k for k in miss if k not in found]
+            if rest:
+                found.update(zip(rest, make(rest), strict=True))
+            for i in at:
+                got[i] = found[keys[i]]
+            self.new.update((k, v) for k, v in found.items() if len(k) <= self.longest)
+            if len(self.new) > self.limit:
+                self.old, self.new = self.new, {}
+        return got
+
+
+def grouped(sizes: list[int], most: int):
+    """(start, end) of consecutive groups whose sizes sum to about ``most``."""
+    lo = total = 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= most:
+            yield lo, i + 1
+            lo, total = i + 1, 0
+    if lo < len(sizes):
+        yield lo, len(sizes)

@@ -22,12 +22,12 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import free_name
+from .common import Memo, free_name, grouped
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}\n]+|\n|{MARK}+")
-KEEP = 300_000        # pre-tokens kept per worker
-KEEP_CHARS = 64       # longer ones are not kept
+KEEP, KEEP_CHARS = 150_000, 48      # pre-tokens a worker keeps in each of two generations
+GROUP_CHARS = 400_000                # texts counted together
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -63,34 +63,31 @@ def _loaded(model_path: str):
 
 
 class Counter:
-    """Counts tokens; state is the proven table and a bounded table of merged
-    pre-tokens."""
+    """Counts tokens; holds the proven table and a bounded table of merged pre-tokens."""
 
     def __init__(self, model_path: str):
         self.sp, self.proven = _loaded(model_path)
-        self.known = dict(self.proven)
+        self.memo = Memo(KEEP, KEEP_CHARS)
+
+    def _others(self, segments: list[str]) -> list[int]:
+        """The whole-token shortcut first, the library's merges for the rest."""
+        out = list(map(self.proven.get, segments))
+        rest = [i for i, n in enumerate(out) if n is None]
+        for i, n in zip(rest, merged(self.sp, [segments[i] for i in rest]), strict=True):
+            out[i] = n
+        return out
 
     def count(self, texts: list[str | None]) -> list[int]:
-        known = self.known
-        out = []
-        for text in texts:
-            segments = pre_tokens(text or "")
-            new = [s for s in set(segments) if s not in known]
-            if new:
-                fresh = dict(zip(new, merged(self.sp, new), strict=True))
-                if len(known) + len(fresh) > KEEP + len(self.proven):
-                    known.clear()
-                    known.update(self.proven)
-                known.update((s, n) for s, n in fresh.items() if len(s) <= KEEP_CHARS)
-                out.append(sum(fresh[s] if s in fresh else known[s] if s in known else self._alone(s)
-                               for s in segments))
-            else:
-                out.append(sum(map(known.__getitem__, segments)))
+        out: list[int] = []
+        for lo, hi in grouped([len(t) if t else 0 for t in texts], GROUP_CHARS):
+            parts = [pre_tokens(t or "") for t in texts[lo:hi]]
+            n = self.memo.get([s for p in parts for s in p], self._others)
+            at = 0
+            for p in parts:
+                out.append(sum(n[at:at + len(p)]))
+                at += len(p)
         return out
 
-    def _alone(self, segment: str) -> int:
-        return merged(self.sp, [segment])[0]
-
 
 def with_token_counts(docs: DataFrame, model_path: str, text: str = "text",
                       bytes_col: str = "n_bytes", tokens_col: str = "n_tokens") -> DataFrame:

@@ -31,6 +31,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -38,14 +39,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
+from .common import Memo, grouped
 
-KEEP = 200_000
-KEEP_CHARS = 48
+KEEP, KEEP_CHARS = 250_000, 48      # runs a worker keeps in each of two generations
+GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
 
 # --- fixed values: Unicode white space, as the tokenizer's \s has it ------------
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-RUN = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+# letters up to an ASCII character that is none (one pre-token), else a run of non-blanks, else blanks
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+RUN = re.compile(f" ?[{_LETTERS}]++(?=[\x00-\x40\x5b-\x60\x7b-\x7f]|$)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+
+# the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE = _BYTE_CHARS[32]
 
 MANIFEST = "shard int, docs bigint, null_ids bigint, tokens bigint"
 
@@ -63,29 +73,57 @@ class Encoder:
     def __init__(self, path: str):
         self.tok = _tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _bytes(self, ids) -> bytes:
-        return np.asarray(ids, dtype=self.dtype).tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(s in text for s in self.special):
-            return self._bytes(self.tok.encode(text, add_special_tokens=False).ids)
-        runs = RUN.findall(text)
-        known = self.known
-        new = [r for r in set(runs) if r not in known]
-        if not new:
-            return b"".join(map(known.__getitem__, runs))
-        coded = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {r: self._bytes(e.ids) for r, e in zip(new, coded, strict=True)}
-        out = b"".join([fresh[r] if r in fresh else known[r] for r in runs])
-        if len(known) + len(fresh) > KEEP:
-            known.clear()
-        known.update((r, b) for r, b in fresh.items() if len(r) <= KEEP_CHARS)
-        return out
+        self.memo = Memo(KEEP, KEEP_CHARS)
+        self.feed = self._ids("\n")
+        if len(self.feed) != 1:
+            raise ValueError("a line feed is not one token of this vocabulary")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """A run of letters, with or without a space in front, is one pre-token and goes to
+        the library's model directly, in the byte-level alphabet.  Other runs of non-blanks
+        are encoded as the lines of one text: a line feed is a token of its own there, and
+        no other token contains one.  Blank runs go alone."""
+        out, words = {}, []
+        for r in runs:
+            body = r[1:] if r[0] == " " else r
+            if body.isalpha():
+                head = _SPACE if len(body) < len(r) else ""
+                mapped = head + (body if body.isascii() else body.encode().decode("latin-1").translate(_BYTE_CHARS))
+                out[r] = array(self.code, [t.id for t in self.tok.model.tokenize(mapped)]).tobytes()
+            elif r.isspace():
+                out[r] = self._ids(r).tobytes()
+            else:
+                words.append(r)
+        if words:
+            ids = self._ids("\n".join(words))
+            ends = np.flatnonzero(ids == self.feed[0]).tolist() + [len(ids)]
+            if len(ends) != len(words):
+                raise AssertionError("runs and encoded lines differ")
+            data, w, lo = ids.tobytes(), self.dtype.itemsize, 0
+            for r, hi in zip(words, ends):
+                out[r] = data[lo * w:hi * w]
+                lo = hi + 1
+        return [out[r] for r in runs]
+
+    def encode_all(self, texts: list[str | None]):
+        """The ids of every text, in order."""
+        for lo, hi in grouped([len(t) if t else 0 for t in texts], GROUP_CHARS):
+            some = [t or "" for t in texts[lo:hi]]
+            whole = [any(s in t for s in self.special) for t in some]
+            runs = [[] if alone else RUN.findall(t) for t, alone in zip(some, whole)]
+            coded = self.memo.get([r for rs in runs for r in rs], self._runs)
+            at = 0
+            for t, alone, rs in zip(some, whole, runs):
+                if alone:
+                    yield np.asarray(self.tok.encode(t, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+                else:
+                    yield b"".join(coded[at:at + len(rs)])
+                    at += len(rs)
 
 
 def _filesystem(uri: str):
@@ -123,8 +161,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
                 end = np.asarray([end_id], dtype=enc.dtype).tobytes()
             ids = b.column(0)
             starts = np.empty(b.num_rows, dtype="<u8")
-            for i, t in enumerate(b.column(1)):
-                data = enc.encode(t.as_py()) + end
+            for i, data in enumerate(enc.encode_all(b.column(1).to_pylist())):
+                data += end
                 starts[i] = tokens
                 tokens += len(data) // enc.dtype.itemsize
                 files["bin"].write(data)
