@@ -3,14 +3,16 @@
 Test items are cut into windows of 13 consecutive words (an item of fewer words is one
 window).  Per window the (up to) three rarest terms, by their occurrences in
 the training documents, are its anchors.  The index stores the postings of
-all anchor terms: (row, term, position, the words around it).  Lookup starts
-from the postings of a window's rarest term, shifted by the term's offset in
-the window, and intersects them with the shifted postings of the other
-anchors:
+all anchor terms: (row, term, position, the words around it).  Lookup shifts every
+posting of an anchor by its offset in the item and intersects the shifted lists of each window,
+rarest first:
 
-* all shifted positions equal, and the stored neighbourhood spells the window:
+* all shifted positions equal, and the stored neighbourhood of the rarest spells the window:
   an exact phrase match,
-* all within ``SLACK`` words of the first: a proximity match.
+* all within ``SLACK`` words of the rarest: a proximity match.
+
+A row can match an item only if it has enough of the item's anchors; that is tested first, by
+one aggregate over the shifted postings, and removes nearly all chance meetings.
 
 Everything is DataFrame expressions.  Documents are read twice (term counts, postings)
 and their texts are never shuffled; the index holds rare terms only.
@@ -47,13 +49,18 @@ def word_array(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def windows_of(items: DataFrame, item_id: str = "item_id", text: str = "text", length: int = WINDOW) -> DataFrame:
-    """Distinct (words, item): the windows of all items."""
-    w = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), word_array(F.col(text)).alias("all"))
-    w = w.where(F.size("all") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("all") - length + 1, F.lit(1)))
-    return (w.select("item", "all", F.explode(starts).alias("at"))
-            .select("item", F.slice("all", F.col("at"), length).alias("words")).distinct())
+def item_classes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(cls, words, ids): the distinct word sequences of all items with their sorted distinct ids."""
+    return (items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), word_array(F.col(text)).alias("words"))
+            .where(F.size("words") > 0).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("ids"))
+            .select(F.monotonically_increasing_id().alias("cls"), "words", "ids"))
+
+
+def windows_of(classes: DataFrame, length: int = WINDOW) -> DataFrame:
+    """(cls, at, len, words): the windows of every item class; ``at`` counts from 0."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - length, F.lit(0)))
+    return (classes.select("cls", "words", F.explode(starts).alias("at"))
+            .select("cls", "at", F.slice("words", F.col("at") + 1, length).alias("words")).withColumn("len", F.size("words")))
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int, text: str = "text") -> DataFrame:
@@ -68,13 +75,12 @@ def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int, text: str = "te
 
 
 def anchored(windows: DataFrame, df: DataFrame, anchors: int = ANCHORS) -> DataFrame:
-    """Windows whose terms all occur in the documents, each with ``a``: its rarest terms
-    as (df, off, term), rarest first, ties by offset."""
-    t = windows.select("win", F.size("words").alias("len"), F.posexplode("words").alias("off", "term"))
-    rare = (t.join(df, "term").groupBy("win", "len")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "off", "term"))).alias("a"))
-            .where(F.size("a") == F.col("len")))
-    return rare.select("win", F.slice("a", 1, anchors).alias("a")).join(windows, "win")
+    """(cls, at, len, a): windows whose terms all occur in the documents, with their rarest terms as
+    (df, off, term), rarest first, ties by offset; ``off`` counts from the item's start."""
+    t = windows.select("cls", "at", "len", F.posexplode("words").alias("off", "term"))
+    return (t.join(df, "term").groupBy("cls", "at", "len")
+            .agg(F.sort_array(F.collect_list(F.struct("df", (F.col("off") + F.col("at")).alias("off"), "term"))).alias("a"))
+            .where(F.size("a") == F.col("len")).select("cls", "at", "len", F.slice("a", 1, anchors).alias("a")))
 
 
 def index_postings(docs: DataFrame, terms: DataFrame, n_terms: int, doc_id: str = "doc_id", text: str = "text",
@@ -103,36 +109,64 @@ def index_postings(docs: DataFrame, terms: DataFrame, n_terms: int, doc_id: str
     return written(out, "postings")
 
 
-def lookup(postings: DataFrame, windows: DataFrame, n_windows: int, slack: int = SLACK) -> DataFrame:
-    """(row, win, start, len, exact): places where all anchors of a window stand within
-    ``slack`` of their places; ``exact`` if they stand right and the text there is the window."""
+def shifted(postings: DataFrame, windows: DataFrame, classes: DataFrame, n_windows: int) -> DataFrame:
+    """(row, cls, off, pos, start, left, right): postings of the anchors, shifted to where the item would
+    start, with the number of neighbouring words on both sides that agree with the item.  Rows with too few
+    of an item's anchors for any of its windows are left out."""
+    anchors = (windows.select("cls", F.size("a").alias("lists"), F.explode("a").alias("x"))
+               .groupBy("cls", "x.off", "x.term").agg(F.min("lists").alias("need"))
+               .join(classes.select("cls", "words"), "cls"))
+    # the item's words around the anchor, as many as the index keeps around a posting
+    anchors = anchors.select("cls", "off", F.col("term").alias("anchor"), "need", F.least(F.col("off"), F.lit(WINDOW - 1)).alias("head"),
+                             F.slice("words", F.greatest(F.col("off") - WINDOW + 2, F.lit(1)),
+                                     F.least(F.col("off"), F.lit(WINDOW - 1)) + WINDOW).alias("around"))
+    j = postings.where("pos >= 0").join(maybe_broadcast(anchors, n_windows * ANCHORS, WINDOWS_BROADCAST), F.col("term") == F.col("anchor"))
+    before = F.least("lead", "head")
+    behind = F.least(F.size("near") - F.col("lead") - 1, F.size("around") - F.col("head") - 1)
+
+    def agreeing(a, b, n):
+        first = F.array_position(F.zip_with(a, b, lambda x, y: x == y), F.lit(False))
+        return F.when(first > 0, first - 1).otherwise(n).cast("int")
+
+    left = agreeing(F.reverse(F.slice("near", F.col("lead") + 1 - before, before)),
+                    F.reverse(F.slice("around", F.col("head") + 1 - before, before)), before)
+    right = agreeing(F.slice("near", F.col("lead") + 2, behind), F.slice("around", F.col("head") + 2, behind), behind)
+    place = F.struct("off", "pos", left.alias("left"), right.alias("right"))
+    rows = (j.select("row", "cls", "need", place.alias("x")).groupBy("row", "cls")
+            .agg(F.collect_list("x").alias("xs"), F.min("need").alias("need"))
+            .where(F.size(F.array_distinct(F.transform("xs", lambda x: x["off"]))) >= F.col("need")))
+    return (rows.select("row", "cls", F.explode("xs").alias("x")).select("row", "cls", "x.*")
+            .withColumn("start", F.col("pos") - F.col("off")))
+
+
+def lookup(places: DataFrame, windows: DataFrame, n_windows: int, slack: int = SLACK) -> DataFrame:
+    """(row, cls, start, end, exact): places of documents where all anchors of a window stand within
+    ``slack`` of their places; ``exact`` if they stand right and the words there are the window."""
     w = maybe_broadcast(windows, n_windows, WINDOWS_BROADCAST)
 
-    def anchor(k, field):
-        return F.get("a", F.lit(k))[field]
-
-    def shifted(k):
-        """Postings of the windows' k-th anchors, shifted to where the window would start."""
-        own = w.select("win", "words", anchor(k, "term").alias("anchor"), anchor(k, "off").alias("off"), F.size("a").alias("lists"))
-        j = postings.where("pos >= 0").join(own, F.col("term") == F.col("anchor"))
-        return j.withColumn("start", F.col("pos") - F.col("off"))
+    def of(k):
+        """Places of the windows' k-th anchors."""
+        x = F.get("a", F.lit(k))
+        own = w.select(F.col("cls").alias("w_cls"), "at", "len", x["off"].alias("w_off"), F.size("a").alias("lists"))
+        return places.join(own, (F.col("cls") == F.col("w_cls")) & (F.col("off") == F.col("w_off")))
 
-    spelled = F.slice("near", F.col("lead") - F.col("off") + 1, F.size("words")) == F.col("words")
-    spelled = F.when(F.col("lead") >= F.col("off"), spelled).otherwise(False)
+    spelled = (F.col("off") - F.col("left") <= F.col("at")) & (F.col("off") + F.col("right") >= F.col("at") + F.col("len") - 1)
     width = slack + 1
-    found = (shifted(0).select("row", "win", "start", F.size("words").alias("len"), "lists", spelled.alias("spelled"))
+    found = (of(0).select("row", "cls", "at", "len", "lists", "start", spelled.alias("spelled"))
              .withColumn("cell", F.floor(F.col("start") / width)).withColumn("gap", F.lit(0).cast("long")))
-    for k in (1, 2):
-        other = (shifted(k).select(F.col("row").alias("row_k"), F.col("win").alias("win_k"), F.col("start").alias("start_k"))
+    for k in range(1, ANCHORS):
+        other = (of(k).select(F.col("row").alias("row_k"), F.col("cls").alias("cls_k"), F.col("at").alias("at_k"), F.col("start").alias("start_k"))
                  .withColumn("cell_k", F.explode(F.array(*[F.floor(F.col("start_k") / width) + i for i in (-1, 0, 1)]))))
-        on = ((F.col("row") == F.col("row_k")) & (F.col("win") == F.col("win_k")) & (F.col("cell") == F.col("cell_k"))
-              & (F.abs(F.col("start") - F.col("start_k")) <= slack))
+        on = ((F.col("row") == F.col("row_k")) & (F.col("cls") == F.col("cls_k")) & (F.col("at") == F.col("at_k"))
+              & (F.col("cell") == F.col("cell_k")) & (F.abs(F.col("start") - F.col("start_k")) <= slack))
         gap = F.when(F.col("lists") <= k, F.lit(0)).otherwise(F.min(F.abs(F.col("start") - F.col("start_k"))))
         found = (found.join(other, on, "left")
-                 .groupBy("row", "win", "start", "len", "lists", "spelled", "cell", "gap").agg(gap.cast("long").alias("gap_k"))
+                 .groupBy("row", "cls", "at", "len", "lists", "start", "spelled", "cell", "gap").agg(gap.cast("long").alias("gap_k"))
                  .where(F.col("gap_k").isNotNull())
                  .withColumn("gap", F.greatest("gap", "gap_k")).drop("gap_k"))
-    return found.select("row", "win", "start", "len", ((F.col("gap") == 0) & F.col("spelled")).alias("exact"))
+    begin = F.col("start") + F.col("at")
+    return found.select("row", "cls", begin.alias("start"), (begin + F.col("len")).alias("end"),
+                        ((F.col("gap") == 0) & F.col("spelled")).alias("exact"))
 
 
 def covered(spans: Column) -> Column:
@@ -147,20 +181,21 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: doc_id, text_hash, n_words, n_hit, items (sorted ids of items with
     an exact window), near_items (ids with proximity matches only), contaminated."""
-    by_item = written(windows_of(items, item_id, item_text)
-                      .withColumn("win", F.sha2(F.concat_ws(" ", "words"), 256)), "windows")
-    windows = by_item.select("win", "words").distinct()
+    classes = written(item_classes(items, item_id, item_text), "item-classes")
+    windows = windows_of(classes)
     vocab = written(windows.select(F.explode("words").alias("term")).distinct(), "terms")
     df = written(term_counts(docs, vocab, vocab.count(), text), "term-counts")
     keyed = written(anchored(windows, df), "anchored")
+    n_windows = keyed.count()
     terms = keyed.select(F.explode("a").alias("x")).select("x.term").distinct()
     postings = index_postings(docs, terms, terms.count(), doc_id, text)
-    found = written(lookup(postings, keyed, keyed.count()), "matches")
-    spans = (found.where("exact").groupBy("row")
-             .agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"))
+    places = written(shifted(postings, keyed, classes, n_windows), "places")
+    found = written(lookup(places, keyed, n_windows), "matches")
+    spans = (found.where("exact").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
              .select("row", covered(F.col("spans")).alias("n_hit")))
-    ids = (found.groupBy("row", "win").agg(F.max("exact").alias("exact"))
-           .join(maybe_broadcast(by_item.select("win", "item"), by_item.count(), WINDOWS_BROADCAST), "win")
+    item_ids = classes.select("cls", F.explode("ids").alias("item"))
+    ids = (found.groupBy("row", "cls").agg(F.max("exact").alias("exact"))
+           .join(maybe_broadcast(item_ids, item_ids.count(), WINDOWS_BROADCAST), "cls")
            .groupBy("row", "item").agg(F.max("exact").alias("exact"))
            .groupBy("row").agg(F.sort_array(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"),
                                F.sort_array(F.collect_list(F.when(~F.col("exact"), F.col("item")))).alias("near_items")))
