@@ -19,10 +19,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: it
-    cuts the lineage and survives the loss of any executor."""
+    """``df`` written once as Parquet (zstd: these tables are read once or twice, and disk is
+    dearer than time) in the shared folder and read back: it cuts the lineage and survives the
+    loss of any executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
 
 
