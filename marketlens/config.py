@@ -43,6 +43,6 @@ MICROBATCH_SECONDS = 60
 RUN_CYCLE_MINUTES = 120
 
 # --- fixed values: database, fact table, partition columns (in order) --------
-DATABASE = "coin_broker"
+DATABASE = "market_data"
 TRADE_VOLUME_TABLE = "trade_volume"
 PARTITION_COLUMNS: tuple[str, ...] = ("current_day", "currency")

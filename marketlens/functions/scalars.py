@@ -34,4 +34,5 @@ def topic_feed(topic: Column | str) -> Column:
 
 
 def topic_currency(topic: Column | str) -> Column:
-    return F.split_part(F.col(topic) if isinstance(topic, str) else topic, F.lit("_"), F.lit(2))
+    """All that follows the first separator: a symbol may contain it itself."""
+    return F.regexp_replace(F.col(topic) if isinstance(topic, str) else topic, "^[^_]*_?", "")

@@ -6,11 +6,17 @@ with lag columns; then
 1. a long autoregression AR(m) of w (m = max(floor(log(n)^2), 2*max(P, Q)))
    is fitted by least squares and its residuals e are computed row by row;
 2. w_t is regressed on w_{t-1..t-P} and e_{t-1..t-Q} (plus a constant when
-   d = 0) over a common sample; every (p, q) model of the grid is a
-   sub-regression of that one design, so one Gram matrix per (key, d)
-   serves all of them;
+   d = 0) over one sample that is common to all (p, d, q) of the key; every
+   (p, q) model of the grid is a sub-regression of that one design, so one
+   Gram matrix per (key, d) serves all of them;
 3. AIC = -2 * Gaussian conditional log-likelihood + 2 * (#coefficients + 1).
 
+Models are accepted only with at least ``OBS_PER_COEF`` observations per
+coefficient and with all roots of the AR and the MA polynomial outside the
+unit circle: an accepted forecast then grows at most as a polynomial of
+degree d.  Regressions run on values centred and scaled per key; results are
+in the units of the series.
+
 All heavy steps are Spark aggregates and windows over bounded chunks; the
 per-key solves see only Gram matrices, and the forecast recursion sees only
 each key's last max(p, d, q) + 1 rows.  Fits that cannot be made (too few
@@ -27,13 +33,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from .. import session
 from . import regression as R
 from .ordered import with_lags
-from .series import series
+from .series import KEYS_BROADCAST, series, standardised
+
+OBS_PER_COEF = 3
+ROOT_MARGIN = 1e-6      # roots this close to the unit circle are not outside
 
 GRID_SCHEMA = ("p int, q int, aic double, sigma2 double, nobs long, const double, "
-               "ar array<double>, ma array<double>, status string")
+               "ar array<double>, ma array<double>, status string, _const double")
 
 
 def _diff(d: int) -> Column:
@@ -43,19 +52,23 @@ def _diff(d: int) -> Column:
 
 
 def _prepare(df: DataFrame, key: str, order: str, value: str, P: int, D: int, Q: int):
-    s = series(df, key, order, value)
-    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_m", F.greatest(
+    s = standardised(series(df, key, order, value)).withColumn("_m", F.greatest(
         F.floor(F.pow(F.log(F.col("_n").cast("double")), 2)), F.lit(2 * max(P, Q))).cast("int"))
-    M = counts.agg(F.max("_m")).first()[0]              # one scalar: design width
+    M = s.agg(F.max("_m")).first()[0]                   # one scalar: design width
     M = int(M or 2 * max(P, Q))
     ylag = with_lags(s, key, "t", ["y"], list(range(1, D + 1))) if D else s
-    long = ylag.select(key, "t", "y", F.explode(F.array(*[
+    keep = [key, "t", "y", "_n", "_m", "_mean", "_scale"]
+    long = ylag.select(*keep, F.explode(F.array(*[
         F.struct(F.lit(d).alias("d"), _diff(d).alias("w")) for d in range(D + 1)])).alias("_x")) \
-        .select(key, "t", "y", "_x.d", "_x.w")      # w is NULL for t < d
-    wl = with_lags(long, [key, "d"], "t", ["w"], list(range(1, M + 1)))
-    wl = wl.join(counts.select(key, "_n", "_m"), key)
-    return wl, M
+        .select(*keep, "_x.d", "_x.w")      # w is NULL for t < d
+    return with_lags(long, [key, "d"], "t", ["w"], list(range(1, M + 1))), M
+
+
+def outside_unit_circle(coef: list[float], sign: float) -> bool:
+    """Whether all roots of 1 + sign * (c_1 z + c_2 z^2 + ...) lie outside the unit circle."""
+    c = np.array([sign * x for x in coef][::-1] + [1.0])
+    c = c[np.argmax(c != 0):]
+    return len(c) < 2 or bool(np.all(np.abs(np.roots(c)) > 1 + ROOT_MARGIN))
 
 
 def _hannan_rissanen(df, key, order, value, P, D, Q):
@@ -63,7 +76,8 @@ def _hannan_rissanen(df, key, order, value, P, D, Q):
     key_type = df.schema[key].dataType.simpleString()
     # step 1: long AR(m) per (key, d)
     cols1 = ["c"] + [f"w_lag{i}" for i in range(1, M + 1)] + ["w"]
-    rows1 = wl.withColumn("c", F.lit(1.0))
+    # lags beyond a key's own order are outside its model and may be missing
+    rows1 = wl.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in cols1[1:-1]}).withColumn("c", F.lit(1.0))
     g1 = R.gram(rows1, [key, "d", "_m"], cols1, where=F.col("t") >= F.col("d") + F.col("_m"))
 
     def long_ar(kv, g):
@@ -79,7 +93,9 @@ def _hannan_rissanen(df, key, order, value, P, D, Q):
     # residuals of the long AR, then their lags
     e = F.element_at("a", 1) + reduce(lambda x, y: x + y, [
         F.element_at("a", i + 1) * F.coalesce(F.col(f"w_lag{i}"), F.lit(0.0)) for i in range(1, M + 1)])
-    res = wl.join(ar1.select(key, "d", "a"), [key, "d"]).withColumn(
+    fits1 = ar1.select(F.col(key).alias("_key"), F.col("d").alias("_d"), "a")
+    fits1 = F.broadcast(fits1) if fits1.count() <= KEYS_BROADCAST else fits1
+    res = wl.join(fits1, F.col(key).eqNullSafe(F.col("_key")) & (F.col("d") == F.col("_d"))).drop("_key", "_d").withColumn(
         "e", F.when((F.col("t") >= F.col("d") + F.col("_m")) & F.col("a").isNotNull(), F.col("w") - e))
     el = with_lags(res, [key, "d"], "t", ["e"], list(range(1, Q + 1)))
     return el, ar1, M
@@ -90,14 +106,18 @@ def _grid_rows(P: int, Q: int):
     Y = len(cols2) - 1
 
     def solve(kv, g):
-        d = int(kv[1])
+        d, mean, scale = int(kv[1]), kv[2], kv[3]
         out = []
         nobs = g[0, 0]
         for p in range(P + 1):
             for q in range(Q + 1):
                 xs = ([0] if d == 0 else []) + list(range(1, p + 1)) + [P + j for j in range(1, q + 1)]
                 row = {"p": p, "q": q, "aic": None, "sigma2": None, "nobs": int(nobs), "const": None,
-                       "ar": None, "ma": None, "status": "ok"}
+                       "ar": None, "ma": None, "status": "ok", "_const": None}
+                if nobs < OBS_PER_COEF * (len(xs) + 1):
+                    row["status"] = "too few observations"
+                    out.append(row)
+                    continue
                 if xs:
                     fit = R.ols(g, xs, Y)
                     if "error" in fit:
@@ -111,13 +131,18 @@ def _grid_rows(P: int, Q: int):
                     row["status"] = "degenerate fit"
                     out.append(row)
                     continue
-                sigma2 = ssr / nobs
-                llf = -0.5 * nobs * (math.log(2 * math.pi * sigma2) + 1)
                 off = 1 if d == 0 else 0
+                ar, ma = [float(x) for x in b[off:off + p]], [float(x) for x in b[off + p:off + p + q]]
+                if not outside_unit_circle(ar, -1):
+                    row["status"] = "not stationary"
+                elif not outside_unit_circle(ma, 1):
+                    row["status"] = "not invertible"
+                sigma2 = ssr / nobs * scale * scale
+                llf = -0.5 * nobs * (math.log(2 * math.pi * sigma2) + 1)
+                const = float(b[0]) if d == 0 else 0.0
                 row.update(aic=float(-2 * llf + 2 * (len(xs) + 1)), sigma2=float(sigma2),
-                           const=float(b[0]) if d == 0 else 0.0,
-                           ar=[float(x) for x in b[off:off + p]],
-                           ma=[float(x) for x in b[off + p:off + p + q]])
+                           const=mean * (1 - sum(ar)) + scale * const if d == 0 else 0.0, _const=const,
+                           ar=ar, ma=ma)
                 out.append(row)
         return out
     return cols2, solve
@@ -128,17 +153,17 @@ def arima_fits(df: DataFrame, key: str = "currency", order: str = "current_time"
                materialise: bool = False):
     """Every (p, d, q) fit with coefficients, plus the step-2 design rows.
 
-    ``materialise`` writes the design rows as a reliable checkpoint first,
-    for callers that use them again (the forecast)."""
+    ``materialise`` writes the design rows to the shared folder first, for
+    callers that use them again (the forecast)."""
     el, _, M = _hannan_rissanen(df, key, order, value, max_p, max_d, max_q)
     if materialise:
-        shared_dir(df.sparkSession)
-        el = el.checkpoint(eager=True)
+        el = session.materialise(el, "arima-design")
     rows2 = el.withColumn("c", F.lit(1.0))
     cols2, solve = _grid_rows(max_p, max_q)
-    g2 = R.gram(rows2, [key, "d"], cols2, where=F.col("t") >= F.col("d") + F.col("_m") + max_q)
+    fitted1 = reduce(lambda a, b: a & b, [F.col(f"e_lag{j}").isNotNull() for j in range(1, max_q + 1)], F.lit(True))
+    g2 = R.gram(rows2, [key, "d", "_mean", "_scale"], cols2, where=(F.col("t") >= max_d + F.col("_m") + max_q) & fitted1)
     key_type = df.schema[key].dataType.simpleString()
-    fits = R.solve_grouped(g2, [key, "d"], len(cols2), solve, f"{key} {key_type}, d int, {GRID_SCHEMA}")
+    fits = R.solve_grouped(g2, [key, "d", "_mean", "_scale"], len(cols2), solve, f"{key} {key_type}, d int, _mean double, _scale double, {GRID_SCHEMA}")
     ok = F.col("status") == "ok"
     w = Window.partitionBy(key).orderBy(F.when(ok, F.col("aic")).asc_nulls_last(), "p", "d", "q")
     fits = fits.withColumn("best", (F.row_number().over(w) == 1) & ok)
@@ -163,8 +188,10 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
     ``forecast``.
     """
     fits, el = arima_fits(df, key, order, value, max_p, max_d, max_q, materialise=True)
-    best = fits.where("best").select(key, F.col("d").alias("_bd"), "p", "q", "const", "ar", "ma")
-    rows = el.join(best, key).where(F.col("d") == F.col("_bd"))
+    best = fits.where("best").select(F.col(key).alias("_key"), F.col("d").alias("_bd"), "p", "q",
+                                      F.col("_const").alias("const"), "ar", "ma")
+    best = F.broadcast(best) if best.count() <= KEYS_BROADCAST else best
+    rows = el.join(best, F.col(key).eqNullSafe(F.col("_key")) & (F.col("d") == F.col("_bd"))).drop("_key")
     ar_term = reduce(lambda a, b: a + b, [
         F.when(F.col("p") >= i, F.element_at("ar", F.least(F.lit(i), F.greatest(F.col("p"), F.lit(1))))
                * F.col(f"w_lag{i}")).otherwise(F.lit(0.0)) for i in range(1, max_p + 1)], F.lit(0.0))
@@ -173,10 +200,13 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
                * F.col(f"e_lag{j}")).otherwise(F.lit(0.0)) for j in range(1, max_q + 1)], F.lit(0.0))
     valid = F.col("t") >= F.col("d") + F.col("_m") + F.col("q")
     resid = F.when(valid, F.col("w") - (F.col("const") + ar_term + ma_term))
-    fitted = rows.select(key, "t", "y", "w", "d", "p", "q", "const", "ar", "ma", "_n",
+    fitted = rows.select(key, "t", "y", "w", "d", "p", "q", "const", "ar", "ma", "_n", "_mean", "_scale",
                          resid.alias("resid"))
-    in_sample = fitted.select(key, "t", F.lit("fit").alias("kind"), "y",
-                              (F.col("y") - F.col("resid")).alias("fitted"), "resid")
+
+    def units(c):
+        return F.col("_mean") + F.col("_scale") * c
+    in_sample = fitted.select(key, "t", F.lit("fit").alias("kind"), units(F.col("y")).alias("y"),
+                              units(F.col("y") - F.col("resid")).alias("fitted"), (F.col("_scale") * F.col("resid")).alias("resid"))
 
     # the recursion needs only the last max(p, d, q) + 1 rows of each key
     tail = fitted.where(F.col("t") >= F.col("_n") - (F.greatest("p", "d", "q") + 1))
@@ -191,7 +221,7 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
         y = list(pdf["y"].astype(float))
         w = list(pdf["w"].astype(float))
         eps = [0.0 if pd.isna(v) else float(v) for v in pdf["resid"]]
-        last_t = int(pdf["t"].iloc[-1])
+        last_t, mean, scale = int(pdf["t"].iloc[-1]), float(pdf["_mean"].iloc[0]), float(pdf["_scale"].iloc[0])
         out_t, out_y = [], []
         for h in range(1, horizon + 1):
             wn = c + sum(ar[i] * w[-1 - i] for i in range(p)) + sum(ma[j] * eps[-1 - j] for j in range(q))
@@ -200,7 +230,7 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
             eps.append(0.0)
             y.append(yn)
             out_t.append(last_t + h)
-            out_y.append(yn)
+            out_y.append(mean + scale * yn)
         return pd.DataFrame({key: pdf[key].iloc[0], "t": out_t, "kind": "forecast",
                              "y": None, "fitted": out_y, "resid": None})
     ahead = tail.groupBy(key).applyInPandas(

@@ -4,37 +4,24 @@ per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalars import narrow_to_float, to_double
 from .stats import order_key
 
-# lists at most this long are inlined as IN (...); longer ones become a
-# semi join whose build side AQE sizes at runtime
-INLINE_LIST_MAX = 1000
-
-
 def parse_symbols(spec: str) -> list[str]:
     """Comma-separated symbol list from configuration."""
     return [s.strip() for s in spec.split(",") if s.strip()]
 
 
-def filter_symbols(df: DataFrame, symbols: list[str] | DataFrame, key: str = "currency",
-                   spark: SparkSession | None = None) -> DataFrame:
-    """Rows whose ``key`` is one of ``symbols``.
-
-    A short list is an ``IN`` predicate (pushed into the scan); a long list or
-    a DataFrame of symbols is a ``left_semi`` join.
-    """
+def filter_symbols(df: DataFrame, symbols: list[str] | DataFrame, key: str = "currency") -> DataFrame:
+    """Rows whose ``key`` is one of ``symbols``: a list (configuration) is an
+    ``IN`` predicate, pushed into the scan; a DataFrame is a ``left_semi`` join."""
     if isinstance(symbols, DataFrame):
         return df.join(symbols.select(F.col(symbols.columns[0]).alias(key)).distinct(), key, "left_semi")
-    if len(symbols) <= INLINE_LIST_MAX:
-        return df.where(F.col(key).isin(*symbols))
-    spark = spark or df.sparkSession
-    sym = spark.createDataFrame([(s,) for s in symbols], f"{key} string")
-    return df.join(sym, key, "left_semi")
+    return df.where(F.col(key).isin(*symbols))
 
 
 def route_trades(raw: DataFrame) -> DataFrame:

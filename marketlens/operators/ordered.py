@@ -1,69 +1,76 @@
 """Ordered per-key series without one task per key.
 
 A symbol may hold a third of all rows, so nothing here partitions by the key
-alone.  Rows are cut into bounded chunks and all per-key bookkeeping runs
-on small per-chunk tables:
+alone.
 
 * :func:`with_series_index` numbers each key's rows 0..n-1 in ``order``:
-  a per-key span aggregate sizes value-range chunks of about ``chunk_rows``
-  rows, a per-(key, chunk) count gives each chunk's offset (a running sum
-  over a table of ``#chunks`` rows), and ``row_number`` runs within a
-  (key, chunk) window only.
+  rows are range-partitioned by (key, order, a hash of the row), so partition
+  bounds follow the row *counts* and ties are split too, and are written once in
+  the shared folder with their place.  A table of one row per (key,
+  partition) gives each partition's offset in its key by a running sum, and
+  carries any per-key totals along; no join on the bare key is left.
 * :func:`with_lags` adds ``lag(col, k)`` by the index: rows are grouped by
   index chunk, and the last ``max(k)`` rows of each chunk are copied into the
   next one as a halo, so each window partition holds at most
   ``chunk_rows + max(k)`` rows.
 
-The small tables are joined back with plain joins; AQE turns them into
-broadcast joins from their measured runtime size.
+NULL keys form a key of their own and NULL order values sort last; no row is
+dropped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_CHUNK_ROWS = 1_000_000
+from ..session import materialise
 
+DEFAULT_CHUNK_ROWS = 1_000_000
+PARTS_BROADCAST = 1_000_000      # (key, partition) rows broadcast at most
 
-def _numeric(df: DataFrame, col: str) -> Column:
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    return F.col(col).cast("double")
+Total = tuple[Column, Callable[[str], Column]]
 
 
 def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def with_series_index(df: DataFrame, key: str | list[str], order: str | list[str],
-                      index: str = "t", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Add ``index`` = 0-based position of each row within its ``key`` when
-    sorted by ``order`` (the first order column drives chunking; further
-    columns only break ties).  ``key`` may be several columns."""
+def with_series_index(df: DataFrame, key: str | list[str], order: str | list[str], index: str = "t",
+                      totals: dict[str, Total] | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``index`` = 0-based position of each row within its ``key`` (one or
+    several columns) when sorted by ``order``; equal rows in any order.
+
+    ``totals`` adds per-key values: name -> (aggregate over rows, function that
+    combines the named partial aggregates), e.g. ``{"_n": (F.count("y"), F.sum)}``.
+    """
     keys = _keys(key)
     orders = [order] if isinstance(order, str) else list(order)
-    x = _numeric(df, orders[0])
-    base = df.withColumn("_x", x)
-    span = base.groupBy(*keys).agg(
-        F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    span = span.withColumn(
-        "_width", (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(chunk_rows)) + F.lit(1e-9))
-    chunked = base.join(span.select(*keys, "_lo", "_width"), keys).withColumn(
-        "_chunk", F.floor((F.col("_x") - F.col("_lo")) / F.col("_width")))
-    counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_c").over(
-            Window.partitionBy(*keys).orderBy("_chunk")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = Window.partitionBy(*keys, "_chunk").orderBy(*orders)
-    return (chunked.join(offsets.select(*keys, "_chunk", "_off"), [*keys, "_chunk"])
-            .withColumn(index, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
-            .drop("_x", "_lo", "_width", "_chunk", "_off"))
+    by = [F.col(c).asc_nulls_last() for c in [*keys, *orders]] + [F.xxhash64(*df.columns).asc()]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    # the id grows by one per row of a partition; its upper bits are the partition
+    placed = materialise(ranged.sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "series")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    totals = totals or {}
+    parts = placed.groupBy(*keys, "_part").agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"),
+        *[agg.alias(name) for name, (agg, _) in totals.items()])
+    in_key = Window.partitionBy(*keys)
+    before = in_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"),
+        *[combine(name).over(in_key).alias(name) for name, (_, combine) in totals.items()])
+    parts = materialise(parts, "series-parts")
+    if parts.count() <= PARTS_BROADCAST:
+        parts = F.broadcast(parts)
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return (placed.join(parts, on)
+            .withColumn(index, (F.col("_off") + F.col("_at") - F.col("_first")).cast("long"))
+            .drop("_at", "_part", "_p", "_first", "_off", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def with_lags(df: DataFrame, key: str | list[str], index: str, cols: list[str], lags: list[int],

@@ -7,7 +7,9 @@ shuffle carries ``k(k+1)/2`` numbers per key and partition, whatever the row
 count, and no key's rows ever meet in one task.  :func:`solve_grouped` then
 hands each key's (small) matrix to a solver in ``applyInPandas``.
 
-NULLs count as 0; callers select the rows and columns a model uses.
+Callers select the rows a model uses and bring the columns to unit scale per
+key (prices at 60,000 and at 2e-6 alike); a NULL or NaN inside a selected row
+is an error of the caller and makes that key's sums NaN, never 0.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_CONDITION = 1e13     # of the design with columns of unit length
+PERFECT = 1e-14          # share of y'y below which residuals are rounding noise
+
+
 def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None = None) -> DataFrame:
     """``(keys..., i, j, s)`` with ``s = sum(col_i * col_j)`` for ``i <= j``.
 
@@ -27,7 +33,7 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None =
     a key without any sample row still gets an (all-zero) matrix and its
     solver can report why no fit exists instead of the key vanishing.
     """
-    k = len(cols)
+    k, masked = len(cols), where is not None
     iu, ju = np.triu_indices(k)
     key_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
 
@@ -35,7 +41,9 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None =
         acc: dict = {}
         for pdf in batches:
             for kv, g in pdf.groupby(keys, sort=False, dropna=False):
-                x = np.nan_to_num(g[cols].to_numpy(dtype="float64", na_value=np.nan), nan=0.0)
+                x = g[cols].to_numpy(dtype="float64", na_value=np.nan)
+                if masked:
+                    x = x[g["_in"].to_numpy(dtype=bool)]
                 m = x.T @ x
                 acc[kv] = acc[kv] + m if kv in acc else m
         for kv, m in acc.items():
@@ -43,10 +51,8 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None =
             out.update({"i": iu.astype("int32"), "j": ju.astype("int32"), "s": m[iu, ju]})
             yield pd.DataFrame(out)
 
-    def val(c: str) -> Column:
-        v = F.col(c).cast("double")
-        return (F.when(where, v) if where is not None else v).alias(c)
-    data = df.select(*keys, *[val(c) for c in cols])
+    data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols],
+                     *([F.coalesce(where, F.lit(False)).alias("_in")] if masked else []))
     partial = data.mapInPandas(run, f"{key_schema}, i int, j int, s double")
     return partial.groupBy(*keys, "i", "j").agg(F.sum("s").alias("s"))
 
@@ -83,15 +89,19 @@ def ols(g: np.ndarray, xs: list[int], y: int, n_idx: int = 0) -> dict:
     k = len(xs)
     if nobs <= k:
         return {"error": "too few observations", "nobs": nobs, "k": k}
-    try:
-        inv = np.linalg.inv(xtx)
-    except np.linalg.LinAlgError:
+    norm = np.sqrt(np.diag(xtx))
+    if not np.all(np.isfinite(xtx)) or not np.all(np.isfinite(xty)) or np.any(norm <= 0):
         return {"error": "singular design", "nobs": nobs, "k": k}
-    if not np.all(np.isfinite(inv)) or np.linalg.cond(xtx) > 1e14:
+    # rank is judged on columns of unit length, whatever their units
+    unit = xtx / np.outer(norm, norm)
+    if np.linalg.cond(unit) > MAX_CONDITION:
         return {"error": "singular design", "nobs": nobs, "k": k}
-    b = inv @ xty
-    ssr = float(g[y, y] - b @ xty)
-    ssr = max(ssr, 0.0)
+    inv = np.linalg.inv(unit) / np.outer(norm, norm)
+    b = np.linalg.solve(unit, xty / norm) / norm
+    # y'y - 2 b'X'y + b'X'X b: stays accurate when b is not exactly the minimum
+    ssr = max(float(g[y, y] - 2 * (b @ xty) + b @ xtx @ b), 0.0)
+    if ssr <= PERFECT * max(float(g[y, y]), 0.0):
+        ssr = 0.0
     return {"b": b, "ssr": ssr, "nobs": nobs, "k": k, "inv": inv}
 
 

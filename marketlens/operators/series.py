@@ -13,19 +13,38 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normal import norm_ppf
-from ..session import shared_dir
 from . import regression as R
 from .ordered import with_lags, with_series_index
 
 
+KEYS_BROADCAST = 1_000_000     # per-key rows broadcast at most
+
+
+def present(c: str) -> Column:
+    """True for values that are neither NULL nor NaN."""
+    return F.col(c).isNotNull() & ~F.isnan(c)
+
+
 def series(df: DataFrame, key: str, order: str, value: str, index: str = "t") -> DataFrame:
-    """``(key, order, y, t)``: non-NULL values numbered 0..n-1 per key."""
-    s = df.select(key, order, F.col(value).cast("double").alias("y")).where(F.col("y").isNotNull())
-    return with_series_index(s, key, order, index)
+    """``(key, order, y, t, _n, _mean, _scale)``: the values that are present,
+    numbered 0..n-1 per key, with their number, mean and range (1 for a
+    constant series)."""
+    s = df.select(key, order, F.col(value).cast("double").alias("y"))
+    s = with_series_index(s.where(present("y")), key, order, index, totals={
+        "_n": (F.count("y"), F.sum), "_sum": (F.sum("y"), F.sum), "_min": (F.min("y"), F.min), "_max": (F.max("y"), F.max)})
+    spread = F.col("_max") - F.col("_min")
+    return (s.withColumn("_mean", F.col("_sum") / F.col("_n"))
+            .withColumn("_scale", F.when(spread > 0, spread).otherwise(F.lit(1.0))).drop("_sum", "_min", "_max"))
+
+
+def standardised(s: DataFrame) -> DataFrame:
+    """``y`` centred and scaled per key, so that regressions on it are well
+    conditioned at any price level."""
+    return s.withColumn("y", (F.col("y") - F.col("_mean")) / F.col("_scale"))
 
 
 # ---------------------------------------------------------------------------
@@ -37,8 +56,7 @@ def acf(df: DataFrame, key: str = "currency", order: str = "current_time",
     """``(key, lag, acf)`` for lag 0..nlags: sum(d_t d_{t-k}) / sum(d_t^2)
     with d = y - mean(y) (the biased estimator of a standard ACF)."""
     s = series(df, key, order, value)
-    mu = s.groupBy(key).agg(F.avg("y").alias("_mu"))
-    d = s.join(mu, key).withColumn("d", F.col("y") - F.col("_mu"))
+    d = s.withColumn("d", F.col("y") - F.col("_mean"))
     lagged = with_lags(d, key, "t", ["d"], list(range(1, nlags + 1)))
     sums = lagged.groupBy(key).agg(
         F.sum(F.col("d") * F.col("d")).alias("c0"),
@@ -132,32 +150,32 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
     Both passes reduce the rows to per-key Gram matrices (:func:`gram`); the
     solves are per key on (maxlag+3)^2 numbers.
     """
-    s = series(df, key, order, value)
-    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    s = standardised(series(df, key, order, value))
+    key_type = df.schema[key].dataType.simpleString()
     ml_expr = (F.lit(maxlag) if maxlag is not None else F.least(
         F.ceil(F.lit(12.0) * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2)).cast("int")
-    counts = counts.withColumn("_ml", ml_expr)
-    lmax = counts.agg(F.max("_ml")).first()[0]          # one scalar: width of the design
+    s = s.withColumn("_ml", ml_expr)
+    lmax = s.agg(F.max("_ml")).first()[0]               # one scalar: width of the design
     if lmax is None:
-        return s.sparkSession.createDataFrame([], f"{key} string, {ADF_SCHEMA}")
+        return s.sparkSession.createDataFrame([], f"{key} {key_type}, {ADF_SCHEMA}")
     lmax = max(int(lmax), 0)
     lagged = with_lags(s, key, "t", ["y"], list(range(1, lmax + 2)))
-    design = lagged.join(counts, key).select(
-        key, "t", "_ml", F.lit(1.0).alias("c"), F.col("y_lag1").alias("ylag"),
+    # the index is materialised: both passes derive the lags from it in one window each
+    design = lagged.select(
+        key, "t", "_ml", "_scale", F.lit(1.0).alias("c"), F.col("y_lag1").alias("ylag"),
         *[(F.col(f"y_lag{i}") - F.col(f"y_lag{i + 1}")).alias(f"dy{i}") for i in range(1, lmax + 1)],
         (F.col("y") - F.col("y_lag1")).alias("dy"))
-    # both passes scan the design: materialise it once (reliable checkpoint in
-    # the shared folder) instead of re-deriving index and lags per pass
-    shared_dir(df.sparkSession)
-    design = design.checkpoint(eager=True)
     cols = ["c", "ylag"] + [f"dy{i}" for i in range(1, lmax + 1)] + ["dy"]
     K, Y = len(cols), len(cols) - 1
 
     def xs(lag: int) -> list[int]:
         return [0, 1] + list(range(2, 2 + lag))
 
+    # lags beyond a key's own order are not in its models and may be missing
+    used = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) if c.startswith("dy") and c != "dy" else F.col(c) for c in cols]
+    design = design.select(key, "t", "_ml", "_scale", *used)
     if autolag:
-        g1 = R.gram(design, [key, "_ml"], cols, where=F.col("t") >= F.col("_ml") + 1)
+        g1 = R.gram(design, [key, "_ml", "_scale"], cols, where=F.col("t") >= F.col("_ml") + 1)
 
         def pick(kv, g):
             best = (float("inf"), None)
@@ -168,16 +186,20 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
                 aic = R.gaussian_aic(fit["ssr"], fit["nobs"], fit["k"])
                 if aic < best[0]:
                     best = (aic, lag)
+            # in the units of the series: ssr grows with the square of the scale
             return [{"_lag": best[1] if best[1] is not None else -1,
-                     "icbest": best[0] if best[1] is not None else None}]
-        chosen = R.solve_grouped(g1, [key, "_ml"], K, pick,
-                                 f"{key} string, _ml int, _lag int, icbest double")
+                     "icbest": best[0] + 2 * g[0, 0] * math.log(kv[2]) if best[1] is not None else None}]
+        chosen = R.solve_grouped(g1, [key, "_ml", "_scale"], K, pick,
+                                 f"{key} {key_type}, _ml int, _scale double, _lag int, icbest double").drop("_scale")
     else:
-        chosen = counts.select(key, "_ml", F.col("_ml").alias("_lag"),
-                               F.lit(None).cast("double").alias("icbest"))
+        chosen = s.select(key, "_ml").distinct().select(
+            key, "_ml", F.col("_ml").alias("_lag"), F.lit(None).cast("double").alias("icbest"))
     # a series too short for any fit keeps a row (lag 0, reported as failed)
     chosen = chosen.withColumn("_lag", F.greatest(F.col("_lag"), F.lit(0))).drop("_ml")
-    d2 = design.join(chosen.select(key, "_lag"), key)
+    n_keys = chosen.count()
+    picked = chosen.select(F.col(key).alias("_key"), "_lag")
+    d2 = design.join(F.broadcast(picked) if n_keys <= KEYS_BROADCAST else picked,
+                     F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     g2 = R.gram(d2, [key, "_lag"], cols, where=F.col("t") >= F.col("_lag") + 1)
 
     def final(kv, g):
@@ -201,8 +223,9 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
                  "nobs": int(fit["nobs"]), "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
                  "crit_10pct": crit["10%"], "error": None}]
     out = R.solve_grouped(g2, [key, "_lag"], K, final,
-                          f"{key} string, _lag int, {ADF_SCHEMA.replace(' icbest double,', '')}")
-    return out.join(chosen.select(key, "icbest"), key).select(
+                          f"{key} {key_type}, _lag int, {ADF_SCHEMA.replace(' icbest double,', '')}")
+    chosen = chosen.select(F.col(key).alias("_key"), "icbest")
+    return out.join(chosen, F.col(key).eqNullSafe(F.col("_key"))).select(
         key, "adf_stat", "pvalue", "usedlag", "nobs", "crit_1pct", "crit_5pct", "crit_10pct",
         "icbest", "error")
 
@@ -214,13 +237,18 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
 def qq_points(df: DataFrame, key: str = "currency", value: str = "first_cost") -> DataFrame:
     """Sorted sample against normal quantiles at plotting positions
     i/(n+1), with the standardized reference line z*std + mean."""
-    s = df.select(key, F.col(value).cast("double").alias("sample")).where(F.col("sample").isNotNull())
-    ranked = with_series_index(s, key, "sample", "_r")
-    st = s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.avg("sample").alias("_mu"),
-                            F.stddev_pop("sample").alias("_sd"))
+    s = df.select(key, F.col(value).cast("double").alias("sample")).where(present("sample"))
+    # variance from the partitions' counts, means and centred squares
+    ranked = with_series_index(s, key, "sample", "_r", totals={
+        "_n": (F.count("sample"), F.sum), "_sum": (F.sum("sample"), F.sum),
+        "_moments": (F.struct(F.count("sample").alias("n"), F.avg("sample").alias("m"), F.var_pop("sample").alias("v")), F.collect_list)})
+    ranked = ranked.withColumn("_mu", F.col("_sum") / F.col("_n"))
+    m = F.col("_mu")
+    ranked = ranked.withColumn("_sd", F.sqrt(F.aggregate("_moments", F.lit(0.0), lambda a, x: a + x["n"] * (x["v"] + (x["m"] - m) * (x["m"] - m)))
+                                             / F.col("_n")))
     p = (F.col("_r") + 1) / (F.col("_n") + 1)
     z = norm_ppf(p)
-    return ranked.join(st, key).select(
+    return ranked.select(
         key, (F.col("_r") + 1).alias("i"), p.alias("p"), z.alias("z"), "sample",
         (z * F.col("_sd") + F.col("_mu")).alias("fit"))
 
@@ -247,30 +275,43 @@ def ar_linear(df: DataFrame, features: list[str], win: int, key: str = "currency
     """Per key and feature, least squares of ``f_t`` on ``1, f_{t-1} ..
     f_{t-win}``: ``(key, feature, term, coef)`` plus ``r2`` and ``nobs`` on
     every row (term 0 = intercept)."""
-    s = with_series_index(df.select(key, order, *features), key, order, "t")
+    def value(f):       # a NaN is a missing value
+        return F.when(present(f), F.col(f).cast("double"))
+
+    totals: dict = {}
+    for i, f in enumerate(features):
+        totals |= {f"_n{i}": (F.count(f), F.sum), f"_s{i}": (F.sum(f), F.sum), f"_lo{i}": (F.min(f), F.min), f"_hi{i}": (F.max(f), F.max)}
+    s = with_series_index(df.select(key, order, *[value(f).alias(f) for f in features]), key, order, "t", totals=totals)
+    for i, f in enumerate(features):
+        spread = F.col(f"_hi{i}") - F.col(f"_lo{i}")
+        s = (s.withColumn(f"_m{i}", F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}")), F.lit(0.0)))
+             .withColumn(f"_r{i}", F.when(spread > 0, spread).otherwise(F.lit(1.0)))
+             .withColumn(f, (F.col(f) - F.col(f"_m{i}")) / F.col(f"_r{i}")).drop(f"_n{i}", f"_s{i}", f"_lo{i}", f"_hi{i}"))
     lagged = with_lags(s, key, "t", features, list(range(1, win + 1)))
     stacked = lagged.select(key, "t", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"),
-                 *[F.col(f"{f}_lag{k}").cast("double").alias(f"l{k}") for k in range(1, win + 1)])
-        for f in features])).alias("_s")).select(key, "t", "_s.*")
+        F.struct(F.lit(f).alias("feature"), F.col(f"_m{i}").alias("_m"), F.col(f"_r{i}").alias("_s"), F.col(f).alias("v"),
+                 *[F.col(f"{f}_lag{k}").alias(f"l{k}") for k in range(1, win + 1)])
+        for i, f in enumerate(features)])).alias("_x")).select(key, "t", "_x.*")
     sample = (F.col("t") >= win) & F.col("v").isNotNull()
     for k in range(1, win + 1):
         sample = sample & F.col(f"l{k}").isNotNull()
     cols = ["c"] + [f"l{k}" for k in range(1, win + 1)] + ["v"]
-    g = R.gram(stacked.withColumn("c", F.lit(1.0)), [key, "feature"], cols, where=sample)
+    keys = [key, "feature", "_m", "_s"]
+    g = R.gram(stacked.withColumn("c", F.lit(1.0)), keys, cols, where=sample)
     K, Y = len(cols), len(cols) - 1
 
     def fit(kv, gm):
         res = R.ols(gm, list(range(win + 1)), Y)
         if "error" in res:
             return [{"term": -1, "coef": None, "r2": None, "nobs": int(gm[0, 0]), "error": res["error"]}]
-        n = res["nobs"]
+        n, b = res["nobs"], res["b"].copy()
         ybar = gm[0, Y] / n
         sst = gm[Y, Y] - n * ybar * ybar
         r2 = 1 - res["ssr"] / sst if sst > 0 else None
-        return [{"term": i, "coef": float(b), "r2": r2, "nobs": int(n), "error": None}
-                for i, b in enumerate(res["b"])]
+        # back to the feature's own units: slopes stay, the constant moves
+        b[0] = kv[2] * (1 - b[1:].sum()) + kv[3] * b[0]
+        return [{"term": i, "coef": float(x), "r2": r2, "nobs": int(n), "error": None} for i, x in enumerate(b)]
     key_type = df.schema[key].dataType.simpleString()
-    return R.solve_grouped(g, [key, "feature"], K, fit,
-                           f"{key} {key_type}, feature string, term int, coef double, "
-                           "r2 double, nobs long, error string")
+    return R.solve_grouped(g, keys, K, fit,
+                           f"{key} {key_type}, feature string, _m double, _s double, term int, coef double, "
+                           "r2 double, nobs long, error string").drop("_m", "_s")

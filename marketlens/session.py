@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every marketlens job relies on.  They are session-level SQL
 # settings, so they can be applied to a session someone else built.
@@ -107,15 +108,19 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint directory already set
-    on the context).  Only when neither exists (local tests) do we make one
-    of our own and register it with ``SparkContext.setCheckpointDir`` — the
-    core setting itself cannot be changed at runtime.
+    on the context).  Only when neither exists on a local master (tests) do
+    we make one of our own and register it with
+    ``SparkContext.setCheckpointDir`` — the core setting itself cannot be
+    changed at runtime.  On a cluster a machine-local folder would lose
+    files, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = _OWN_DIRS.get(sc.applicationId) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
         _OWN_DIRS[sc.applicationId] = d
     if sc.getCheckpointDir() is None:
@@ -127,3 +132,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/marketlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: later
+    scans are pruned and pushed down, and no executor loss repeats the work."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,11 +66,11 @@ def test_book_explode_keeps_duplicates_and_top_n(spark):
     assert sorted((r.side, r.price) for r in top) == [("ASK", 11.0), ("BID", 10.0)]
 
 
-def test_filter_symbols_long_list_uses_semi_join(spark):
+def test_filter_symbols_list_and_frame(spark):
     df = spark.createDataFrame([("A",), ("B",), ("C",)], "currency string")
-    many = ["A", "C"] + [f"Z{i}" for i in range(FD.INLINE_LIST_MAX + 5)]
-    got = sorted(r.currency for r in FD.filter_symbols(df, many).collect())
-    assert got == ["A", "C"]
+    many = ["A", "C"] + [f"Z{i}" for i in range(2000)]
+    for symbols in (many, spark.createDataFrame([(x,) for x in many], "s string")):
+        assert sorted(r.currency for r in FD.filter_symbols(df, symbols).collect()) == ["A", "C"]
     assert FD.parse_symbols(" A, B,,C ") == ["A", "B", "C"]
 
 

@@ -91,6 +91,7 @@ def test_arima_hannan_rissanen_matches_numpy(tv, series_np):
     fits, _ = arima_fits(tv, max_p=2, max_d=1, max_q=2)
     pdf = fits.toPandas()
     P, Q = 2, 2
+    fitted = 0
     for cur, g in list(series_np.items())[:3]:
         y = g["first_cost"].to_numpy()
         n = len(y)
@@ -101,7 +102,7 @@ def test_arima_hannan_rissanen_matches_numpy(tv, series_np):
             A = np.array([[1.0] + [w[t - i] for i in range(1, m + 1)] for t in rows])
             a, *_ = np.linalg.lstsq(A, np.array([w[t] for t in rows]), rcond=None)
             e = {t: w[t] - A[i] @ a for i, t in enumerate(rows)}
-            rows2 = range(d + m + Q, n)
+            rows2 = range(1 + m + Q, n)      # common to d = 0 and 1
             for p in range(P + 1):
                 for q in range(Q + 1):
                     cols = [[1.0] if d == 0 else [] for _ in rows2]
@@ -113,9 +114,18 @@ def test_arima_hannan_rissanen_matches_numpy(tv, series_np):
                     nobs = len(yv)
                     aic = nobs * (math.log(2 * math.pi * ssr / nobs) + 1) + 2 * (Xm.shape[1] + 1)
                     r = pdf[(pdf.currency == cur) & (pdf.p == p) & (pdf.d == d) & (pdf.q == q)].iloc[0]
-                    assert r.status == "ok" and abs(r.aic - aic) < 1e-6 * max(1, abs(aic))
+                    k = Xm.shape[1]
+                    if nobs < 3 * (k + 1):
+                        assert r.status == "too few observations" and math.isnan(r.aic)
+                        continue
+                    ar, ma = b[k - p - q:k - q], b[k - q:]
+                    roots = lambda c: np.roots([*c[::-1], 1.0])
+                    want = ("not stationary" if p and np.any(np.abs(roots(-ar)) <= 1 + 1e-6)
+                            else "not invertible" if q and np.any(np.abs(roots(ma)) <= 1 + 1e-6) else "ok")
+                    assert r.status == want and abs(r.aic - aic) < 1e-6 * max(1, abs(aic))
+                    fitted += want == "ok"
     best = pdf[pdf.best]
-    assert best.groupby("currency").size().eq(1).all()
+    assert fitted > 3 and best.groupby("currency").size().eq(1).all() and (best.status == "ok").all()
 
 
 def test_qq_points(tv, series_np):
@@ -142,3 +152,57 @@ def test_corr_matrix_pairwise_deletion(spark):
         want = g[["a", "b", "c"]].corr()
         for _, r in got[got.currency == cur].iterrows():
             assert abs(r.r - want.loc[r.col_x, r.col_y]) < 1e-10
+
+
+def walk(level, n=300, seed=4):
+    r = np.random.default_rng(seed)
+    e = r.normal(size=n)
+    x = np.zeros(n)
+    for t in range(1, n):
+        x[t] = 0.9 * x[t - 1] + e[t] + 0.3 * e[t - 1]
+    return level * (1 + 0.002 * x)
+
+
+@pytest.mark.parametrize("level", [60_000.0, 50.0, 2e-6])
+def test_regressions_at_any_price_level(spark, level):
+    y = walk(level)
+    df = spark.createDataFrame([("K", int(t), float(v)) for t, v in enumerate(y)], "currency string, current_time long, first_cost double")
+    got = X.adf(df).first()
+    stat, lag, nobs, ic = _adf_ref(y / level)       # the statistic has no unit
+    assert got.error is None and got.usedlag == lag and got.nobs == nobs
+    assert got.adf_stat == pytest.approx(stat, abs=1e-6)
+    assert got.icbest == pytest.approx(ic + 2 * (len(y) - math.ceil(12 * (len(y) / 100) ** 0.25) - 1) * math.log(level), rel=1e-6)
+    coef = X.ar_linear(df, ["first_cost"], 3).orderBy("term").toPandas()
+    A = np.array([[1.0] + [y[t - k] / level for k in range(1, 4)] for t in range(3, len(y))])
+    b, *_ = np.linalg.lstsq(A, y[3:] / level, rcond=None)
+    b[0] *= level
+    assert np.allclose(coef["coef"], b, rtol=1e-6, atol=1e-6 * min(1, level))
+    fits, _ = arima_fits(df, max_p=2, max_d=1, max_q=1)
+    pdf = fits.toPandas()
+    assert not pdf.status.str.contains("singular|degenerate").any()
+    assert pdf[pdf.best].d.iloc[0] == 0
+
+
+def test_nan_is_no_observation(spark):
+    y = walk(50.0)
+    rows = [("K", t, float(v)) for t, v in enumerate(y)]
+    clean = spark.createDataFrame(rows, "currency string, current_time long, first_cost double")
+    dirty = spark.createDataFrame(rows + [("K", 10_000 + i, float("nan")) for i in range(7)] + [("K", 20_000, None)], clean.schema)
+    assert X.adf(dirty).first() == X.adf(clean).first()
+    assert X.acf(dirty, nlags=3).orderBy("lag").collect() == X.acf(clean, nlags=3).orderBy("lag").collect()
+
+
+def test_forecasts_grow_at_most_as_polynomials(spark, tv):
+    from marketlens.operators.arima import arima_forecast, outside_unit_circle
+    pdf = arima_forecast(tv, horizon=400).toPandas()
+    ahead = pdf[pdf.kind == "forecast"]
+    fits, _ = arima_fits(tv)
+    best = fits.where("best").toPandas().set_index("currency")
+    for cur, g in ahead.groupby("currency"):
+        f = g.sort_values("t")["fitted"].to_numpy()
+        d = int(best.loc[cur].d)
+        assert outside_unit_circle(list(best.loc[cur].ar), -1) and outside_unit_circle(list(best.loc[cur].ma), 1)
+        rest = np.diff(f, d)                        # the d-th differences settle
+        assert np.all(np.isfinite(f)) and np.abs(rest[200:]).max() <= np.abs(rest[:200]).max() + 1e-6
+    assert not outside_unit_circle([1.2], -1) and outside_unit_circle([0.5], -1) and outside_unit_circle([], 1)
+    assert not outside_unit_circle([2.0], 1) and outside_unit_circle([0.0, 0.4], 1)
