@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..session import scratch_path
 from .common import Memo, grouped
 
-KEEP, KEEP_CHARS = 250_000, 48      # runs a worker keeps in each of two generations
+KEEP, KEEP_CHARS = 450_000, 48      # runs a worker keeps in each of two generations
 GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
 
