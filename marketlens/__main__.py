@@ -35,11 +35,18 @@ def _feed(spark, args):
 def cmd_consume(args) -> None:
     from .streaming import jobs
     spark = _session(args)
+    bad = None
+    if not args.source_path and args.bootstrap:     # messages that do not decode are kept beside the table
+        bad = jobs.write_quarantine(jobs.quarantine_from_kafka(spark, args.bootstrap, args.starting_offsets),
+                                    args.quarantine or f"{args.checkpoint.rstrip('/')}/_quarantine",
+                                    f"{args.checkpoint.rstrip('/')}/_quarantine_ckpt", args.available_now, args.interval)
     q = jobs.consume(spark, _feed(spark, args), table=args.table, checkpoint=args.checkpoint,
                      mode=args.mode, step=args.step, delay=args.delay,
                      interval_seconds=args.interval, available_now=args.available_now)
     q.awaitTermination(None if args.minutes is None else args.minutes * 60)
     q.stop()
+    if bad is not None:
+        bad.stop()
 
 
 def cmd_cycle(args) -> None:
@@ -102,6 +109,7 @@ def build_parser() -> argparse.ArgumentParser:
     c = sub.add_parser("consume")
     stream_args(c)
     c.add_argument("--mode", choices=("event", "parity"), default="event")
+    c.add_argument("--quarantine", help="folder for messages that do not decode (default: beside the checkpoint)")
     c.set_defaults(fn=cmd_consume)
     cy = sub.add_parser("cycle")
     stream_args(cy)

@@ -92,6 +92,42 @@ def q_book_top_n(spark, sf_dir):
     return top.select(_ntz("snapshot"), "currency", "side", "price", "qty", "rank")
 
 
+DAY_TRADES, DAY_LEVELS = 5, 3      # small enough to cut rows of the test tables
+
+
+@register("recent_trades_per_day", f"""{_ROUTED_SQL},
+ranked AS (SELECT *, date_trunc('day', ts) AS poll_start,
+                  row_number() OVER (PARTITION BY currency, date_trunc('day', ts) ORDER BY ts, seq) AS rn FROM routed)
+SELECT seq, currency, feed, cost, quantity, ts, poll_start FROM ranked WHERE rn <= {DAY_TRADES}""")
+def q_recent_trades_per_day(spark, sf_dir):
+    """The first 5 trades per symbol and day: the per-poll limit with a long window."""
+    r = FD.poll_limited(_routed_trades(spark, sf_dir), "1 day", DAY_TRADES)
+    return r.select("seq", "currency", "feed", "cost", "quantity", _ntz("ts"), _ntz("poll_start"))
+
+
+@register("book_best_per_day", f"""WITH {Q.feed_sql()},
+lv AS (SELECT date_trunc('day', ts) AS snapshot, currency, feed AS side, cost AS price,
+              CAST(CAST(quantity AS FLOAT) AS DOUBLE) AS qty FROM feed WHERE feed IN ('BID', 'ASK')),
+r AS (SELECT *, row_number() OVER (PARTITION BY snapshot, currency, side ORDER BY
+               CASE WHEN side = 'BID' THEN -price ELSE price END, qty DESC) AS rank FROM lv)
+SELECT snapshot, currency, side, price, qty, rank FROM r WHERE rank <= {DAY_LEVELS}""")
+def q_book_best_per_day(spark, sf_dir):
+    """Best 3 levels per symbol and side of day-long book snapshots."""
+    lv = FD.book_explode(order_books(feed_table(spark, sf_dir), "1 day"))
+    return FD.book_top_n(lv, DAY_LEVELS).select(_ntz("snapshot"), "currency", "side", "price", "qty", "rank")
+
+
+@register("trades_in_range", f"""{_ROUTED_SQL}
+SELECT * FROM routed WHERE ts BETWEEN (SELECT max(ts) FROM routed) - INTERVAL {C.TRADE_POLL_SECONDS} SECOND
+  AND (SELECT max(ts) FROM routed)""")
+def q_trades_in_range(spark, sf_dir):
+    """Trades of the last poll interval, [t0 - 10 s, t0] with t0 the latest trade."""
+    r = _routed_trades(spark, sf_dir)
+    end = r.agg(F.max("ts").alias("t0")).first()["t0"]
+    got = FD.in_time_range(r, F.lit(end), f"{C.TRADE_POLL_SECONDS} SECONDS")
+    return got.select("seq", "currency", "feed", "cost", "quantity", _ntz("ts"))
+
+
 @register("latest_by_symbol", f"""WITH {Q.feed_sql()}
 SELECT currency, feed, last(cost ORDER BY us, seq) AS cost, last(quantity ORDER BY us, seq) AS quantity,
        last(ts ORDER BY us, seq) AS ts, last(seq ORDER BY us, seq) AS seq

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import stats as S
-from ..session import apply_defaults
+from ..session import SESSION_DEFAULTS, settings, ship_package
 from ..sources.fixtures import feed_table
 from . import sqlgen as Q
 from .trade_volume import trade_volume_fold, trade_volume_onepass
@@ -26,8 +26,10 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 def register(name: str, sql: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_defaults(spark)
-            return fn(spark, sf_dir)
+            # plans resolve their time zone when they are built; the caller's settings come back
+            ship_package(spark)
+            with settings(spark, SESSION_DEFAULTS):
+                return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         REGISTRY[name] = (run, sql)

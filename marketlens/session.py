@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,6 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -75,6 +75,23 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the length of a block; what the caller had is restored."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            if old[k] != v:
+                spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in values.items():
+            if old[k] is None:
+                spark.conf.unset(k)
+            elif old[k] != v:
+                spark.conf.set(k, old[k])
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -3,10 +3,13 @@ creation, and in-place compaction by dynamic partition overwrite."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import materialise, settings
 
 
 def create_database(spark: SparkSession, name: str = C.DATABASE, location: str | None = None) -> None:
@@ -49,7 +52,8 @@ def append_partitioned(df: DataFrame, *, table: str | None = None, path: str | N
 
 def compact(spark: SparkSession, table: str, partition_cols=C.PARTITION_COLUMNS,
             tasks: int | None = None) -> DataFrame:
-    """Rewrite every partition of ``table`` in place with one file each.
+    """Rewrite in place, with one file each, the partitions of ``table`` that
+    have more than one file; the others are not read or written.
 
     Keeps every row (no deduplication).  Dynamic partition overwrite replaces
     only the partitions present in the rewritten data; reading and
@@ -58,12 +62,17 @@ def compact(spark: SparkSession, table: str, partition_cols=C.PARTITION_COLUMNS,
     parallelism): a table has many small partitions, so the write is bound by
     files per task, not bytes, and must not be coalesced into a few tasks.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     n = tasks or spark.sparkContext.defaultParallelism
-    cols = spark.table(table).columns
-    spark.table(table).select(*cols).repartition(n, *partition_cols) \
-        .write.mode("overwrite").insertInto(table)
-    spark.catalog.refreshTable(table)
+    t = spark.table(table)
+    files = (t.select(*partition_cols, F.col("_metadata.file_path").alias("_file")).distinct()
+             .groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_files")).where("_files > 1"))
+    dirty = materialise(files.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(partition_cols)]), "dirty-partitions")
+    if not dirty.isEmpty():
+        on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_cols)])
+        with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            t.join(dirty, on, "left_semi").select(*t.columns).repartition(n, *partition_cols) \
+                .write.mode("overwrite").insertInto(table)
+        spark.catalog.refreshTable(table)
     return spark.table(table)
 
 

@@ -81,3 +81,11 @@ def as_feed(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(CORRUPT).isNull()).select(
         F.col("offset").alias("seq"), ts.alias("ts"), F.unix_micros(ts).alias("us"),
         F.coalesce("currency", "topic_currency").alias("currency"), "feed", "cost", "quantity")
+
+
+def undecodable(decoded: DataFrame) -> DataFrame:
+    """The records :func:`as_feed` leaves out, with the text that did not parse:
+    the rows of a quarantine table, so that no message disappears."""
+    return decoded.where(F.col(CORRUPT).isNotNull()).select(
+        "topic", "partition", "offset", "timestamp", F.col(CORRUPT).alias("value"),
+        F.lit("not a feed message").alias("reason"))

@@ -22,11 +22,29 @@ from .source import read_feed_stream
 def feed_from_kafka(spark: SparkSession, bootstrap_servers: str,
                     starting_offsets: str = "latest", **options: str) -> DataFrame:
     """Kafka records of every feed topic as the long feed stream.  Records
-    whose value does not decode are left out of the feed (they remain
-    visible through :func:`marketlens.sources.kafka.decode`)."""
+    whose value does not decode go to :func:`quarantine_from_kafka`."""
+    return KF.as_feed(_decoded(spark, bootstrap_servers, starting_offsets, **options))
+
+
+def _decoded(spark, bootstrap_servers, starting_offsets, **options) -> DataFrame:
     records = KF.read_kafka(spark, bootstrap_servers, stream=True,
                             starting_offsets=starting_offsets, **options)
-    return KF.as_feed(KF.decode(KF.route(records)))
+    return KF.decode(KF.route(records))
+
+
+def quarantine_from_kafka(spark: SparkSession, bootstrap_servers: str, starting_offsets: str = "latest",
+                          **options: str) -> DataFrame:
+    """The records of the same subscription that do not decode."""
+    return KF.undecodable(_decoded(spark, bootstrap_servers, starting_offsets, **options))
+
+
+def write_quarantine(bad: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                     interval_seconds: int = C.MICROBATCH_SECONDS):
+    """Keeps undecodable records as Parquet at ``path`` (exactly once, by the file
+    sink's log); returns the running query."""
+    w = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{interval_seconds} seconds")
+    return w.start()
 
 
 def feed_from_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

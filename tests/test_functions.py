@@ -83,3 +83,10 @@ def test_norm_ppf_matches_reference_implementation(spark):
     got = [r.z for r in df.select(norm_ppf(F.col("p")).alias("z")).collect()]
     want = [NormalDist().inv_cdf(p) for p in ps]
     assert all(abs(a - b) < 1e-12 * max(1, abs(b)) for a, b in zip(got, want))
+
+
+def test_topic_keeps_separators_of_the_symbol(spark):
+    from marketlens.functions.scalars import topic_currency, topic_feed
+    df = spark.createDataFrame([("PRICE_BTC_USD",), ("BID_ETHBTC",), ("PRICE",), ("ASK_",)], "topic string")
+    got = [(r[0], r[1]) for r in df.select(topic_feed("topic"), topic_currency("topic")).collect()]
+    assert got == [("PRICE", "BTC_USD"), ("BID", "ETHBTC"), ("PRICE", ""), ("ASK", "")]

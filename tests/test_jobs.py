@@ -50,3 +50,43 @@ def test_cli_parses_every_command():
     assert p.parse_args(["cycle", "--checkpoint", "c", "--source-path", "s"]).minutes == C.RUN_CYCLE_MINUTES
     assert p.parse_args(["compact"]).table.endswith(C.TRADE_VOLUME_TABLE)
     assert p.parse_args(["analyze", "adf", "--out", "o"]).what == "adf"
+
+
+def test_undecodable_records_are_kept(spark):
+    from marketlens.sources import kafka as KF
+    rows = [("PRICE_BTC_USD", 0, 1, b'{"cost": 1.5, "current_time": 1700000000000}'), ("BID_ETHBTC", 0, 2, b"{broken"), ("BID_X", 1, 3, b"null?")]
+    records = spark.createDataFrame(rows, "topic string, partition int, offset long, value binary").withColumn(
+        "timestamp", F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    d = KF.decode(KF.route(records))
+    feed = KF.as_feed(d).collect()
+    assert [(r.feed, r.currency, r.cost) for r in feed] == [("PRICE", "BTC_USD", 1.5)]
+    bad = KF.undecodable(d).collect()
+    assert sorted((r.topic, r.partition, r.offset, r.value) for r in bad) == [("BID_ETHBTC", 0, 2, "{broken"), ("BID_X", 1, 3, "null?")]
+
+
+def test_quarantine_query_writes_every_bad_record(spark, tmp_path):
+    from marketlens.sources import kafka as KF
+    src, out = str(tmp_path / "in"), str(tmp_path / "bad")
+    spark.createDataFrame([("BID_A", 0, 7, b"{x"), ("BID_A", 0, 8, b'{"cost": 2}')], "topic string, partition int, offset long, value binary") \
+        .withColumn("timestamp", F.to_timestamp(F.lit("2024-01-01 00:00:00"))).write.parquet(src)
+    stream = spark.readStream.schema("topic string, partition int, offset long, value binary, timestamp timestamp").parquet(src)
+    q = jobs.write_quarantine(KF.undecodable(KF.decode(KF.route(stream))), out, str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
+    assert [r.offset for r in spark.read.parquet(out).collect()] == [7]
+
+
+def test_compaction_leaves_clean_partitions(spark):
+    from marketlens.sinks.orc import append_partitioned, create_database
+    create_database(spark, C.DATABASE)
+    table = f"{C.DATABASE}.tv_dirty_{uuid.uuid4().hex[:8]}"
+    day = lambda d, n: spark.range(n).select("id", F.lit(d).cast("date").alias("current_day"), F.lit("A").alias("currency"))
+    append_partitioned(day("2024-01-01", 3), table=table)
+    append_partitioned(day("2024-01-02", 2), table=table)
+    append_partitioned(day("2024-01-02", 4), table=table)
+    def files():
+        rows = spark.table(table).select("current_day", F.col("_metadata.file_path").alias("f")).distinct().collect()
+        return {str(d): {r.f for r in rows if r.current_day == d} for d in {r.current_day for r in rows}}
+    before = files()
+    assert compact(spark, table).count() == 9
+    after = files()
+    assert after["2024-01-01"] == before["2024-01-01"] and len(before["2024-01-02"]) == 2 and len(after["2024-01-02"]) == 1
