@@ -1,7 +1,7 @@
 """Registered queries: Structured Streaming.
 
 Each query replays the feed table through the file source (one parquet
-file per UTC day, in time order), runs a real streaming query to the end of
+file per UTC day, written by one job, read in time order), runs a real streaming query to the end of
 the available input, and returns what the sink holds.  Event-time oracles
 keep the windows that the final watermark (latest event - delay) closed.
 """
@@ -162,11 +162,11 @@ SELECT currency, feed, last(cost ORDER BY us, seq) AS cost, last(quantity ORDER
 FROM feed GROUP BY currency, feed""")
 def q_stream_latest_by_symbol(spark, sf_dir):
     """Latest value of every feed per symbol maintained by a streaming
-    aggregate and kept as an overwritten snapshot table."""
+    aggregate and kept as a versioned snapshot table."""
     from ..operators.feeds import latest_by_key
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)
     out = scratch_path(spark, "latest_snapshot")
     E.latest_snapshot(latest_by_key(s), out, scratch_path(spark, "latest_ckpt"))
-    snap = spark.read.parquet(out)
+    snap = E.read_snapshot(spark, out)
     return snap.select("currency", "feed", "cost", "quantity",
                        F.col("ts").cast("timestamp_ntz").alias("ts"), "seq")

@@ -109,17 +109,38 @@ def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "appen
     return q
 
 
+def snapshot_versions(spark, out: str) -> list:
+    """Complete versions of a snapshot, oldest first, as (file system, path)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out}/version-*/_SUCCESS")) or []
+    paths = sorted((s.getPath().getParent() for s in done), key=lambda p: p.getName())
+    return [(fs, p) for p in paths]
+
+
+def read_snapshot(spark, out: str) -> DataFrame:
+    """The latest complete version of a snapshot."""
+    return spark.read.parquet(snapshot_versions(spark, out)[-1][1].toString())
+
+
 def latest_snapshot(latest: DataFrame, out: str, checkpoint: str, *,
                     available_now: bool = True, partitions: int | None = None) -> StreamingQuery:
     """Keep the latest value per key as a table at ``out``.
 
     The aggregate's state holds one row per key (bounded by the number of
     keys, so no watermark is needed); complete mode hands the whole (small)
-    result to every batch, which overwrites the snapshot — a replayed batch
-    rewrites the same snapshot, so the sink is idempotent.
+    result to every batch.  Each batch writes a version of its own, so a
+    reader (:func:`read_snapshot`) always finds a complete one, also while a
+    batch is being written or after a crash; a replayed batch rewrites its
+    own version.  The version before the last is kept, older ones go.
     """
+    spark = latest.sparkSession
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/version-{batch_id:012d}")
+        for fs, p in snapshot_versions(spark, out)[:-2]:
+            fs.delete(p, True)
     w = latest.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w

@@ -108,3 +108,46 @@ def test_rocksdb_state_store_of_the_cluster_profile(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_slices_are_written_by_one_job_and_read_in_order(spark):
+    feed = feed_table(spark, SF001)
+    src = scratch_path(spark, "t_slices")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("slices", "one job for all slices")
+    n = write_time_slices(feed, src)
+    jobs = len(tracker.getJobIdsForGroup("slices"))
+    spark.sparkContext.setJobGroup("none", "")
+    assert n > 5 and jobs <= 2          # the scan's shuffle stage and the write, whatever the number of days
+    seen = []
+    q = read_feed_stream(spark, src, 1).writeStream.foreachBatch(
+        lambda b, i: seen.append(b.agg(F.min("us"), F.max("us"), F.count("*")).first())) \
+        .option("checkpointLocation", scratch_path(spark, "t_slices_ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert len(seen) == n and all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+    assert sum(s[2] for s in seen) == feed.count()
+
+
+def test_later_input_releases_the_open_window(spark):
+    feed = feed_table(spark, SF001)
+    src, out, ckpt = (scratch_path(spark, f"t_open_{x}") for x in ("in", "out", "ckpt"))
+    run = lambda: E.run_to_files(E.stream_trade_volume(read_feed_stream(spark, src, 50), "1 day", "1 hour"), out, ckpt)
+    write_time_slices(feed, src)
+    run()
+    everything = trade_volume_onepass(feed).count()
+    assert spark.read.parquet(out).count() < everything
+    later = feed_rows(spark, [(10**9, "2031-01-01 00:00:01", "ETHBTC", "PRICE", 1.0, None)])
+    write_time_slices(later, src)
+    run()
+    assert spark.read.parquet(out).count() == everything
+
+
+def test_snapshot_survives_a_broken_batch(spark):
+    out = scratch_path(spark, "t_versions")
+    frame = lambda v: spark.createDataFrame([(v,)], "v int")
+    frame(1).write.parquet(f"{out}/version-000000000000")
+    frame(2).write.parquet(f"{out}/version-000000000001")
+    fs, p = E.snapshot_versions(spark, out)[-1]
+    jvm = spark.sparkContext._jvm
+    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{p.toString()}/_SUCCESS"), False)     # the crash
+    assert E.read_snapshot(spark, out).first().v == 1
