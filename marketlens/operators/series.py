@@ -13,7 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normal import norm_ppf
@@ -51,20 +51,45 @@ def standardised(s: DataFrame) -> DataFrame:
 # X1 autocorrelation, X2 partial autocorrelation
 # ---------------------------------------------------------------------------
 
-def acf(df: DataFrame, key: str = "currency", order: str = "current_time",
-        value: str = "first_cost", nlags: int = 10) -> DataFrame:
-    """``(key, lag, acf)`` for lag 0..nlags: sum(d_t d_{t-k}) / sum(d_t^2)
-    with d = y - mean(y) (the biased estimator of a standard ACF)."""
-    s = series(df, key, order, value)
-    d = s.withColumn("d", F.col("y") - F.col("_mean"))
+def _acf(df: DataFrame, key: str, order: str, value: str, nlags: int) -> DataFrame:
+    """``(key, n, lag, acf)``."""
+    d = series(df, key, order, value).withColumn("d", F.col("y") - F.col("_mean"))
     lagged = with_lags(d, key, "t", ["d"], list(range(1, nlags + 1)))
     sums = lagged.groupBy(key).agg(
-        F.sum(F.col("d") * F.col("d")).alias("c0"),
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("d") * F.col("d")).alias("c0"),
         *[F.sum(F.col("d") * F.col(f"d_lag{k}")).alias(f"c{k}") for k in range(1, nlags + 1)])
     entries = F.array(*[F.struct(F.lit(k).alias("lag"),
                                  F.try_divide(F.col(f"c{k}"), F.col("c0")).alias("acf"))
                         for k in range(nlags + 1)])
-    return sums.select(key, F.inline(entries))
+    return sums.select(key, "n", F.inline(entries))
+
+
+def acf(df: DataFrame, key: str = "currency", order: str = "current_time",
+        value: str = "first_cost", nlags: int = 10) -> DataFrame:
+    """``(key, lag, acf)`` for lag 0..nlags: sum(d_t d_{t-k}) / sum(d_t^2)
+    with d = y - mean(y) (the biased estimator of a standard ACF)."""
+    return _acf(df, key, order, value, nlags).drop("n")
+
+
+# --- fixed value: two-sided 95 % point of the normal distribution ---------------
+Z95 = 1.959963984540054
+
+
+def correlogram(df: DataFrame, key: str = "currency", order: str = "current_time",
+                value: str = "first_cost", nlags: int = 10) -> DataFrame:
+    """``(key, lag, acf, acf_band, pacf, pacf_band)``: both correlations with the
+    half-widths of their 95 % bands.  Bartlett's variance for the ACF,
+    (1 + 2 sum_{0<i<k} r_i^2) / n at lag k; 1/n for the PACF; 0 at lag 0."""
+    a = _acf(df, key, order, value, nlags)
+    before = Window.partitionBy(key).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
+    square = F.when(F.col("lag") > 0, F.col("acf") * F.col("acf")).otherwise(F.lit(0.0))
+    own = F.col("lag") > 0
+    a = (a.withColumn("_r2", F.coalesce(F.sum(square).over(before), F.lit(0.0)))
+          .withColumn("acf_band", F.when(own, Z95 * F.sqrt((1 + 2 * F.col("_r2")) / F.col("n"))).otherwise(F.lit(0.0)))
+          .withColumn("pacf_band", F.when(own, Z95 / F.sqrt("n")).otherwise(F.lit(0.0))))
+    p = pacf(a.select(key, "lag", "acf"), key).select(F.col(key).alias("_key"), F.col("lag").alias("_lag"), "pacf")
+    return a.join(p, F.col(key).eqNullSafe(F.col("_key")) & (F.col("lag") == F.col("_lag"))).select(
+        key, "lag", "acf", "acf_band", "pacf", "pacf_band")
 
 
 def durbin_levinson(r: np.ndarray) -> np.ndarray:

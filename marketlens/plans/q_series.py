@@ -68,6 +68,51 @@ def q_pacf(spark, sf_dir):
     return _rounded(X.pacf(a))
 
 
+_PACF_CTE = f"""rl AS (SELECT currency, list(acf ORDER BY lag) AS r FROM acf_ GROUP BY currency),
+dl AS (
+  SELECT currency, 1 AS k, [r[2]] AS phi, r[2] AS pkk, r FROM rl
+  UNION ALL
+  SELECT currency, k + 1 AS k,
+         list_append(list_transform(range(1, k + 1), lambda j: phi[j] - pk * phi[k + 1 - j]), pk) AS phi, pk AS pkk, r
+  FROM (SELECT currency, k, phi, r,
+               (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
+               / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS pk
+        FROM dl WHERE k < {NLAGS}))"""
+
+
+@register("correlogram", f"""WITH RECURSIVE {_acf_cte()},
+{_PACF_CTE},
+n_ AS (SELECT currency, count(*) AS n FROM s GROUP BY currency),
+bands_ AS (SELECT acf_.currency, acf_.lag, acf, n,
+             coalesce(sum(CASE WHEN acf_.lag > 0 THEN acf * acf ELSE 0 END) OVER (
+               PARTITION BY acf_.currency ORDER BY acf_.lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS r2
+      FROM acf_ JOIN n_ USING (currency))
+SELECT bands_.currency, bands_.lag, round(bands_.acf, {Q.R}) AS acf,
+       round(CASE WHEN bands_.lag > 0 THEN {X.Z95!r} * sqrt((1 + 2 * r2) / n) ELSE 0.0::DOUBLE END, {Q.R}) AS acf_band,
+       round(CASE WHEN bands_.lag > 0 THEN pkk ELSE 1.0::DOUBLE END, {Q.R}) AS pacf,
+       round(CASE WHEN bands_.lag > 0 THEN {X.Z95!r} / sqrt(n) ELSE 0.0::DOUBLE END, {Q.R}) AS pacf_band
+FROM bands_ LEFT JOIN dl ON dl.currency = bands_.currency AND dl.k = bands_.lag""")
+def q_correlogram(spark, sf_dir):
+    """Autocorrelation and partial autocorrelation with their 95 % bands, lags 0..10."""
+    return _rounded(X.correlogram(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
+
+
+@register("arima_residual_correlogram", None)
+def q_arima_residual_correlogram(spark, sf_dir):
+    """Correlogram with bands of the residuals of each symbol's best ARIMA model."""
+    from ..operators.arima import arima_forecast
+    fit = arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1).where("kind = 'fit'")
+    return X.correlogram(fit, order="t", value="resid", nlags=5)
+
+
+@register("arima_residual_adf", None)
+def q_arima_residual_adf(spark, sf_dir):
+    """Dickey-Fuller test (one lag) of the residuals of each symbol's best ARIMA model."""
+    from ..operators.arima import arima_forecast
+    fit = arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1).where("kind = 'fit'")
+    return X.adf(fit, order="t", value="resid", maxlag=1, autolag=None)
+
+
 @register("adf", None)
 def q_adf(spark, sf_dir):
     """Augmented Dickey-Fuller test of each symbol's daily first price,

@@ -206,3 +206,27 @@ def test_forecasts_grow_at_most_as_polynomials(spark, tv):
         assert np.all(np.isfinite(f)) and np.abs(rest[200:]).max() <= np.abs(rest[:200]).max() + 1e-6
     assert not outside_unit_circle([1.2], -1) and outside_unit_circle([0.5], -1) and outside_unit_circle([], 1)
     assert not outside_unit_circle([2.0], 1) and outside_unit_circle([0.0, 0.4], 1)
+
+
+def test_correlogram_bands(tv, series_np):
+    got = X.correlogram(tv, nlags=4).toPandas()
+    for cur, g in list(series_np.items())[:4]:
+        y = g["first_cost"].to_numpy()
+        d, n = y - y.mean(), len(y)
+        r = [np.sum(d[k:] * d[:n - k]) / np.sum(d * d) for k in range(5)]
+        rows = got[got.currency == cur].sort_values("lag")
+        want = [0.0] + [1.959963984540054 * math.sqrt((1 + 2 * sum(x * x for x in r[1:k])) / n) for k in range(1, 5)]
+        assert np.allclose(rows["acf"], r) and np.allclose(rows["acf_band"], want)
+        assert np.allclose(rows["pacf_band"][1:], 1.959963984540054 / math.sqrt(n))
+
+
+def test_residual_diagnostics_use_the_models_residuals(spark):
+    from marketlens.operators.arima import arima_forecast
+    df = spark.createDataFrame([("K", t, float(v)) for t, v in enumerate(walk(50.0, 400))], "currency string, current_time long, first_cost double")
+    fit = arima_forecast(df, horizon=1, max_p=2, max_d=1, max_q=1).where("kind = 'fit'")
+    e = fit.where("resid IS NOT NULL").orderBy("t").toPandas()["resid"].to_numpy()
+    d = e - e.mean()
+    got = X.correlogram(fit, order="t", value="resid", nlags=3).orderBy("lag").toPandas()
+    assert np.allclose(got["acf"], [np.sum(d[k:] * d[:len(d) - k]) / np.sum(d * d) for k in range(4)])
+    assert (np.abs(got["acf"][1:]) < 3 * got["acf_band"][1:]).all()        # close to white noise
+    assert X.adf(fit, order="t", value="resid", maxlag=1, autolag=None).first().adf_stat < -8
