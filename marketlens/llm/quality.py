@@ -10,9 +10,9 @@ guard: the common-word rule asks for ``MIN_WORDS_COMMON`` words, and both
 limits widen by a slack over sqrt(n), as the scatter of a sample of n does.
 
 Defined results: null and empty texts have no words and fail the base rule; a
-null language is a language of its own; languages beyond the ``LANGUAGES``
-with most words share one pooled reference, as does a language without any
-long enough document; ties among common words go by the word; repeated rows
+null language is a language of its own, and every language has its own
+reference, however many there are; a language without any long enough document
+uses the pooled one; ties among common words go by the word; repeated rows
 each get a row; an empty table gives no rows; extra columns are not returned.
 """
 
@@ -23,7 +23,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import free_name, written
 
@@ -36,7 +36,8 @@ STOPS = ".,;:!?'\"()-"
 CLASSES = ("lower", "upper", "digit", "stop", "symbol", "wide", "blank")
 
 COMMON_WORDS = 100
-LANGUAGES = 256
+LANGUAGES = 256            # languages whose references are broadcast; those of the others are joined
+SALTS = 16                 # parts that the documents of a joined language are dealt to
 MIN_WORDS_COMMON = 100
 MAX_CLASS_DISTANCE = 0.13
 MAX_COMMON_DISTANCE = 0.30
@@ -129,10 +130,14 @@ def language_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS,
                languages: int = LANGUAGES) -> dict:
-    """{lang: (class histogram, {word: cell}, common-word histogram)} with key
-    ``...`` (Ellipsis) for the pooled reference.  At most ``languages`` + 1
-    references of ``common`` words each reach the driver."""
-    counts = written(language_counts(docs, text, lang), "language-counts")
+    """The largest references of the documents."""
+    return largest_references(written(language_counts(docs, text, lang), "language-counts"), common, languages)
+
+
+def largest_references(counts: DataFrame, common: int, languages: int) -> dict:
+    """{lang: (class histogram, {word: cell}, common-word histogram)} of the ``languages``
+    languages with most words, with key ``...`` (Ellipsis) for the pooled reference.  At most
+    ``languages`` + 1 references of ``common`` words each reach the driver."""
     sizes = (counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), F.asc_nulls_last("lang")).limit(languages).collect())
     largest = [r["lang"] for r in sizes]
@@ -159,6 +164,29 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
             for k, (c, cells, n) in out.items()}
 
 
+def other_references(counts: DataFrame, named: Column, common: int = COMMON_WORDS) -> DataFrame:
+    """(lang, total, entries): one row per language that is not ``named``; entries are its
+    character classes and ``common`` most frequent words, total counts all its words."""
+    rows = counts.where(~named)
+    rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
+    top = (rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= common)
+           .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("kind", "rank", "key", "n"))).alias("entries")))
+    total = rows.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("total"))
+    return written(top.join(total, top["lang"].eqNullSafe(total["lang"])).select(top["lang"], "total", "entries"), "language-references")
+
+
+def reference(entries: list, total: int) -> tuple[np.ndarray, dict, np.ndarray]:
+    """(class histogram, {word: cell}, common-word histogram) of a row of the table."""
+    classes, cells, n = np.zeros(len(CLASSES)), {}, []
+    for e in entries:
+        if e["kind"] == 0:
+            classes[CLASSES.index(bytes(e["key"]).decode())] = e["n"]
+        else:
+            cells[bytes(e["key"])] = len(n)
+            n.append(e["n"])
+    return classes, cells, np.array([*n, total - sum(n)], dtype=float)
+
+
 def divergence(raw: bytes, words: list[bytes], ref) -> tuple[float, float]:
     """Distances of a text to a reference: character classes, common words."""
     classes, cells, common = ref
@@ -184,7 +212,8 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", max_class: f
            max_common: float = MAX_COMMON_DISTANCE, keep_columns: list[str] | None = None) -> DataFrame:
     """One row per document: ``keep_columns`` (default: all) and COLUMNS, which
     replace input columns of the same name."""
-    refs = references(docs, text, lang)
+    counts = written(language_counts(docs, text, lang), "language-counts")
+    refs = largest_references(counts, COMMON_WORDS, LANGUAGES)
     own = [c.split()[0] for c in COLUMNS.split(", ")]
     kept = [c for c in (docs.columns if keep_columns is None else keep_columns) if c.lower() not in own]
     t, g = free_name(kept, "whole_text"), free_name(kept, "whole_lang")
@@ -194,22 +223,45 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", max_class: f
     def judge(batches):
         empty = (np.zeros(len(CLASSES)), {}, np.zeros(1))
         pooled = refs.get(..., empty)
+        joined: dict = {}
         for b in batches:
             n = len(kept)
             rows = []
-            for x, l in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist()):
+            for i, (x, l) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())):
+                ref = refs.get(l) or joined.get(l)
+                if ref is None and b.num_columns > n + 2:       # the language's own, joined to the row
+                    own_row = b.column(n + 2)[i].as_py()
+                    ref = reference(own_row["entries"], own_row["total"]) if own_row else pooled
+                    if len(joined) >= LANGUAGES:
+                        joined.clear()
+                    joined[l] = ref
                 x = x or ""
                 raw = x.encode()
                 words = raw.split()
                 counts = base_counts(x, words)
                 failed = base_failed(len(words), counts[3])
-                d = divergence(raw, raw.lower().split(), refs.get(l, pooled))
+                d = divergence(raw, raw.lower().split(), ref or pooled)
                 ok = not failed and verdict(len(words), *d, max_class, max_common)
                 rows.append((len(words), *counts, failed, ok, *d))
             cols = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 9, [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), *cols], names=[*kept, *own])
 
-    return src.mapInArrow(judge, schema)
+    named = [x for x in refs if x is not ...]
+    if len(named) < LANGUAGES:
+        return src.mapInArrow(judge, schema)
+    # the references of the other languages meet their documents in a shuffle
+    def is_large(c):
+        return F.coalesce(c.isin([x for x in named if x is not None]), F.lit(None in named))
+
+    large = is_large(F.col(g))
+    salt, ref = free_name(src.columns, "whole_salt"), free_name(src.columns, "whole_ref")
+    rest = (other_references(counts, is_large(F.col("lang")))
+            .select(F.col("lang").alias("ref_lang"), F.struct("entries", "total").alias("ref"))
+            .withColumn("ref_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    others = src.where(~large).withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).alias("d")
+    met = (others.join(rest.alias("r"), F.col(f"d.{g}").eqNullSafe(F.col("r.ref_lang")) & (F.col(f"d.{salt}") == F.col("r.ref_salt")), "left")
+           .select(*(F.col(f"d.`{c}`") for c in src.columns), F.col("r.ref").alias(ref)))
+    return src.where(large).mapInArrow(judge, schema).unionByName(met.mapInArrow(judge, schema))
 
 
 def keep_good(docs: DataFrame, **kw) -> DataFrame:

@@ -80,6 +80,25 @@ def test_unknown_languages_use_the_pool(spark):
     assert {g.doc_id for g in Q.judged(frame(spark, rows)).collect()} == {x[0] for x in rows}
 
 
+def test_every_language_has_its_own_reference(spark):
+    """More languages than are broadcast: the smallest are judged by their own words, not by the pool."""
+    r = random.Random(2)
+    rows = []
+    for k in range(300):
+        words = [f"w{k}x{j}" for j in range(30)]
+        rows += [(10 * k + i, " ".join(r.choice(words) for _ in range(300 - k // 2)), f"l{k}" if k != 299 else None) for i in range(3)]
+    rows += [(5000 + i, "only short texts", "short") for i in range(3)]
+    got = {g.doc_id: g for g in Q.judged(frame(spark, rows), keep_columns=["doc_id", "lang"]).collect()}
+    assert len(got) == len(rows) and all(got[d].kept == (lang != "short") for d, _, lang, *_ in rows)
+    for k in (0, 200, 270, 298, 299):
+        mine = [(d, t.encode().split()) for d, t, lang in rows if lang == (f"l{k}" if k != 299 else None)]
+        count = Counter(w for _, ws in mine for w in ws)
+        for d, ws in mine:
+            p = np.array([ws.count(w) for w in count], dtype=float)
+            assert got[d].common_distance == pytest.approx(Q.js_distance(p, np.array(list(count.values()), dtype=float)))
+    assert {g.doc_id for g in Q.keep_good(frame(spark, rows)).collect()} == {d for d, _, lang, *_ in rows if lang != "short"}
+
+
 def test_keep_good_keeps_columns(spark, docs01):
     docs = docs01.withColumnRenamed("n_chars", "N_words").withColumnRenamed("source", "quality_kept")
     kept = Q.keep_good(docs)
