@@ -7,9 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,11 +19,3 @@ def spark():
     shared_dir(s)
     yield s
     s.stop()
-
-
-def feed_rows(spark, rows):
-    """Literal long-feed frame from (seq, 'YYYY-mm-dd HH:MM:SS[.f]', currency, feed, cost, quantity)."""
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame(rows, "seq long, ts string, currency string, feed string, cost double, quantity double")
-    ts = F.to_timestamp("ts")
-    return df.select("seq", ts.alias("ts"), F.unix_micros(ts).alias("us"), "currency", "feed", "cost", "quantity")

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from feed_help import SF001
 from marketlens import config as C
 from marketlens.operators import feeds as FD
 from marketlens.plans.tv import saved_trade_volume
@@ -75,7 +75,7 @@ def test_filter_symbols_list_and_frame(spark):
 
 
 def test_in_time_range_and_latest_ties(spark):
-    from conftest import feed_rows
+    from feed_help import feed_rows
     rows = feed_rows(spark, [
         (1, "2024-01-01 00:00:00", "A", "PRICE", 1.0, None),
         (2, "2024-01-01 00:00:05", "A", "PRICE", 2.0, None),
@@ -91,7 +91,7 @@ def test_in_time_range_and_latest_ties(spark):
 
 
 def test_poll_limit_keeps_oldest(spark):
-    from conftest import feed_rows
+    from feed_help import feed_rows
     rows = feed_rows(spark, [(i, f"2024-01-01 00:00:0{i}", "A", "SELL", float(i), 1.0) for i in range(6)])
     got = sorted(r.seq for r in FD.poll_limited(rows, "10 seconds", limit=2).collect())
     assert got == [0, 1]

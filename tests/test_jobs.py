@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from feed_help import SF001
 from marketlens import config as C
 from marketlens.__main__ import build_parser
 from marketlens.operators import series as X

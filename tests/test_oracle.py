@@ -7,7 +7,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF01
+from feed_help import ROOT, SF01
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
@@ -47,12 +47,12 @@ STREAM_KEYS = ["stream_restart", "stream_candles", "stream_dedup", "stream_micro
 
 @pytest.fixture(scope="module")
 def con_small():
-    from conftest import SF001
+    from feed_help import SF001
     return duck(SF001)
 
 
 @pytest.mark.parametrize("name", STREAM_KEYS)
 def test_streaming_matches_duckdb(spark, con_small, name):
-    from conftest import SF001
+    from feed_help import SF001
     r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF001, con_small, verbose=True)
     assert r["cols_ok"] and r["types_ok"] and r["match"], r

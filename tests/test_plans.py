@@ -5,7 +5,7 @@ limited map-side."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from feed_help import SF001
 from marketlens.plans.registry import REGISTRY
 
 BATCH = sorted(k for k in REGISTRY if not k.startswith("stream_") and k != "run_cycle")

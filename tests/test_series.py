@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import SF01
+from feed_help import SF01
 from marketlens.operators import series as X
 from marketlens.operators.analysis import corr_matrix
 from marketlens.operators.arima import arima_fits

@@ -3,7 +3,7 @@ dedup state eviction, idempotent foreachBatch."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, feed_rows
+from feed_help import SF001, feed_rows
 from marketlens.plans.trade_volume import trade_volume_onepass
 from marketlens.session import scratch_path
 from marketlens.sources.fixtures import feed_table

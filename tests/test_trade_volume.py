@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01, feed_rows
+from feed_help import SF001, SF01, feed_rows
 from marketlens.plans.trade_volume import trade_volume_fold, trade_volume_onepass
 from marketlens.schemas import TRADE_VOLUME_SCHEMA
 from marketlens.sources.fixtures import feed_table
