@@ -6,8 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools"), os.path.join(ROOT, "tests", "llm")]
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+from llm_help import SF01  # noqa: E402
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,7 @@
-"""Helpers of the text-operator tests."""
+"""Paths and helpers of the text-operator tests."""
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
 
 
 def frame(spark, rows, schema="doc_id long, text string, lang string, source string, n_chars long"):

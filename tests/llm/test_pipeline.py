@@ -5,7 +5,7 @@ import random
 import __spark_entry__ as E
 import corpus_pipeline as CP
 import pytest
-from conftest import SF001, SF01
+from llm_help import SF001, SF01
 from llm_help import union_find
 from oracle_check import compare, duck
 from test_decontam import brute as brute_decontam
