@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, decontam, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files
+from . import chat, decontam, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files, vector_codes
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -176,6 +176,36 @@ def op10(spark, sf_dir):
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    near = """SELECT p.r, p.pos, any_value(p.part) AS part, min({{'d': list_sum(list_transform(range(1, len(p.part) + 1),
+    lambda i: (p.part[i] - b.entry[i]) * (p.part[i] - b.entry[i])))::BIGINT, 'e': b.e}}) AS m
+  FROM p JOIN b{0} b ON p.pos = b.pos GROUP BY p.r, p.pos"""
+    steps = "".join(f""",
+a{i} AS MATERIALIZED ({near.format(i)}),
+b{i + 1} AS MATERIALIZED (SELECT o.pos, o.e, coalesce(n.entry, o.entry) AS entry FROM b{i} o LEFT JOIN (
+  SELECT pos, e, list((s - (((s % n) + n) % n)) // n ORDER BY dim) AS entry FROM (
+    SELECT pos, e, dim, sum(x)::HUGEINT AS s, count(*) AS n
+    FROM (SELECT pos, m.e AS e, unnest(range(1, len(part) + 1)) AS dim, unnest(part) AS x FROM a{i}) GROUP BY pos, e, dim)
+  GROUP BY pos, e) n ON o.pos = n.pos AND o.e = n.e)""" for i in range(rounds))
+    return f"""WITH k AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r FROM (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+p AS MATERIALIZED (SELECT r, pos, v[pos * len(v) // {parts} + 1 : (pos + 1) * len(v) // {parts}] AS part
+  FROM (SELECT r, v, unnest(range({parts})) AS pos FROM k)),
+b0 AS (SELECT pos, (r - 1)::INT AS e, part::HUGEINT[] AS entry FROM p WHERE r <= {entries}){steps},
+f AS MATERIALIZED ({near.format(rounds)}),
+c AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY pos) AS code, sum(m.d)::BIGINT AS error FROM f GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY pos, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT k.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, h.codebooks_sha256
+FROM k JOIN c USING (r) LEFT JOIN h ON true"""
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11(spark, sf_dir):
+    """Product code of every whole vector of embeddings."""
+    return vector_codes.codes(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in QUERIES.items()}
 
