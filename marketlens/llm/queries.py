@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, decontam, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files, vector_codes
+from . import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files, vector_codes
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -206,6 +206,44 @@ def op11(spark, sf_dir):
     return vector_codes.codes(read_table(spark, sf_dir, "embeddings"))
 
 
+def _op13_sql() -> str:
+    quoted = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    words = _OP7_WORDS.replace("coalesce(text, '')", "text")
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_OP7_WORDS} AS words FROM documents),
+t AS MATERIALIZED (SELECT template, label, {words} AS words FROM (VALUES {quoted}) v(template, label, text)),
+g AS (SELECT r, k, words[k] AS a, words[k + 1] AS b, words[k + 2] AS c FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS k FROM d)),
+tg AS MATERIALIZED (SELECT template, o, words[o + 1] AS a, words[o + 2] AS b, words[o + 3] AS c
+  FROM (SELECT template, words, unnest(range(0, len(words) - 2)) AS o FROM t)),
+base AS (SELECT r, k - 1 AS pos, CASE WHEN a = 'mit' THEN 'mit' WHEN a = 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM g
+  WHERE (a IN ('mit', 'apache') AND b = 'license') OR (a = 'general' AND b = 'public' AND c = 'license')),
+v AS (SELECT r, template, k - 1 - o AS diagonal, o, k - 1 AS pos FROM g JOIN tg USING (a, b, c)),
+n AS (SELECT r, template, diagonal, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap
+  FROM (SELECT DISTINCT r, template, diagonal FROM v)),
+s AS (SELECT r, template, diagonal, count(*) FILTER (gap IS NULL OR gap > {licenses.DRIFT})
+  OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM n),
+h AS (SELECT r, template, span, count(DISTINCT w) AS held, max(pos) + {licenses.K} - min(pos) AS width
+  FROM (SELECT v.r, v.template, span, pos, unnest([o, o + 1, o + 2]) AS w FROM v JOIN s ON v.r = s.r AND v.template = s.template AND v.diagonal = s.diagonal)
+  GROUP BY r, template, span),
+f AS (SELECT r, label, held / len(words) AS share FROM h JOIN t USING (template)
+  WHERE held / len(words) >= {licenses.MIN_SHARE}::DOUBLE AND held >= {licenses.MIN_DENSITY}::DOUBLE * width),
+b AS (SELECT r, count(*) AS n_base, min(pos)::BIGINT AS first_word, max(pos)::BIGINT AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM
+  (SELECT r, label FROM base UNION ALL SELECT r, label FROM f) GROUP BY r),
+m AS (SELECT r, max(share) AS share FROM f GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+  greatest(coalesce(share, 0), CASE WHEN n_base > 0 THEN {licenses.BASE_SCORE} ELSE 0 END)::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN m USING (r)"""
+
+
+@query("op13_license_scan", _op13_sql())
+def op13(spark, sf_dir):
+    """License phrases and verified license notices of every whole text of documents."""
+    found = licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+    return (found.withColumn("base_labels", F.concat_ws(",", "base_labels")).withColumn("labels", F.concat_ws(",", "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in QUERIES.items()}
 
