@@ -67,8 +67,9 @@ MIN_DENSITY = 0.7
 BASE_SCORE = 0.5
 
 
-def _grams(words: Column, at: Column) -> list[Column]:
-    return [F.get(words, at + i) for i in range(K)]
+def grams(words: Column) -> Column:
+    """Array of (w0 .. w[K-1]): the words from every position on; null beyond the end."""
+    return F.arrays_zip(*[F.slice(words, i + 1, F.size(words)).alias(f"w{i}") for i in range(K)])
 
 
 def template_words(spark: SparkSession) -> DataFrame:
@@ -80,20 +81,20 @@ def template_words(spark: SparkSession) -> DataFrame:
 
 def template_index(spark: SparkSession) -> DataFrame:
     """(gram, places): every gram hash of the templates with its (words, template, at)."""
-    starts = F.sequence(F.lit(0), F.size("words") - K)
-    t = template_words(spark).where(F.size("words") >= K).select("template", "words", F.explode(starts).alias("at"))
-    place = F.struct(F.slice("words", F.col("at") + 1, K).alias("words"), "template", "at")
-    return (t.select(F.xxhash64(*_grams(F.col("words"), F.col("at"))).alias("gram"), place.alias("p"))
+    t = (template_words(spark).select("template", F.posexplode(grams(F.col("words"))).alias("at", "g"))
+         .where(F.col(f"g.w{K - 1}").isNotNull()))
+    place = F.struct(F.array("g.*").alias("words"), "template", "at")
+    return (t.select(F.xxhash64("g.*").alias("gram"), place.alias("p"))
             .groupBy("gram").agg(F.collect_list("p").alias("places")))
 
 
-def phrase_label(words: Column, at: Column) -> Column:
-    """Label of the base phrase that begins at a position, or null."""
+def phrase_label(gram: str) -> Column:
+    """Label of the base phrase that a gram begins with, or null."""
     out = F.lit(None).cast("string")
     for phrase, label in PHRASES:
         here = F.lit(True)
         for i, w in enumerate(phrase.split()):
-            here = here & F.coalesce(F.get(words, at + i) == w, F.lit(False))
+            here = here & F.coalesce(F.col(f"{gram}.w{i}") == w, F.lit(False))
         out = F.when(here, F.lit(label)).otherwise(out)
     return out
 
@@ -101,18 +102,18 @@ def phrase_label(words: Column, at: Column) -> Column:
 def license_places(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, doc_id, n_words, pos, base, places): the positions of every text where a base phrase or a
     template gram begins; and one row per text at position -1 with its number of words."""
-    words = F.concat(F.array(F.lit("")), word_array(F.col(text)))
-    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words.alias("words"))
-    t = (d.select("row", "doc_id", "words", F.posexplode("words").alias("at", "w"))
-         .withColumn("gram", F.xxhash64(F.col("w"), *_grams(F.col("words"), F.col("at"))[1:]))
-         .withColumn("base", phrase_label(F.col("words"), F.col("at")))
-         .join(F.broadcast(template_index(docs.sparkSession)), "gram", "left"))
-    here = F.slice("words", F.col("at") + 1, K)
-    return (t.where(F.col("places").isNotNull() | F.col("base").isNotNull() | (F.col("at") == 0))
-            .select("row", F.when(F.col("at") == 0, F.col("doc_id")).alias("doc_id"),
-                    F.when(F.col("at") == 0, F.size("words") - 1).cast("long").alias("n_words"), (F.col("at") - 1).cast("long").alias("pos"), "base",
-                    F.transform(F.filter("places", lambda p: p["words"] == here),
-                                lambda p: F.struct(p["template"].alias("template"), p["at"].alias("at"))).alias("places")))
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), word_array(F.col(text)).alias("words"))
+    # position 0 is an empty word that stands for the text itself
+    d = d.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), grams(F.concat(F.array(F.lit("")), F.col("words"))).alias("grams"))
+    own = F.col("at") == 0
+    t = (d.select("row", "doc_id", "n_words", F.posexplode("grams").alias("at", "g"))
+         .withColumn("gram", F.xxhash64("g.*")).withColumn("base", phrase_label("g"))
+         .join(F.broadcast(template_index(docs.sparkSession)), "gram", "left")
+         .where(F.col("places").isNotNull() | F.col("base").isNotNull() | own))
+    same = F.filter("places", lambda p: p["words"] == F.array("g.*"))
+    return t.select("row", F.when(own, F.col("doc_id")).alias("doc_id"), F.when(own, F.col("n_words")).alias("n_words"),
+                    (F.col("at") - 1).cast("long").alias("pos"), "base",
+                    F.transform(same, lambda p: F.struct(p["template"].alias("template"), p["at"].alias("at"))).alias("places"))
 
 
 def diagonals(places: DataFrame) -> DataFrame:
