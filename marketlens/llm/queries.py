@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir, ship_package
-from . import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, substring, token_counts, token_files, vector_codes
+from . import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, spelling, substring, token_counts, token_files, vector_codes
 from .common import read_table
 
 # --- fixed values: files, limits and the extra conversation of the contracts ------
@@ -206,6 +206,12 @@ def op11(spark, sf_dir):
     return vector_codes.codes(read_table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_spelling_variants")
+def op12(spark, sf_dir):
+    """Near words, form and root of every word of documents."""
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 def _op13_sql() -> str:
     quoted = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
     words = _OP7_WORDS.replace("coalesce(text, '')", "text")
