@@ -13,7 +13,8 @@ Defined results: null and empty texts have no words and fail the base rule; a
 null language is a language of its own, and every language has its own
 reference, however many there are; a language without any long enough document
 uses the pooled one; ties among common words go by the word; repeated rows
-each get a row; an empty table gives no rows; extra columns are not returned.
+each get a row; very long texts are taken whole, counted in flat arrays; an empty table gives no rows; extra
+columns are not returned.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ MAX_COMMON_DISTANCE = 0.30
 CLASS_SLACK = 1.6
 COMMON_SLACK = 2.0
 PARTIAL_KEYS = 200_000     # distinct words a task holds before it hands them on
+SLICE_ROWS = 500           # rows whose verdicts a worker holds
+LONG_TEXT = 4096           # words from which on windows are counted in arrays
 
 _CLASS_OF = np.full(256, CLASSES.index("symbol"), dtype=np.int64)
 for _c in range(256):
@@ -59,6 +62,8 @@ def class_counts(raw: bytes) -> np.ndarray:
 
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a 3-word window found twice or more."""
+    if len(words) > LONG_TEXT:
+        return _repeated_in_long(words)
     windows = list(zip(words, words[1:], words[2:]))
     seen = Counter(windows)
     if len(seen) == len(windows):
@@ -70,6 +75,20 @@ def repeated_words(words: list[bytes]) -> int:
     return sum(hit)
 
 
+def _repeated_in_long(words: list[bytes]) -> int:
+    """The same for long texts in flat arrays: windows as triples of word numbers, sorted."""
+    number: dict[bytes, int] = {}
+    at = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
+    # pairs, then triples, are numbered densely, so no product leaves 64 bits
+    _, pair = np.unique(at[:-1] * len(number) + at[1:], return_inverse=True)
+    _, triple, n = np.unique(pair[:-1] * len(number) + at[2:], return_inverse=True, return_counts=True)
+    first = np.flatnonzero(n[triple] > 1)
+    hit = np.zeros(len(words), dtype=bool)
+    for k in range(3):
+        hit[first + k] = True
+    return int(hit.sum())
+
+
 def base_counts(text: str, words: list[bytes]) -> tuple[int, int, int, int]:
     """word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     lines = [x for x in text.split("\n") if x.strip(BLANKS)]
@@ -111,7 +130,8 @@ def language_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
                     "key": pa.array([k[2] for k, _ in ks], pa.binary()), "n": pa.array([n for _, n in ks], pa.int64())})
 
         for b in batches:
-            for t, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for t, g in zip(b.column(0), b.column(1).to_pylist()):
+                t = t.as_py()
                 raw = t.encode() if t else b""
                 words = raw.lower().split()
                 if len(words) < MIN_WORDS:
@@ -216,26 +236,29 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", max_class: f
     refs = largest_references(counts, COMMON_WORDS, LANGUAGES)
     own = [c.split()[0] for c in COLUMNS.split(", ")]
     kept = [c for c in (docs.columns if keep_columns is None else keep_columns) if c.lower() not in own]
-    t, g = free_name(kept, "whole_text"), free_name(kept, "whole_lang")
-    src = docs.select(*kept, F.col(text).alias(t), F.col(lang).cast("string").alias(g))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name not in (t, g)), COLUMNS])
+    # a text goes to the workers once, as a kept column or beside them
+    beside = text not in kept
+    t = free_name(kept, "whole_text") if beside else text
+    g = free_name(kept, "whole_lang")
+    src = docs.select(*[F.col(f"`{c}`") for c in kept], *([F.col(text).alias(t)] if beside else []), F.col(lang).cast("string").alias(g))
+    at_text, at_lang = (len(kept), len(kept) + 1) if beside else (kept.index(text), len(kept))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name in kept), COLUMNS])
 
     def judge(batches):
         empty = (np.zeros(len(CLASSES)), {}, np.zeros(1))
         pooled = refs.get(..., empty)
         joined: dict = {}
-        for b in batches:
-            n = len(kept)
+        for b in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
             rows = []
-            for i, (x, l) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist())):
+            for i, (x, l) in enumerate(zip(b.column(at_text), b.column(at_lang).to_pylist())):
                 ref = refs.get(l) or joined.get(l)
-                if ref is None and b.num_columns > n + 2:       # the language's own, joined to the row
-                    own_row = b.column(n + 2)[i].as_py()
+                if ref is None and b.num_columns > at_lang + 1:       # the language's own, joined to the row
+                    own_row = b.column(at_lang + 1)[i].as_py()
                     ref = reference(own_row["entries"], own_row["total"]) if own_row else pooled
                     if len(joined) >= LANGUAGES:
                         joined.clear()
                     joined[l] = ref
-                x = x or ""
+                x = x.as_py() or ""
                 raw = x.encode()
                 words = raw.split()
                 counts = base_counts(x, words)
@@ -243,8 +266,8 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", max_class: f
                 d = divergence(raw, raw.lower().split(), ref or pooled)
                 ok = not failed and verdict(len(words), *d, max_class, max_common)
                 rows.append((len(words), *counts, failed, ok, *d))
-            cols = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 9, [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), *cols], names=[*kept, *own])
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), *cols], names=[*kept, *own])
 
     named = [x for x in refs if x is not ...]
     if len(named) < LANGUAGES:
@@ -264,9 +287,8 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", max_class: f
     return src.where(large).mapInArrow(judge, schema).unionByName(met.mapInArrow(judge, schema))
 
 
-def keep_good(docs: DataFrame, **kw) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    flag = free_name(docs.columns, "quality_kept")
-    src = docs
-    out = judged(src.select("*", F.struct(*docs.columns).alias(flag)), keep_columns=[flag], **kw)
-    return out.where("kept").select(*[F.col(f"{flag}.{c}").alias(c) for c in docs.columns])
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", **kw) -> DataFrame:
+    """The documents that pass, with their own columns (under numbers meanwhile, so none clashes with COLUMNS)."""
+    number = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    out = judged(docs.toDF(*number.values()), text=number[text], lang=number[lang], **kw)
+    return out.where("kept").select(*[F.col(n).alias(c) for c, n in number.items()])

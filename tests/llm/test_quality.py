@@ -111,3 +111,22 @@ def test_keep_good_keeps_columns(spark, docs01):
 
 def test_empty(spark):
     assert Q.judged(frame(spark, [])).count() == 0 and Q.keep_good(frame(spark, [])).count() == 0
+
+
+def test_long_texts_count_the_same(monkeypatch):
+    import random
+    r = random.Random(6)
+    for vocabulary in (2, 30, 100000):
+        words = [b"w%d" % r.randrange(vocabulary) for _ in range(9000)]
+        monkeypatch.setattr(Q, "LONG_TEXT", 10 ** 9)
+        want = Q.repeated_words(words)
+        monkeypatch.undo()
+        assert Q._repeated_in_long(words) == Q.repeated_words(words) == want
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    rows = [(i, "the cat sat on a mat by the door " * 30, "en", True, 1.0) for i in range(5)] + [(9, "word " * 400000, "en", False, 2.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept boolean, class_distance double")
+    got = {r.doc_id: r for r in Q.judged(df, keep_columns=["doc_id"]).collect()}
+    assert got[9].n_words == 400000 and got[9].n_repeat_words == 400000 and got[9].base_failed
+    assert Q.keep_good(df).columns == df.columns
