@@ -85,3 +85,75 @@ def test_main_path_has_no_python(spark, name, capsys):
     found = S.find_secrets(frame(spark, [(1, "x")]))
     found.explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def numpy_p(value):
+    """The battery by its formulas, symbol by symbol."""
+    import math
+    body = value.rstrip("=").translate(str.maketrans("-_=", "+//"))
+    for name, pattern, alphabet, shares in S.ENCODINGS:
+        if re.search(pattern, body):
+            break
+    if name in ("hex", "base36"):
+        body = body.lower()
+    n, a = len(body), len(alphabet)
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * (z := max(-12, min(12, z))) + 0.070566 * z ** 3))
+    chi = lambda x, df: tail(((max(x, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    uniform = chi(sum(body.count(c) ** 2 for c in set(body)) * a / n - n, a - 1)
+    seen = [sum(c in k for c in body) for k in (S._DIGITS, S._LOWER, S._UPPER)]
+    seen.append(n - sum(seen))
+    classes = chi(sum((o - n * k / a) ** 2 / (n * k / a) for o, k in zip(seen, shares) if k), sum(k > 0 for k in shares) - 1)
+    x = [alphabet.find(c) + 1 for c in body]
+    high = [v * 2 > a + 1 for v in x]
+    both = 2 * sum(high) * (n - sum(high))
+    changes = sum(p != q for p, q in zip(high, high[1:]))
+    runs = 2 * tail(abs((changes - both / n) / math.sqrt(both * (both - n) / (n * n * (n - 1))))) if both > n else 0.0
+    m = sum(x) / n
+    var = sum((v - m) ** 2 for v in x)
+    serial = 2 * tail(abs((sum((p - m) * (q - m) for p, q in zip(x, x[1:])) / var + 1 / n) * math.sqrt(n))) if var else 0.0
+    return name, min(1.0, 3 * min(2 * min(uniform, classes), runs, serial))
+
+
+def test_battery_against_plain_formulas(spark):
+    values = random_strings(120, 7) + ["a" * 30, "abcdefghijklmnopqrstuvwxyz", "thequickbrownfoxjumpsoverthelazydog", "0123456789abcdef" * 3, "AAAABBBBCCCCDDDD2222", "x-y_z=" * 5]
+    df = spark.createDataFrame(list(enumerate(values)), "row long, value string")
+    for r in S.randomness(df).collect():
+        name, p = numpy_p(values[r.row])
+        assert r.encoding == name and r.p == pytest.approx(p, rel=1e-9, abs=1e-12), values[r.row]
+
+
+def test_reported_strings_are_random(spark, texts01):
+    """Natural strings among the reported stay few where the corpus shows what they look like."""
+    r = random.Random(12)
+    prose = [re.findall("[A-Za-z]{2,}", t) for t in texts01.values() if t and len(t) > 900]
+    noise, rows = random_strings(150, 13), []
+    for i in range(900):
+        w = r.choice(prose)
+        at = r.randrange(len(w) - 60)
+        glued = "".join(w[at:at + r.randrange(5, 12)])[:r.choice([20, 24, 28, 40, 60])]
+        rows.append((i, " ".join(w[at + 12:at + 50]) + " " + (noise[i] if i < len(noise) else glued)))
+    got = {g.doc_id: g.spans for g in S.find_secrets(frame(spark, rows)).collect()}
+    found = [i for i, sp in got.items() if any(s.kind_no == 3 for s in sp)]
+    wrong = sum(i >= len(noise) for i in found)
+    assert len(found) - wrong >= 0.8 * len(noise) and wrong <= 0.1 * len(found)
+
+
+def test_long_strings_are_linear(spark):
+    import time
+    r = random.Random(2)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(r.choices(b64, k=2_000_000))
+    many = " ".join(f"token=abc{i:06d} {'%024x' % i}" for i in range(50_000))
+    t0 = time.time()
+    got = {g.doc_id: g.spans for g in S.find_secrets(frame(spark, [(1, "data:" + run), (2, many)])).collect()}
+    assert time.time() - t0 < 90
+    assert [(s.start, s.end) for s in got[1] if s.kind_no == 3] == [(5, 2_000_005)]
+    assert [tuple(s) for s in got[2] if s.kind_no < 3] == brute_base(many) and len(got[2]) >= 100_000
+
+
+def test_candidates_clear_of_base_spans(spark):
+    texts = ["token=" + "Ab3" * 10, "Zz9" * 9 + "password=abcdefgh", "x" * 30 + " " + "0123456789abcdef" * 2 + "GHIJ" * 9, "q1W2" * 8 + " deadbeef" + "AKIA" + "B2" * 9 + "zzzzzzzzzzzz"]
+    for row, t in zip(S.scan(frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect(), texts):
+        base = brute_base(t)
+        want = [(m.start(), m.end()) for m in re.finditer(S.CANDIDATE, t) if not any(b < m.end() and m.start() < e for b, _, e in base)]
+        assert [(c.start, c.end) for c in row.candidates] == want
