@@ -152,9 +152,11 @@ def vocabulary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
 def partitioned(words: DataFrame, leaf: int = LEAF) -> DataFrame:
     """(word, n, depth, prefix): the partition of every word.  A prefix that more than ``leaf`` words share is
     lengthened by one symbol; a word that ends within it is a partition of its own."""
-    done, active, depth = None, words, 0
+    if words.count() <= leaf:
+        return words.select("word", "n", F.lit(0).alias("depth"), F.lit("").alias("prefix"))
+    done, active, depth = None, words, 1
     while True:
-        w = active.withColumn("prefix", F.substring("word", 1, depth) if depth else F.lit(""))
+        w = active.withColumn("prefix", F.substring("word", 1, depth))
         big = written(w.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > leaf)
                       .select(F.col("prefix").alias("big")), "big-prefixes")
         n_big = big.count()
