@@ -6,8 +6,8 @@ stamped with the batch's instant and appended to the partitioned fact table
 — but as one Structured Streaming query with ``foreachBatch``.
 
 ``foreachBatch`` is at-least-once: after a failure the last batch is
-replayed with the same id.  :class:`BatchLog` records committed batch ids
-in the shared folder so a replayed batch is skipped.
+replayed with the same id.  Batches are appended in two phases (:mod:`..sinks.commit`), so a replayed
+batch is skipped, finished, or written anew, wherever the failure struck.
 """
 
 from __future__ import annotations
@@ -17,45 +17,24 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..plans.trade_volume import trade_volume_batch
-from ..sinks.orc import append_partitioned
-
-
-class BatchLog:
-    """Committed micro-batch ids as marker files under ``path``."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs_path(self, batch_id: int):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch-{batch_id:012d}")
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def committed(self, batch_id: int) -> bool:
-        p, fs = self._fs_path(batch_id)
-        return bool(fs.exists(p))
-
-    def commit(self, batch_id: int) -> None:
-        p, fs = self._fs_path(batch_id)
-        fs.create(p, True).close()
+from ..sinks.orc import staged_append
 
 
 def idempotent_append(spark: SparkSession, *, table: str | None = None, path: str | None = None,
                       log: str, transform=None):
-    """``foreachBatch`` function appending each batch once to the table."""
-    batches = BatchLog(spark, log)
+    """``foreachBatch`` function appending each batch exactly once to the table."""
+    sink = staged_append(spark, log, table=table, path=path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batches.committed(batch_id):
+        unit = sink.unit(batch_id)
+        if unit.committed or unit.planned:          # what the earlier attempt wrote counts, not these rows
+            sink.append(None, batch_id)
             return
         batch = batch.persist()          # read the batch once for stamp + write
         try:
-            out = transform(batch, batch_id) if transform else batch
-            if out is not None:
-                append_partitioned(out, table=table, path=path)
+            sink.append(transform(batch, batch_id) if transform else batch, batch_id)
         finally:
             batch.unpersist()
-        batches.commit(batch_id)
     return write
 
 
