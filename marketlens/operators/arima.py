@@ -1,14 +1,15 @@
-"""ARIMA(p, d, q) order search and forecasts by Hannan-Rissanen regressions.
-
-For every key and differencing order d the series w = (1-B)^d y is built
-with lag columns; then
-
-1. a long autoregression AR(m) of w (m = max(floor(log(n)^2), 2*max(P, Q)))
-   is fitted by least squares and its residuals e are computed row by row;
-2. w_t is regressed on w_{t-1..t-P} and e_{t-1..t-Q} (plus a constant when
-   d = 0) over one sample that is common to all (p, d, q) of the key; every
-   (p, q) model of the grid is a sub-regression of that one design, so one
-   Gram matrix per (key, d) serves all of them;
+"""ARIMA(p, d, q) order search and forecasts by Hannan-Rissanen regressions,
+and the exact Gaussian likelihood of the fitted models.
+
+For every key and differencing order d the series w = (1-B)^d y is fitted by
+
+1. a long autoregression AR(m) of w (m = max(floor(log(n)^2), 2*max(P, Q))): its normal equations are
+   assembled from the lag moments of the series (:mod:`.moments`), taken for all d in one pass;
+2. a regression of w_t on w_{t-1..t-P} and e_{t-1..t-Q}, e the residuals of the long AR (plus a constant when
+   d = 0), over one sample that is common to all (p, d, q) of the key; every
+   (p, q) model of the grid is a sub-regression of that one design.  Tasks walk index chunks with a halo of
+   m rows, compute w and e as arrays and return Gram matrices only, so no design is written and
+   no lag column exists;
 3. AIC = -2 * Gaussian conditional log-likelihood + 2 * (#coefficients + 1).
 
 Models are accepted only with at least ``OBS_PER_COEF`` observations per
@@ -17,8 +18,13 @@ unit circle: an accepted forecast then grows at most as a polynomial of
 degree d.  Regressions run on values centred and scaled per key; results are
 in the units of the series.
 
-All heavy steps are Spark aggregates and windows over bounded chunks; the
-per-key solves see only Gram matrices, and the forecast recursion sees only
+The exact likelihood of a fitted model is the Kalman filter's.  Its gains and innovation variances do not depend on the
+data, and given them a chunk of rows maps the state at its start to the state at its end by an affine function, and the
+state at its start to its sum of squared innovations by a quadratic one.  Every chunk
+returns those small matrices for all models of its key; they are composed in order (:func:`carry`), so
+the recursion over a symbol's rows runs in as many tasks as it has chunks.
+
+The per-key solves see only Gram matrices, and the forecast recursion sees only
 each key's last max(p, d, q) + 1 rows.  Fits that cannot be made (too few
 observations, singular design) are rows with a ``status``, not silent gaps.
 """
@@ -26,79 +32,79 @@ observations, singular design) are rows with a ``status``, not silent gaps.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import session
 from . import regression as R
-from .ordered import with_lags
-from .series import KEYS_BROADCAST, series, standardised
+from .moments import Moments, differences, lag_moments
+from .ordered import in_chunks
+from .series import series, standardised
 
 OBS_PER_COEF = 3
 ROOT_MARGIN = 1e-6      # roots this close to the unit circle are not outside
+CHUNK_ROWS = 200_000
+SETTLED = 1e-15         # relative change of a state variance that no longer counts
 
 GRID_SCHEMA = ("p int, q int, aic double, sigma2 double, nobs long, const double, "
                "ar array<double>, ma array<double>, status string, _const double")
+PER_KEY = ["_n", "_m", "_mean", "_scale"]
 
 
-def _diff(d: int) -> Column:
-    terms = [F.lit(float((-1) ** k * math.comb(d, k))) * (F.col("y") if k == 0 else F.col(f"y_lag{k}"))
-             for k in range(d + 1)]
-    return reduce(lambda a, b: a + b, terms)
+def outside_unit_circle(coef: list[float], sign: float) -> bool:
+    """Whether all roots of 1 + sign * (c_1 z + c_2 z^2 + ...) lie outside the unit circle."""
+    c = np.array([sign * x for x in coef][::-1] + [1.0])
+    c = c[np.argmax(c != 0):]
+    return len(c) < 2 or bool(np.all(np.abs(np.roots(c)) > 1 + ROOT_MARGIN))
 
 
-def _prepare(df: DataFrame, key: str, order: str, value: str, P: int, D: int, Q: int):
+def _prepare(df: DataFrame, key: str, order: str, value: str, P: int, D: int, Q: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, per key): the standardised series with ``PER_KEY``, and one row per key with its long
+    autoregressions ``a`` (coefficients per d, null where there is no fit)."""
     s = standardised(series(df, key, order, value)).withColumn("_m", F.greatest(
         F.floor(F.pow(F.log(F.col("_n").cast("double")), 2)), F.lit(2 * max(P, Q))).cast("int"))
-    M = s.agg(F.max("_m")).first()[0]                   # one scalar: design width
-    M = int(M or 2 * max(P, Q))
-    ylag = with_lags(s, key, "t", ["y"], list(range(1, D + 1))) if D else s
-    keep = [key, "t", "y", "_n", "_m", "_mean", "_scale"]
-    long = ylag.select(*keep, F.explode(F.array(*[
-        F.struct(F.lit(d).alias("d"), _diff(d).alias("w")) for d in range(D + 1)])).alias("_x")) \
-        .select(*keep, "_x.d", "_x.w")      # w is NULL for t < d
-    return with_lags(long, [key, "d"], "t", ["w"], list(range(1, M + 1))), M
+    pairs = tuple((d, d) for d in range(D + 1))
 
+    def long_ar(kv: tuple, mo: Moments) -> list[dict]:
+        m, a = int(kv[2]), []
+        for d in range(D + 1):
+            fit = R.ols(mo.lag_gram(d, m, d + m), list(range(m + 1)), m + 1) if mo.n > d + m else {"error": "too few observations"}
+            a.append(None if "error" in fit else fit["b"].tolist())
+        return [{"a": a}]
 
-def outside_unit_circle(coef: list[float], sign: float) -> bool:
-    """Whether all roots of 1 + sign * (c_1 z + c_2 z^2 + ...) lie outside the unit circle."""
-    c = np.array([sign * x for x in coef][::-1] + [1.0])
-    c = c[np.argmax(c != 0):]
-    return len(c) < 2 or bool(np.all(np.abs(np.roots(c)) > 1 + ROOT_MARGIN))
+    types = dict(s.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in [key, *PER_KEY]) + ", a array<array<double>>"
+    fits = lag_moments(s, [key, *PER_KEY], "t", "y", pairs, lambda kv: int(kv[2]), long_ar, schema)
+    return s.select(key, "t", "y", *PER_KEY), session.materialise(fits, "arima-long-ar")
 
 
-def _hannan_rissanen(df, key, order, value, P, D, Q):
-    wl, M = _prepare(df, key, order, value, P, D, Q)
-    key_type = df.schema[key].dataType.simpleString()
-    # step 1: long AR(m) per (key, d)
-    cols1 = ["c"] + [f"w_lag{i}" for i in range(1, M + 1)] + ["w"]
-    # lags beyond a key's own order are outside its model and may be missing
-    rows1 = wl.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in cols1[1:-1]}).withColumn("c", F.lit(1.0))
-    g1 = R.gram(rows1, [key, "d", "_m"], cols1, where=F.col("t") >= F.col("d") + F.col("_m"))
-
-    def long_ar(kv, g):
-        m = int(kv[2])
-        fit = R.ols(g, list(range(m + 1)), len(cols1) - 1)
-        if "error" in fit:
-            return [{"a": None, "status1": fit["error"]}]
-        a = np.zeros(M + 1)
-        a[: m + 1] = fit["b"]
-        return [{"a": a.tolist(), "status1": None}]
-    ar1 = R.solve_grouped(g1, [key, "d", "_m"], len(cols1), long_ar,
-                          f"{key} {key_type}, d int, _m int, a array<double>, status1 string")
-    # residuals of the long AR, then their lags
-    e = F.element_at("a", 1) + reduce(lambda x, y: x + y, [
-        F.element_at("a", i + 1) * F.coalesce(F.col(f"w_lag{i}"), F.lit(0.0)) for i in range(1, M + 1)])
-    fits1 = ar1.select(F.col(key).alias("_key"), F.col("d").alias("_d"), "a")
-    fits1 = F.broadcast(fits1) if fits1.count() <= KEYS_BROADCAST else fits1
-    res = wl.join(fits1, F.col(key).eqNullSafe(F.col("_key")) & (F.col("d") == F.col("_d"))).drop("_key", "_d").withColumn(
-        "e", F.when((F.col("t") >= F.col("d") + F.col("_m")) & F.col("a").isNotNull(), F.col("w") - e))
-    el = with_lags(res, [key, "d"], "t", ["e"], list(range(1, Q + 1)))
-    return el, ar1, M
+def _chunk(left: pa.Table) -> tuple[np.ndarray, int, int]:
+    """(y, index of its first value, index of the first own row) of a chunk, in order."""
+    t, y = left.column("t").to_numpy(), left.column("y").to_numpy()
+    order = np.argsort(t, kind="stable")
+    return y[order].astype(np.float64), int(t[order[0]]), left.column("_part_start")[0].as_py()
+
+
+def _innovations(y: np.ndarray, t0: int, d: int, a) -> tuple[np.ndarray, np.ndarray]:
+    """(w, e): the d-th difference and its residuals from AR coefficients ``a``; NaN where they are not defined."""
+    w = differences(y, [d])[d]
+    m = len(a) - 1
+    w[:d] = np.nan
+    e = np.full(len(w), np.nan)
+    first = d + m                       # in the array: all lags are inside
+    if len(w) > first:
+        e[first:] = w[first:] - a[0] - (np.convolve(w[d:-1], a[1:], "valid") if m else 0.0)
+    return w, e
+
+
+def _lagged(x: np.ndarray, k: int) -> np.ndarray:
+    out = np.full(len(x), np.nan)
+    out[k:] = x[:len(x) - k] if k else x
+    return out
 
 
 def _grid_rows(P: int, Q: int):
@@ -148,60 +154,98 @@ def _grid_rows(P: int, Q: int):
     return cols2, solve
 
 
-def arima_fits(df: DataFrame, key: str = "currency", order: str = "current_time",
-               value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4,
-               materialise: bool = False):
-    """Every (p, d, q) fit with coefficients, plus the step-2 design rows.
-
-    ``materialise`` writes the design rows to the shared folder first, for
-    callers that use them again (the forecast)."""
-    el, _, M = _hannan_rissanen(df, key, order, value, max_p, max_d, max_q)
-    if materialise:
-        el = session.materialise(el, "arima-design")
-    rows2 = el.withColumn("c", F.lit(1.0))
-    cols2, solve = _grid_rows(max_p, max_q)
-    fitted1 = reduce(lambda a, b: a & b, [F.col(f"e_lag{j}").isNotNull() for j in range(1, max_q + 1)], F.lit(True))
-    g2 = R.gram(rows2, [key, "d", "_mean", "_scale"], cols2, where=(F.col("t") >= max_d + F.col("_m") + max_q) & fitted1)
+def _grams(rows: DataFrame, per_key: DataFrame, key: str, P: int, D: int, Q: int, chunk_rows: int) -> DataFrame:
+    """(key, d, _mean, _scale, i, j, s): Gram matrices of the second regression."""
+    k = P + Q + 2
+    iu, ju = np.triu_indices(k)
+    types = dict(rows.dtypes)
+    key_arrow = rows.schema[key]
+
+    def part(left: pa.Table, right: pa.Table) -> pa.Table:
+        y, t0, start = _chunk(left)
+        m, fits = right.column("_m")[0].as_py(), right.column("a")[0].as_py()
+        t = t0 + np.arange(len(y))
+        sample = (t >= start) & (t >= D + m + Q)
+        out = []
+        for d in range(D + 1):
+            g = np.zeros((k, k))
+            if fits[d] is not None and sample.any():
+                w, e = _innovations(y, t0, d, np.array(fits[d]))
+                x = np.column_stack([np.ones(len(w)), *[_lagged(w, i) for i in range(1, P + 1)], *[_lagged(e, j) for j in range(1, Q + 1)], w])[sample]
+                g = x.T @ x
+            out.append(g[iu, ju])
+        n = len(iu) * (D + 1)
+        same = {c: pa.array([right.column(c)[0].as_py()] * n, right.schema.field(c).type) for c in (key, "_mean", "_scale")}
+        return pa.table({key: same[key], "d": pa.array(np.repeat(np.arange(D + 1), len(iu)).astype(np.int32)), "_mean": same["_mean"], "_scale": same["_scale"],
+                         "i": pa.array(np.tile(iu, D + 1).astype(np.int32)), "j": pa.array(np.tile(ju, D + 1).astype(np.int32)),
+                         "s": pa.array(np.concatenate(out))})
+
+    schema = f"`{key_arrow.name}` {types[key]}, d int, _mean double, _scale double, i int, j int, s double"
+    partial = in_chunks(rows, per_key, key, "t", "_n", F.col("_m") + F.lit(D + Q), part, schema, chunk_rows)
+    return partial.groupBy(key, "d", "_mean", "_scale", "i", "j").agg(F.sum("s").alias("s"))
+
+
+def _fits(df, key, order, value, P, D, Q, chunk_rows):
+    rows, per_key = _prepare(df, key, order, value, P, D, Q)
+    cols2, solve = _grid_rows(P, Q)
     key_type = df.schema[key].dataType.simpleString()
-    fits = R.solve_grouped(g2, [key, "d", "_mean", "_scale"], len(cols2), solve, f"{key} {key_type}, d int, _mean double, _scale double, {GRID_SCHEMA}")
+    fits = R.solve_grouped(_grams(rows, per_key, key, P, D, Q, chunk_rows), [key, "d", "_mean", "_scale"], len(cols2), solve,
+                           f"{key} {key_type}, d int, _mean double, _scale double, {GRID_SCHEMA}")
     ok = F.col("status") == "ok"
     w = Window.partitionBy(key).orderBy(F.when(ok, F.col("aic")).asc_nulls_last(), "p", "d", "q")
-    fits = fits.withColumn("best", (F.row_number().over(w) == 1) & ok)
-    return fits, el
+    return fits.withColumn("best", (F.row_number().over(w) == 1) & ok), rows, per_key
+
+
+def arima_fits(df: DataFrame, key: str = "currency", order: str = "current_time",
+               value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Every (p, d, q) fit with its coefficients; ``best`` marks the least AIC among successful fits."""
+    return _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)[0]
 
 
 def arima_grid(df: DataFrame, key: str = "currency", order: str = "current_time",
                value: str = "first_cost", max_p: int = 4, max_d: int = 4, max_q: int = 4) -> DataFrame:
     """AIC of every ARIMA(p, d, q), 0 <= p, d, q <= 4 by default, per key;
     ``best`` marks the least AIC among successful fits."""
-    fits, _ = arima_fits(df, key, order, value, max_p, max_d, max_q)
+    fits = arima_fits(df, key, order, value, max_p, max_d, max_q)
     return fits.select(key, "p", "d", "q", "aic", "sigma2", "nobs", "status", "best")
 
 
 def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_time",
                    value: str = "first_cost", horizon: int = 1000,
-                   max_p: int = 4, max_d: int = 4, max_q: int = 4) -> DataFrame:
+                   max_p: int = 4, max_d: int = 4, max_q: int = 4, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Fitted values and residuals of each key's best model on its sample,
     then ``horizon`` forecasts beyond the last observation.
 
     Output ``(key, t, kind, y, fitted, resid)``; kind is ``fit`` or
     ``forecast``.
     """
-    fits, el = arima_fits(df, key, order, value, max_p, max_d, max_q, materialise=True)
-    best = fits.where("best").select(F.col(key).alias("_key"), F.col("d").alias("_bd"), "p", "q",
-                                      F.col("_const").alias("const"), "ar", "ma")
-    best = F.broadcast(best) if best.count() <= KEYS_BROADCAST else best
-    rows = el.join(best, F.col(key).eqNullSafe(F.col("_key")) & (F.col("d") == F.col("_bd"))).drop("_key")
-    ar_term = reduce(lambda a, b: a + b, [
-        F.when(F.col("p") >= i, F.element_at("ar", F.least(F.lit(i), F.greatest(F.col("p"), F.lit(1))))
-               * F.col(f"w_lag{i}")).otherwise(F.lit(0.0)) for i in range(1, max_p + 1)], F.lit(0.0))
-    ma_term = reduce(lambda a, b: a + b, [
-        F.when(F.col("q") >= j, F.element_at("ma", F.least(F.lit(j), F.greatest(F.col("q"), F.lit(1))))
-               * F.col(f"e_lag{j}")).otherwise(F.lit(0.0)) for j in range(1, max_q + 1)], F.lit(0.0))
-    valid = F.col("t") >= F.col("d") + F.col("_m") + F.col("q")
-    resid = F.when(valid, F.col("w") - (F.col("const") + ar_term + ma_term))
-    fitted = rows.select(key, "t", "y", "w", "d", "p", "q", "const", "ar", "ma", "_n", "_mean", "_scale",
-                         resid.alias("resid"))
+    fits, rows, per_key = _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)
+    best = fits.where("best").select(F.col(key).alias("_key"), "d", "p", "q", F.col("_const").alias("const"), "ar", "ma")
+    best = session.materialise(per_key.join(best, F.col(key).eqNullSafe(F.col("_key"))).drop("_key"), "arima-best")
+    key_type = df.schema[key].dataType.simpleString()
+
+    def residuals(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:            # a key without an accepted model
+            return left.slice(0, 0).select([key, "t", "y"]).append_column("w", pa.array([], pa.float64())).append_column("resid", pa.array([], pa.float64()))
+        y, t0, start = _chunk(left)
+        own = right.slice(0, 1).to_pylist()[0]
+        d, p, q, m = own["d"], own["p"], own["q"], own["_m"]
+        t = t0 + np.arange(len(y))
+        w, e = _innovations(y, t0, d, np.array(own["a"][d]))
+        fitted = own["const"] + sum((own["ar"][i] * _lagged(w, i + 1) for i in range(p)), np.zeros(len(w))) \
+            + sum((own["ma"][j] * _lagged(e, j + 1) for j in range(q)), np.zeros(len(w)))
+        resid = np.where(t >= d + m + q, w - fitted, np.nan)
+        keep = t >= start
+        missing = [np.isnan(x[keep]) for x in (w, resid)]
+        keys = pa.array([own[key]] * int(keep.sum()), right.schema.field(key).type)
+        return pa.table({key: keys, "t": pa.array(t[keep]), "y": pa.array(y[keep]), "w": pa.array(w[keep], mask=missing[0]),
+                         "resid": pa.array(resid[keep], mask=missing[1])})
+
+    fitted = in_chunks(rows, best, key, "t", "_n", F.col("_m") + F.lit(max_d + max_q), residuals,
+                       f"`{key}` {key_type}, t long, y double, w double, resid double", chunk_rows)
+    fitted = session.materialise(fitted, "arima-residuals")
+    of = best.select(F.col(key).alias("_key"), "_n", "_mean", "_scale", "d", "p", "q", "const", "ar", "ma")
+    fitted = fitted.join(of, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
     def units(c):
         return F.col("_mean") + F.col("_scale") * c
@@ -210,7 +254,6 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
 
     # the recursion needs only the last max(p, d, q) + 1 rows of each key
     tail = fitted.where(F.col("t") >= F.col("_n") - (F.greatest("p", "d", "q") + 1))
-    key_type = df.schema[key].dataType.simpleString()
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
@@ -236,3 +279,152 @@ def arima_forecast(df: DataFrame, key: str = "currency", order: str = "current_t
     ahead = tail.groupBy(key).applyInPandas(
         forecast, f"{key} {key_type}, t long, kind string, y double, fitted double, resid double")
     return in_sample.unionByName(ahead)
+
+
+# ---------------------------------------------------------------------------
+# exact Gaussian likelihood
+# ---------------------------------------------------------------------------
+
+class Models:
+    """State-space form of the ARMA models of a key, as stacked arrays (companion form, r = max(P, Q + 1) states)."""
+
+    def __init__(self, models: list[dict], r: int):
+        n = len(models)
+        self.n, self.r = n, r
+        self.d = np.array([m["d"] for m in models])
+        self.phi, self.load = np.zeros((n, r)), np.zeros((n, r))
+        self.load[:, 0] = 1
+        for i, m in enumerate(models):
+            self.phi[i, :m["p"]] = m["ar"]
+            self.load[i, 1:1 + m["q"]] = m["ma"]
+        self.mean = np.array([m["const"] / (1 - sum(m["ar"])) for m in models])
+        self.shock = self.load[:, :, None] * self.load[:, None, :]
+        self.move = np.zeros((n, r, r))
+        self.move[:, :, 0] = self.phi
+        self.move[:, np.arange(r - 1), np.arange(1, r)] = 1
+        # stationary variance: vec(V) = (I - T x T)^-1 vec(RR')
+        big = np.einsum("nij,nkl->nikjl", self.move, self.move).reshape(n, r * r, r * r)
+        self.first = np.linalg.solve(np.eye(r * r)[None] - big, self.shock.reshape(n, r * r, 1)).reshape(n, r, r)
+
+    def after(self, V: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(innovation variance, gain, next variance) of state variances V."""
+        f = V[:, 0, 0]
+        tv = self.move @ V
+        gain = tv[:, :, 0] / f[:, None]
+        nxt = tv @ self.move.transpose(0, 2, 1) + self.shock - gain[:, :, None] * gain[:, None, :] * f[:, None, None]
+        return f, gain, nxt
+
+
+class Variances:
+    """The filter's variances and gains step by step; a model's first step is at index d, and where nothing changes any more all
+    later steps are the same."""
+
+    def __init__(self, models: Models, start: int):
+        self.models, self.V, self.t, self.settled = models, models.first.copy(), 0, False
+        while self.t < start and not self.settled:
+            self.step()
+
+    def step(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.settled:
+            return self.last
+        f, gain, nxt = self.models.after(self.V)
+        live = self.models.d <= self.t
+        change = np.abs(nxt - self.V).max(axis=(1, 2)) <= SETTLED * np.abs(self.V).max(axis=(1, 2))
+        self.settled = bool(live.all() and change.all())
+        self.V = np.where(live[:, None, None], nxt, self.V)
+        self.t += 1
+        self.last = f, gain
+        return self.last
+
+
+def chunk_maps(y: np.ndarray, t0: int, start: int, models: Models, block: int = 512):
+    """What a chunk does to the state: (A, b) with state' = A state + b, and (H, logs): [state, 1] H [state, 1]'
+    is its sum of squared innovations over their variances, logs the sum of log variances.  ``y`` begins at index ``t0``,
+    the chunk's own rows at ``start``."""
+    n, r = models.n, models.r
+    w = differences(y, set(models.d.tolist()))
+    W = np.stack([w[d] for d in models.d])[:, start - t0:] - models.mean[:, None]
+    S = np.zeros((n, r, r + 1))
+    S[:, np.arange(r), np.arange(r)] = 1
+    H, logs = np.zeros((n, r + 1, r + 1)), np.zeros(n)
+    var = Variances(models, start)
+    phi = models.phi[:, :, None]
+    for lo in range(0, W.shape[1], block):
+        hi = min(lo + block, W.shape[1])
+        V, inv = np.zeros((hi - lo, n, r + 1)), np.zeros((hi - lo, n))
+        for i in range(lo, hi):
+            f, gain = var.step()
+            live = models.d <= start + i
+            v = -S[:, 0, :]
+            v[:, r] += W[:, i]
+            nxt = phi * S[:, :1, :] + gain[:, :, None] * v[:, None, :]
+            nxt[:, :-1] += S[:, 1:]
+            if live.all():
+                S = nxt
+                inv[i - lo], V[i - lo] = 1 / f, v
+                logs += np.log(f)
+            else:
+                S = np.where(live[:, None, None], nxt, S)
+                inv[i - lo] = np.where(live, 1 / f, 0)
+                V[i - lo] = v
+                logs += np.where(live, np.log(f), 0)
+        H += np.einsum("tna,tn,tnb->nab", V, inv, V)
+    return S[:, :, :r], S[:, :, r], H, logs
+
+
+def carry(maps: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of squares, sum of logs) per model, of the chunks' maps in order, from a state of 0."""
+    state = np.zeros_like(maps[0][1])
+    squares = logs = 0.0
+    for A, b, H, lg in maps:
+        one = np.concatenate([state, np.ones((len(state), 1))], axis=1)
+        squares = squares + np.einsum("na,nab,nb->n", one, H, one)
+        logs = logs + lg
+        state = np.einsum("nij,nj->ni", A, state) + b
+    return squares, logs
+
+
+def arima_likelihood(df: DataFrame, key: str = "currency", order: str = "current_time", value: str = "first_cost",
+                     max_p: int = 4, max_d: int = 4, max_q: int = 4, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(key, p, d, q, loglik, sigma2, aic, best)`` of the successful fits: exact Gaussian log-likelihood of the n - d
+    values of the differenced series, its variance estimate and AIC; ``best`` marks the least AIC of a key."""
+    fits, rows, per_key = _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)
+    model = F.struct("d", "p", "q", F.col("_const").alias("const"), "ar", "ma")
+    good = (fits.where("status = 'ok'").groupBy(F.col(key).alias("_key"))
+            .agg(F.sort_array(F.collect_list(model)).alias("models")))           # at most the grid's size
+    own = session.materialise(per_key.join(good, F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "a"), "arima-models")
+    key_type = df.schema[key].dataType.simpleString()
+    r = max(max_p, max_q + 1)
+
+    def maps(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:
+            return pa.table({key: left.column(key).slice(0, 0), "part": pa.array([], pa.int64()), "maps": pa.array([], pa.list_(pa.float64()))})
+        y, t0, start = _chunk(left)
+        out = chunk_maps(y, t0, start, Models(right.column("models")[0].as_py(), r))
+        flat = np.concatenate([x.ravel() for x in out])
+        return pa.table({key: pa.array([right.column(key)[0].as_py()], right.schema.field(key).type), "part": pa.array([start], pa.int64()),
+                         "maps": pa.array([flat.tolist()], pa.list_(pa.float64()))})
+
+    parts = in_chunks(rows, own, key, "t", "_n", F.lit(max_d), maps, f"`{key}` {key_type}, part long, maps array<double>", chunk_rows)
+
+    def combine(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = right.slice(0, 1).to_pylist()[0]
+        models, n = own["models"], len(own["models"])
+        sizes = np.cumsum([n * r * r, n * r, n * (r + 1) * (r + 1)])
+        order = np.argsort(left.column("part").to_numpy())
+        pieces = []
+        for i in order:
+            a, b, h, lg = np.split(np.array(left.column("maps")[int(i)].as_py()), sizes)
+            pieces.append((a.reshape(n, r, r), b.reshape(n, r), h.reshape(n, r + 1, r + 1), lg))
+        squares, logs = carry(pieces)
+        obs = own["_n"] - np.array([m["d"] for m in models])
+        sigma2 = squares / obs
+        ll = -0.5 * (obs * (np.log(2 * np.pi * sigma2) + 1) + logs) - obs * math.log(own["_scale"])
+        coefs = np.array([m["p"] + m["q"] + (m["d"] == 0) for m in models])
+        cols = {c: pa.array([m[c] for m in models], pa.int32()) for c in ("p", "d", "q")}
+        return pa.table({key: pa.array([own[key]] * n, right.schema.field(key).type), **cols, "loglik": pa.array(ll), "sigma2": pa.array(sigma2 * own["_scale"] ** 2),
+                         "aic": pa.array(-2 * ll + 2 * (coefs + 1))})
+
+    out = parts.groupBy(key).cogroup(own.groupBy(key)).applyInArrow(combine, f"`{key}` {key_type}, p int, d int, q int, loglik double, sigma2 double, aic double")
+    w = Window.partitionBy(key).orderBy("aic", "p", "d", "q")
+    return out.withColumn("best", F.row_number().over(w) == 1)

@@ -13,6 +13,8 @@ alone.
   index chunk, and the last ``max(k)`` rows of each chunk are copied into the
   next one as a halo, so each window partition holds at most
   ``chunk_rows + max(k)`` rows.
+* :func:`in_chunks` hands the same chunks, with a halo of any length, and the row that a key has in a
+  second table to an Arrow function.
 
 NULL keys form a key of their own and NULL order values sort last; no row is
 dropped.
@@ -89,3 +91,17 @@ def with_lags(df: DataFrame, key: str | list[str], index: str, cols: list[str],
     out = copies.select("*", *[F.lag(c, k).over(w).alias(name.format(col=c, k=k))
                                for c in cols for k in lags])
     return out.where(F.col("_part") == F.col("_own")).drop("_own", "_part")
+
+
+def in_chunks(df: DataFrame, per_key: DataFrame, key: str, index: str, rows: str, halo: Column, fn, schema: str,
+              chunk_rows: int = 200_000) -> DataFrame:
+    """``fn(chunk, own)`` over index chunks of every key: ``chunk`` is an Arrow table of a chunk's rows, preceded by the last
+    ``halo`` rows before it, with ``_part_start`` (index of its first own row); ``own`` is the key's row of ``per_key``.
+    Both frames have ``rows`` (rows of the key) and the columns that ``halo`` is made of."""
+    size = F.greatest(F.lit(chunk_rows), halo).cast("long")
+    part = F.floor(F.col(index) / size)
+    near_end = (F.col(index) % size >= size - halo) & ((part + 1) * size < F.col(rows))
+    left = (df.withColumn("_part", F.explode(F.when(near_end, F.array(part, part + 1)).otherwise(F.array(part))))
+            .withColumn("_part_start", F.col("_part") * size))
+    right = per_key.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(rows) - 1) / size))))
+    return left.groupBy(key, "_part").cogroup(right.groupBy(key, "_part")).applyInArrow(fn, schema)

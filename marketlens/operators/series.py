@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normal import norm_ppf
 from . import regression as R
+from .moments import Moments, lag_moments
 from .ordered import with_lags, with_series_index
 
 
@@ -165,6 +166,41 @@ ADF_SCHEMA = ("adf_stat double, pvalue double, usedlag int, nobs long, crit_1pct
               "crit_5pct double, crit_10pct double, icbest double, error string")
 
 
+ADF_PAIRS = ((0, 0), (0, 1), (1, 1))
+
+
+def _adf_solver(autolag: str | None):
+    def solve(kv: tuple, m: Moments) -> list[dict]:
+        ml, scale = int(kv[1]), kv[2]
+        lag, icbest = max(ml, 0), None
+        if autolag:
+            lag = -1
+            g = m.unit_root_gram(ml, ml + 1) if ml >= 0 else None      # the sample that all lags share
+            for k in range(max(ml, -1) + 1):
+                fit = R.ols(g, list(range(2 + k)), ml + 2)
+                if "error" in fit:
+                    continue
+                aic = R.gaussian_aic(fit["ssr"], fit["nobs"], fit["k"])
+                if lag < 0 or aic < icbest:
+                    lag, icbest = k, aic
+            if lag >= 0:
+                # in the units of the series: ssr grows with the square of the scale
+                icbest += 2 * g[0, 0] * math.log(scale)
+            lag = max(lag, 0)                     # a series too short for any fit keeps a row
+        g = m.unit_root_gram(lag, lag + 1)
+        fit = R.ols(g, list(range(2 + lag)), lag + 2)
+        nobs = int(g[0, 0])
+        error = fit.get("error")
+        sigma2 = None if error else fit["ssr"] / (fit["nobs"] - fit["k"])
+        if not error and sigma2 <= 0:
+            error = "perfect fit"
+        crit = adf_crit(nobs) if nobs > 0 else {"1%": None, "5%": None, "10%": None}
+        stat = None if error else float(fit["b"][1] / math.sqrt(sigma2 * fit["inv"][1, 1]))
+        return [{"adf_stat": stat, "pvalue": None if error else adf_pvalue(stat), "usedlag": lag, "nobs": nobs, "crit_1pct": crit["1%"],
+                 "crit_5pct": crit["5%"], "crit_10pct": crit["10%"], "icbest": icbest, "error": error}]
+    return solve
+
+
 def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
         value: str = "first_cost", maxlag: int | None = None, autolag: str | None = "AIC") -> DataFrame:
     """ADF regression ``dy_t = c + b*y_{t-1} + sum_i g_i*dy_{t-i}``, test
@@ -172,87 +208,15 @@ def adf(df: DataFrame, key: str = "currency", order: str = "current_time",
     on the common sample and the least-AIC lag is refitted on its full
     sample; otherwise ``maxlag`` lags are used.
 
-    Both passes reduce the rows to per-key Gram matrices (:func:`gram`); the
-    solves are per key on (maxlag+3)^2 numbers.
+    All fits of a key come from its lag moments (:mod:`.moments`), taken in one pass over the rows.
     """
     s = standardised(series(df, key, order, value))
-    key_type = df.schema[key].dataType.simpleString()
-    ml_expr = (F.lit(maxlag) if maxlag is not None else F.least(
+    ml = (F.lit(maxlag) if maxlag is not None else F.least(
         F.ceil(F.lit(12.0) * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2)).cast("int")
-    s = s.withColumn("_ml", ml_expr)
-    lmax = s.agg(F.max("_ml")).first()[0]               # one scalar: width of the design
-    if lmax is None:
-        return s.sparkSession.createDataFrame([], f"{key} {key_type}, {ADF_SCHEMA}")
-    lmax = max(int(lmax), 0)
-    lagged = with_lags(s, key, "t", ["y"], list(range(1, lmax + 2)))
-    # the index is materialised: both passes derive the lags from it in one window each
-    design = lagged.select(
-        key, "t", "_ml", "_scale", F.lit(1.0).alias("c"), F.col("y_lag1").alias("ylag"),
-        *[(F.col(f"y_lag{i}") - F.col(f"y_lag{i + 1}")).alias(f"dy{i}") for i in range(1, lmax + 1)],
-        (F.col("y") - F.col("y_lag1")).alias("dy"))
-    cols = ["c", "ylag"] + [f"dy{i}" for i in range(1, lmax + 1)] + ["dy"]
-    K, Y = len(cols), len(cols) - 1
-
-    def xs(lag: int) -> list[int]:
-        return [0, 1] + list(range(2, 2 + lag))
-
-    # lags beyond a key's own order are not in its models and may be missing
-    used = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) if c.startswith("dy") and c != "dy" else F.col(c) for c in cols]
-    design = design.select(key, "t", "_ml", "_scale", *used)
-    if autolag:
-        g1 = R.gram(design, [key, "_ml", "_scale"], cols, where=F.col("t") >= F.col("_ml") + 1)
-
-        def pick(kv, g):
-            best = (float("inf"), None)
-            for lag in range(max(int(kv[1]), -1) + 1):
-                fit = R.ols(g, xs(lag), Y)
-                if "error" in fit:
-                    continue
-                aic = R.gaussian_aic(fit["ssr"], fit["nobs"], fit["k"])
-                if aic < best[0]:
-                    best = (aic, lag)
-            # in the units of the series: ssr grows with the square of the scale
-            return [{"_lag": best[1] if best[1] is not None else -1,
-                     "icbest": best[0] + 2 * g[0, 0] * math.log(kv[2]) if best[1] is not None else None}]
-        chosen = R.solve_grouped(g1, [key, "_ml", "_scale"], K, pick,
-                                 f"{key} {key_type}, _ml int, _scale double, _lag int, icbest double").drop("_scale")
-    else:
-        chosen = s.select(key, "_ml").distinct().select(
-            key, "_ml", F.col("_ml").alias("_lag"), F.lit(None).cast("double").alias("icbest"))
-    # a series too short for any fit keeps a row (lag 0, reported as failed)
-    chosen = chosen.withColumn("_lag", F.greatest(F.col("_lag"), F.lit(0))).drop("_ml")
-    n_keys = chosen.count()
-    picked = chosen.select(F.col(key).alias("_key"), "_lag")
-    d2 = design.join(F.broadcast(picked) if n_keys <= KEYS_BROADCAST else picked,
-                     F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    g2 = R.gram(d2, [key, "_lag"], cols, where=F.col("t") >= F.col("_lag") + 1)
-
-    def final(kv, g):
-        lag = int(kv[1])
-        fit = R.ols(g, xs(lag), Y)
-        if "error" in fit:
-            nobs = int(g[0, 0])
-            crit = adf_crit(nobs) if nobs > 0 else {"1%": None, "5%": None, "10%": None}
-            return [{"adf_stat": None, "pvalue": None, "usedlag": lag, "nobs": nobs,
-                     "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
-                     "error": fit["error"]}]
-        sigma2 = fit["ssr"] / (fit["nobs"] - fit["k"])
-        if sigma2 <= 0:
-            crit = adf_crit(fit["nobs"])
-            return [{"adf_stat": None, "pvalue": None, "usedlag": lag, "nobs": int(fit["nobs"]),
-                     "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
-                     "error": "perfect fit"}]
-        stat = float(fit["b"][1] / math.sqrt(sigma2 * fit["inv"][1, 1]))
-        crit = adf_crit(fit["nobs"])
-        return [{"adf_stat": stat, "pvalue": adf_pvalue(stat), "usedlag": lag,
-                 "nobs": int(fit["nobs"]), "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
-                 "crit_10pct": crit["10%"], "error": None}]
-    out = R.solve_grouped(g2, [key, "_lag"], K, final,
-                          f"{key} {key_type}, _lag int, {ADF_SCHEMA.replace(' icbest double,', '')}")
-    chosen = chosen.select(F.col(key).alias("_key"), "icbest")
-    return out.join(chosen, F.col(key).eqNullSafe(F.col("_key"))).select(
-        key, "adf_stat", "pvalue", "usedlag", "nobs", "crit_1pct", "crit_5pct", "crit_10pct",
-        "icbest", "error")
+    key_type = df.schema[key].dataType.simpleString()
+    out = lag_moments(s.withColumn("_ml", ml), [key, "_ml", "_scale"], "t", "y", ADF_PAIRS, lambda kv: max(int(kv[1]), 0) + 1,
+                      _adf_solver(autolag), f"{key} {key_type}, _ml int, _scale double, {ADF_SCHEMA}")
+    return out.drop("_ml", "_scale")
 
 
 # ---------------------------------------------------------------------------

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.normal import norm_ppf_sql
+from ..operators import arima as A
 from ..operators import series as X
+from . import sql_series as S
 from . import sqlgen as Q
 from .registry import register
 from .tv import saved_trade_volume
@@ -21,6 +23,11 @@ def _rounded(df):
                        for f in df.schema.fields])
 
 
+def _digits(df, *names):
+    """The named columns to seven significant digits."""
+    return df.withColumns({n: F.when(F.col(n).isNotNull(), F.format_string("%.6e", n).cast("double")) for n in names})
+
+
 def _series_cte(value: str = "first_cost") -> str:
     return f"""{Q.saved_tv_cte()},
 s AS (SELECT currency, {value} AS y,
@@ -28,8 +35,10 @@ s AS (SELECT currency, {value} AS y,
       FROM tv WHERE {value} IS NOT NULL)"""
 
 
-def _acf_cte(nlags: int = NLAGS) -> str:
-    return f"""{_series_cte()},
+def _acf_cte(nlags: int = NLAGS, series: str | None = None) -> str:
+    """acf_ of s; ``series`` are the CTEs up to s (none if they stand already)."""
+    before = _series_cte() + "," if series is None else series
+    return f"""{before}
 m AS (SELECT currency, avg(y) AS mu FROM s GROUP BY currency),
 d AS (SELECT s.currency, t, y - mu AS d FROM s JOIN m USING (currency)),
 c0 AS (SELECT currency, sum(d * d) AS c0 FROM d GROUP BY currency),
@@ -48,18 +57,20 @@ def q_acf(spark, sf_dir):
     return _rounded(X.acf(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
 
 
-@register("pacf", f"""WITH RECURSIVE {_acf_cte()},
-rl AS (SELECT currency, list(acf ORDER BY lag) AS r FROM acf_ GROUP BY currency),
+_PACF_CTE = f"""rl AS (SELECT currency, list(acf ORDER BY lag) AS r FROM acf_ GROUP BY currency),
 dl AS (
   SELECT currency, 1 AS k, [r[2]] AS phi, r[2] AS pkk, r FROM rl
   UNION ALL
   SELECT currency, k + 1 AS k,
-         list_append(list_transform(range(1, k + 1), lambda j: phi[j] - pk * phi[k + 1 - j]), pk) AS phi,
-         pk AS pkk, r
+         list_append(list_transform(range(1, k + 1), lambda j: phi[j] - pk * phi[k + 1 - j]), pk) AS phi, pk AS pkk, r
   FROM (SELECT currency, k, phi, r,
                (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
                / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS pk
-        FROM dl WHERE k < {NLAGS}))
+        FROM dl WHERE k < {{nlags}}))"""
+
+
+@register("pacf", f"""WITH RECURSIVE {_acf_cte()},
+{_PACF_CTE.format(nlags=NLAGS)}
 SELECT currency, 0 AS lag, 1.0::DOUBLE AS pacf FROM rl
 UNION ALL SELECT currency, k AS lag, round(pkk, {Q.R}) AS pacf FROM dl""")
 def q_pacf(spark, sf_dir):
@@ -68,20 +79,26 @@ def q_pacf(spark, sf_dir):
     return _rounded(X.pacf(a))
 
 
-_PACF_CTE = f"""rl AS (SELECT currency, list(acf ORDER BY lag) AS r FROM acf_ GROUP BY currency),
-dl AS (
-  SELECT currency, 1 AS k, [r[2]] AS phi, r[2] AS pkk, r FROM rl
-  UNION ALL
-  SELECT currency, k + 1 AS k,
-         list_append(list_transform(range(1, k + 1), lambda j: phi[j] - pk * phi[k + 1 - j]), pk) AS phi, pk AS pkk, r
-  FROM (SELECT currency, k, phi, r,
-               (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
-               / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS pk
-        FROM dl WHERE k < {NLAGS}))"""
+def _crit_sql(n: str) -> str:
+    out = []
+    for name, c in X.ADF_CRIT_C.items():
+        col = {"1%": "crit_1pct", "5%": "crit_5pct", "10%": "crit_10pct"}[name]
+        out.append(f"CASE WHEN {n} > 0 THEN round({c[0]!r} + {c[1]!r} / {n} + {c[2]!r} / ({n} * {n}) "
+                   f"+ {c[3]!r} / ({n} * {n} * {n}), {Q.R}) END AS {col}")
+    return ", ".join(out)
+
 
+def _qq_cte(rows: str) -> str:
+    """z: ranked values of ``rows`` (currency, y) with their normal quantiles."""
+    return f"""rank_ AS (SELECT currency, y AS sample, row_number() OVER (PARTITION BY currency ORDER BY y) AS i,
+             count(*) OVER (PARTITION BY currency) AS n, avg(y) OVER (PARTITION BY currency) AS mu,
+             stddev_pop(y) OVER (PARTITION BY currency) AS sd FROM {rows}),
+z AS (SELECT *, i / (n + 1) AS p, {norm_ppf_sql('i / (n + 1)')} AS z FROM rank_)"""
 
-@register("correlogram", f"""WITH RECURSIVE {_acf_cte()},
-{_PACF_CTE},
+
+def _correlogram_sql(nlags: int) -> str:
+    """From acf_ and s."""
+    return f"""{_PACF_CTE.format(nlags=nlags)},
 n_ AS (SELECT currency, count(*) AS n FROM s GROUP BY currency),
 bands_ AS (SELECT acf_.currency, acf_.lag, acf, n,
              coalesce(sum(CASE WHEN acf_.lag > 0 THEN acf * acf ELSE 0 END) OVER (
@@ -91,42 +108,68 @@ SELECT bands_.currency, bands_.lag, round(bands_.acf, {Q.R}) AS acf,
        round(CASE WHEN bands_.lag > 0 THEN {X.Z95!r} * sqrt((1 + 2 * r2) / n) ELSE 0.0::DOUBLE END, {Q.R}) AS acf_band,
        round(CASE WHEN bands_.lag > 0 THEN pkk ELSE 1.0::DOUBLE END, {Q.R}) AS pacf,
        round(CASE WHEN bands_.lag > 0 THEN {X.Z95!r} / sqrt(n) ELSE 0.0::DOUBLE END, {Q.R}) AS pacf_band
-FROM bands_ LEFT JOIN dl ON dl.currency = bands_.currency AND dl.k = bands_.lag""")
+FROM bands_ LEFT JOIN dl ON dl.currency = bands_.currency AND dl.k = bands_.lag"""
+
+
+@register("correlogram", f"WITH RECURSIVE {_acf_cte()},\n{_correlogram_sql(NLAGS)}")
 def q_correlogram(spark, sf_dir):
     """Autocorrelation and partial autocorrelation with their 95 % bands, lags 0..10."""
     return _rounded(X.correlogram(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
 
 
-@register("arima_residual_correlogram", None)
+def _residuals(spark, sf_dir):
+    """Residuals of each symbol's best ARIMA model."""
+    fit = A.arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1)
+    return fit.where("kind = 'fit' AND resid IS NOT NULL").select("currency", "t", "resid")
+
+
+def _residuals_cte(name: str = "s") -> str:
+    return f"""{_series_cte().replace('s AS (SELECT', 'prices AS (SELECT')},
+{S.source('prices')}, {S.arima()}, {S.fitted()},
+{name} AS (SELECT currency, scale * resid AS y, row_number() OVER (PARTITION BY currency ORDER BY t) - 1 AS t FROM fit_ WHERE resid IS NOT NULL)"""
+
+
+RESIDUAL_LAGS = 30
+
+
+@register("arima_residual_correlogram", f"""WITH RECURSIVE {_residuals_cte()},
+{_acf_cte(RESIDUAL_LAGS, '')},
+{_correlogram_sql(RESIDUAL_LAGS).replace(f', {Q.R})', ', 5)')}""")
 def q_arima_residual_correlogram(spark, sf_dir):
-    """Correlogram with bands of the residuals of each symbol's best ARIMA model."""
-    from ..operators.arima import arima_forecast
-    fit = arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1).where("kind = 'fit'")
-    return X.correlogram(fit, order="t", value="resid", nlags=5)
+    """Correlogram with bands of the residuals of each symbol's best ARIMA model, lags 0..30."""
+    c = X.correlogram(_residuals(spark, sf_dir), order="t", value="resid", nlags=RESIDUAL_LAGS)
+    return c.select("currency", "lag", *[F.round(x, 5).alias(x) for x in ("acf", "acf_band", "pacf", "pacf_band")])
 
 
-@register("arima_residual_adf", None)
+@register("arima_residual_qq", f"""WITH RECURSIVE {_residuals_cte()},
+{_qq_cte('s')}
+SELECT currency, i, round(p, {Q.R}) AS p, round(z, {Q.R}) AS z, {S.digits('sample')} AS sample, {S.digits('z * sd + mu')} AS fit FROM z""")
+def q_arima_residual_qq(spark, sf_dir):
+    """Normal Q-Q points of the residuals of each symbol's best ARIMA model."""
+    q = X.qq_points(_residuals(spark, sf_dir), value="resid")
+    return _digits(q.withColumns({c: F.round(c, Q.R) for c in ("p", "z")}), "sample", "fit")
+
+
+@register("arima_residual_adf", f"""WITH RECURSIVE {_residuals_cte()},
+{S.source('s', 'resid_')}, {S.adf(_crit_sql('nobs'), 'resid_')}
+SELECT *, CAST(NULL AS VARCHAR) AS error FROM adf_""")
 def q_arima_residual_adf(spark, sf_dir):
-    """Dickey-Fuller test (one lag) of the residuals of each symbol's best ARIMA model."""
-    from ..operators.arima import arima_forecast
-    fit = arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1).where("kind = 'fit'")
-    return X.adf(fit, order="t", value="resid", maxlag=1, autolag=None)
+    """Augmented Dickey-Fuller test of the residuals of each symbol's best ARIMA model, lag order by AIC."""
+    return _adf_rounded(X.adf(_residuals(spark, sf_dir), order="t", value="resid"))
+
 
+def _adf_rounded(a):
+    return _digits(_rounded(a.withColumn("pvalue", F.round("pvalue", 7)).drop("adf_stat", "icbest")).join(
+        a.select(F.col("currency").alias("_c"), "adf_stat", "icbest"), F.col("currency").eqNullSafe(F.col("_c"))).drop("_c"), "adf_stat", "icbest")
 
-@register("adf", None)
+
+@register("adf", f"""WITH RECURSIVE {_series_cte()},
+{S.source('s')}, {S.adf(_crit_sql('nobs'))}
+SELECT *, CAST(NULL AS VARCHAR) AS error FROM adf_""")
 def q_adf(spark, sf_dir):
     """Augmented Dickey-Fuller test of each symbol's daily first price,
     lag order chosen by AIC."""
-    return X.adf(saved_trade_volume(spark, sf_dir))
-
-
-def _crit_sql(n: str) -> str:
-    out = []
-    for name, c in X.ADF_CRIT_C.items():
-        col = {"1%": "crit_1pct", "5%": "crit_5pct", "10%": "crit_10pct"}[name]
-        out.append(f"CASE WHEN {n} > 0 THEN round({c[0]!r} + {c[1]!r} / {n} + {c[2]!r} / ({n} * {n}) "
-                   f"+ {c[3]!r} / ({n} * {n} * {n}), {Q.R}) END AS {col}")
-    return ", ".join(out)
+    return _adf_rounded(X.adf(saved_trade_volume(spark, sf_dir)))
 
 
 @register("adf_lag0", f"""WITH {_series_cte()},
@@ -150,14 +193,8 @@ def q_adf_lag0(spark, sf_dir):
                              "crit_1pct", "crit_5pct", "crit_10pct"))
 
 
-@register("qq_points", f"""WITH {Q.saved_tv_cte()},
-r AS (SELECT currency, first_cost AS sample,
-             row_number() OVER (PARTITION BY currency ORDER BY first_cost) AS i,
-             count(*) OVER (PARTITION BY currency) AS n,
-             avg(first_cost) OVER (PARTITION BY currency) AS mu,
-             stddev_pop(first_cost) OVER (PARTITION BY currency) AS sd
-      FROM tv WHERE first_cost IS NOT NULL),
-z AS (SELECT *, i / (n + 1) AS p, {norm_ppf_sql('i / (n + 1)')} AS z FROM r)
+@register("qq_points", f"""WITH {_series_cte()},
+{_qq_cte('s')}
 SELECT currency, i, round(p, {Q.R}) AS p, round(z, {Q.R}) AS z, round(sample, {Q.R}) AS sample,
        round(z * sd + mu, {Q.R}) AS fit FROM z""")
 def q_qq_points(spark, sf_dir):
@@ -181,21 +218,34 @@ def q_lag_features(spark, sf_dir):
     return _rounded(X.lag_features(saved_trade_volume(spark, sf_dir), FEATURES, WIN))
 
 
-@register("ar_linear", None)
+@register("ar_linear", f"""WITH RECURSIVE {Q.saved_tv_cte()},
+{S.ar_linear(FEATURES, WIN)}
+SELECT currency, feature, term, {S.digits('coef')} AS coef, {S.digits('r2')} AS r2, nobs, CAST(NULL AS VARCHAR) AS error FROM ar_""")
 def q_ar_linear(spark, sf_dir):
     """Per symbol and feature, a linear autoregression on the last 4 values."""
-    return X.ar_linear(saved_trade_volume(spark, sf_dir), FEATURES, WIN)
+    return _digits(X.ar_linear(saved_trade_volume(spark, sf_dir), FEATURES, WIN), "coef", "r2")
 
 
-@register("arima_grid", None)
+@register("arima_grid", f"""WITH RECURSIVE {_series_cte()},
+{S.source('s')}, {S.arima()}
+SELECT currency, p::INT AS p, d::INT AS d, q::INT AS q, {S.digits('aic')} AS aic, {S.digits('sigma2')} AS sigma2, nobs, status, best FROM grid_""")
 def q_arima_grid(spark, sf_dir):
     """ARIMA(p, d, q) search, p, d, q in 0..4, per symbol; least AIC marked."""
-    from ..operators.arima import arima_grid
-    return arima_grid(saved_trade_volume(spark, sf_dir))
+    return _digits(A.arima_grid(saved_trade_volume(spark, sf_dir)), "aic", "sigma2")
+
+
+@register("arima_likelihood", None)
+def q_arima_likelihood(spark, sf_dir):
+    """Exact Gaussian log-likelihood of every accepted ARIMA fit; best order by it."""
+    return A.arima_likelihood(saved_trade_volume(spark, sf_dir))
 
 
-@register("arima_forecast", None)
+@register("arima_forecast", f"""WITH RECURSIVE {_series_cte()},
+{S.source('s')}, {S.arima()}, {S.fitted()}, {S.forecast(1000)}
+SELECT currency, t::BIGINT AS t, 'fit' AS kind, {S.digits('mean + scale * y')} AS y, {S.digits('mean + scale * (y - resid)')} AS fitted,
+       round(scale * resid, 5) AS resid FROM fit_
+UNION ALL SELECT currency, t::BIGINT, 'forecast', NULL, {S.digits('mean + scale * fitted')}, NULL FROM ahead_ WHERE fitted IS NOT NULL""")
 def q_arima_forecast(spark, sf_dir):
     """Fitted values, residuals and 1000 forecasts of each symbol's best model."""
-    from ..operators.arima import arima_forecast
-    return arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1000)
+    f = A.arima_forecast(saved_trade_volume(spark, sf_dir), horizon=1000)
+    return _digits(f.withColumn("resid", F.round("resid", 5)), "y", "fitted")

@@ -88,7 +88,7 @@ def test_ar_linear_matches_lstsq(tv, series_np):
 
 
 def test_arima_hannan_rissanen_matches_numpy(tv, series_np):
-    fits, _ = arima_fits(tv, max_p=2, max_d=1, max_q=2)
+    fits = arima_fits(tv, max_p=2, max_d=1, max_q=2)
     pdf = fits.toPandas()
     P, Q = 2, 2
     fitted = 0
@@ -177,7 +177,7 @@ def test_regressions_at_any_price_level(spark, level):
     b, *_ = np.linalg.lstsq(A, y[3:] / level, rcond=None)
     b[0] *= level
     assert np.allclose(coef["coef"], b, rtol=1e-6, atol=1e-6 * min(1, level))
-    fits, _ = arima_fits(df, max_p=2, max_d=1, max_q=1)
+    fits = arima_fits(df, max_p=2, max_d=1, max_q=1)
     pdf = fits.toPandas()
     assert not pdf.status.str.contains("singular|degenerate").any()
     assert pdf[pdf.best].d.iloc[0] == 0
@@ -196,7 +196,7 @@ def test_forecasts_grow_at_most_as_polynomials(spark, tv):
     from marketlens.operators.arima import arima_forecast, outside_unit_circle
     pdf = arima_forecast(tv, horizon=400).toPandas()
     ahead = pdf[pdf.kind == "forecast"]
-    fits, _ = arima_fits(tv)
+    fits = arima_fits(tv)
     best = fits.where("best").toPandas().set_index("currency")
     for cur, g in ahead.groupby("currency"):
         f = g.sort_values("t")["fitted"].to_numpy()
