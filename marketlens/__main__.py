@@ -1,8 +1,10 @@
 """Command line: ``python -m marketlens <command> ...``
 
 consume   stream the feeds into the partitioned fact table
-cycle     consume for a bounded time, stop, compact (one maintenance cycle)
-compact   rewrite every partition of the fact table in place
+cycle     consume for a bounded time, stop, compact; once, or repeated until a stop file appears
+split     part the feed into an archive of on-time rows and a side table of late ones
+correct   replace the closed windows that late rows belong to
+compact   pack small files of the fact table into files of a target size
 analyze   per-symbol analysis of the fact table, written as parquet
 """
 
@@ -50,25 +52,45 @@ def cmd_consume(args) -> None:
 
 
 def cmd_cycle(args) -> None:
-    from .streaming.cycle import run_cycle
+    from .streaming.cycle import run_cycle, supervise
     spark = _session(args)
+    if args.repeat or args.cycles:
+        supervise(spark, lambda: _feed(spark, args), table=args.table, checkpoint=args.checkpoint, step=args.step, delay=args.delay,
+                  minutes=args.minutes, interval_seconds=args.interval, cycles=args.cycles, stop_file=args.stop_file)
+        return
     run_cycle(spark, _feed(spark, args), table=args.table, checkpoint=args.checkpoint,
               step=args.step, delay=args.delay, minutes=args.minutes,
               available_now=args.available_now, interval_seconds=args.interval)
 
 
+def cmd_split(args) -> None:
+    from .streaming.late import split_late
+    spark = _session(args)
+    q = split_late(_feed(spark, args), archive=args.archive, late=args.late, checkpoint=args.checkpoint, step=args.step, delay=args.delay,
+                   available_now=args.available_now, interval_seconds=args.interval)
+    q.awaitTermination(None if args.minutes is None else args.minutes * 60)
+    q.stop()
+
+
+def cmd_correct(args) -> None:
+    import datetime as dt
+    from .streaming.late import correct_windows
+    correct_windows(_session(args), archive=args.archive, late=args.late, table=args.table, step=args.step,
+                    closed_before=dt.datetime.fromisoformat(args.closed_before))
+
+
 def cmd_compact(args) -> None:
     from .sinks.orc import compact
-    compact(_session(args), args.table)
+    compact(_session(args), args.table, target_bytes=args.target_mb << 20)
 
 
-ANALYSES = ("acf", "pacf", "adf", "qq", "corr", "arima_grid", "arima_forecast", "split_sorted")
+ANALYSES = ("acf", "pacf", "adf", "qq", "corr", "arima_grid", "arima_likelihood", "arima_forecast", "split_sorted")
 
 
 def cmd_analyze(args) -> None:
     from .operators import analysis as A
     from .operators import series as X
-    from .operators.arima import arima_forecast, arima_grid
+    from .operators.arima import arima_forecast, arima_grid, arima_likelihood
     spark = _session(args)
     tv = spark.read.orc(args.path) if args.path else spark.table(args.table)
     if args.symbol:
@@ -80,6 +102,7 @@ def cmd_analyze(args) -> None:
         "qq": lambda: X.qq_points(tv, value=args.value),
         "corr": lambda: A.corr_matrix(tv),
         "arima_grid": lambda: arima_grid(tv, value=args.value),
+        "arima_likelihood": lambda: arima_likelihood(tv, value=args.value),
         "arima_forecast": lambda: arima_forecast(tv, value=args.value, horizon=args.horizon),
         "split_sorted": lambda: A.split_sorted(tv),
     }[args.what]()
@@ -113,9 +136,25 @@ def build_parser() -> argparse.ArgumentParser:
     c.set_defaults(fn=cmd_consume)
     cy = sub.add_parser("cycle")
     stream_args(cy)
+    cy.add_argument("--repeat", action="store_true", help="repeat cycles until --stop-file exists")
+    cy.add_argument("--cycles", type=int, default=None, help="number of cycles to repeat")
+    cy.add_argument("--stop-file", default=None)
     cy.set_defaults(fn=cmd_cycle, minutes=C.RUN_CYCLE_MINUTES)
+    sp = sub.add_parser("split")
+    stream_args(sp)
+    sp.add_argument("--archive", required=True)
+    sp.add_argument("--late", required=True)
+    sp.set_defaults(fn=cmd_split)
+    co = sub.add_parser("correct")
+    co.add_argument("--table", default=f"{C.DATABASE}.{C.TRADE_VOLUME_TABLE}")
+    co.add_argument("--archive", required=True)
+    co.add_argument("--late", required=True)
+    co.add_argument("--step", default="1 day")
+    co.add_argument("--closed-before", required=True, help="instant (ISO) up to which the windows have been emitted")
+    co.set_defaults(fn=cmd_correct)
     cp = sub.add_parser("compact")
     cp.add_argument("--table", default=f"{C.DATABASE}.{C.TRADE_VOLUME_TABLE}")
+    cp.add_argument("--target-mb", type=int, default=256)
     cp.set_defaults(fn=cmd_compact)
     a = sub.add_parser("analyze")
     a.add_argument("what", choices=ANALYSES)

@@ -60,6 +60,35 @@ def bucket_bounds(df: DataFrame, ts: str = "ts", step: str = "15 minutes") -> Da
     )
 
 
+def grid_days(df: DataFrame, step: str, ts: str = "ts", key: str = "currency") -> DataFrame:
+    """``(key, day, steps)``: the bucket starts of width ``step`` of every day from a key's first to its last; buckets
+    are counted from the first day's start and end with the last day.
+
+    Days are dealt out before their steps are made: months first, then the days of a month, so
+    no array is longer than a day has steps (or a span has months), and a long history is spread over tasks."""
+    span = df.groupBy(key).agg(
+        F.date_trunc("day", F.min(ts)).alias("_d0"),
+        F.date_trunc("day", F.max(ts)).alias("_d1"),
+    )
+    flavour = df.schema[ts].dataType
+    one_day, width = interval("1 day"), F.expr(f"INTERVAL {step}")
+    months = span.select(key, "_d0", "_d1", F.explode(F.sequence(F.date_trunc("month", "_d0"), F.col("_d1"), interval("1 month"))).alias("_month"))
+    days = months.select(key, "_d0", "_d1", F.explode(F.sequence(
+        F.greatest(F.col("_month"), F.col("_d0")), F.least(F.col("_month") + interval("1 month") - one_day, F.col("_d1")), one_day)).alias("day"))
+    days = days.repartition(F.col(key), F.col("day"))
+
+    def seconds(c):
+        return F.unix_seconds(c.cast("timestamp"))
+
+    epoch = F.to_timestamp(F.lit("1970-01-01 00:00:00"))
+    size = F.unix_seconds(epoch + width) - F.unix_seconds(epoch)
+    nth = F.ceil((seconds(F.col("day")) - seconds(F.col("_d0"))) / size)
+    first = F.col("_d0") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (nth * size).cast("decimal(18,6)"))
+    last = F.least(F.col("day") + one_day - F.expr("INTERVAL 1 SECOND"), F.col("_d1") + one_day - width)
+    steps = F.when(first <= last, F.sequence(first, last, width))
+    return days.select(key, F.col("day").cast(flavour).alias("day"), steps.alias("steps")).where("steps IS NOT NULL")
+
+
 def candle_grid(df: DataFrame, step: str, ts: str = "ts", key: str = "currency") -> DataFrame:
     """All bucket starts of width ``step`` covering each day in which a key
     has data, one row per ``(key, bucket_start)``.
@@ -67,9 +96,4 @@ def candle_grid(df: DataFrame, step: str, ts: str = "ts", key: str = "currency")
     The grid is derived per key from its own first and last day, so its size
     follows the data's time span; there is no cross join with a symbol list.
     """
-    span = df.groupBy(key).agg(
-        F.date_trunc("day", F.min(ts)).alias("_d0"),
-        F.date_trunc("day", F.max(ts)).alias("_d1"),
-    )
-    last = F.col("_d1") + interval("1 day") - interval(step)
-    return span.select(key, F.explode(F.sequence("_d0", last, interval(step))).alias("bucket_start"))
+    return grid_days(df, step, ts, key).select(key, F.explode("steps").alias("bucket_start"))

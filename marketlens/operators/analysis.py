@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,39 +73,56 @@ def corr_pairs(columns: list[str]) -> list[tuple[str, str]]:
     return list(combinations_with_replacement(columns, 2))
 
 
-def _comoment_partials(key: str, columns: list[str]):
-    """Per-partition, per-key co-moments of mean-centred columns.
-
-    With X the centred values (NaN where NULL), M the non-null mask and X0 = X
-    with NaN -> 0, every pairwise-deletion sum is a matrix product:
-    n = M'M, Sx = X0'M (sum of x over rows where y is present), Sxx = (X0^2)'M,
-    Sxy = X0'X0.  Only the upper triangle is emitted.
-    """
-    import numpy as np
-    import pandas as pd
-
-    k = len(columns)
-    iu, ju = np.triu_indices(k)
-
-    def run(batches):
-        acc: dict = {}
-        for pdf in batches:
-            for kv, g in pdf.groupby(key, sort=False):
-                x = g[columns].to_numpy(dtype="float64", na_value=np.nan)
-                m = (~np.isnan(x)).astype("float64")
-                x0 = np.nan_to_num(x, nan=0.0)
-                parts = (m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0)
-                if kv in acc:
-                    acc[kv] = tuple(a + b for a, b in zip(acc[kv], parts))
-                else:
-                    acc[kv] = parts
-        for kv, (n, sx, sxx, sxy) in acc.items():
-            yield pd.DataFrame({
-                key: kv, "i": iu.astype("int32"), "j": ju.astype("int32"),
-                "n": n[iu, ju], "sx": sx[iu, ju], "sy": sx[ju, iu],
-                "sxx": sxx[iu, ju], "syy": sxx[ju, iu], "sxy": sxy[iu, ju],
-            })
-    return run
+class CoMoments:
+    """Pairwise-deletion co-moments of k columns, mergeable: per pair of columns the number of rows that have both, both
+    means over those rows, and the centred sums of squares and products."""
+
+    def __init__(self, n, mean, squares, products):
+        self.n, self.mean, self.squares, self.products = n, mean, squares, products     # mean[i, j]: of i where j is present
+
+    @staticmethod
+    def of(x: np.ndarray) -> CoMoments:
+        """Of the rows of ``x``, NaN where missing."""
+        here = ~np.isnan(x)
+        # about a value of the column first: constant columns have squares of exactly 0
+        first = x[here.argmax(axis=0), np.arange(x.shape[1])]
+        first = np.where(np.isnan(first), 0.0, first)
+        d = np.where(here, x - first, 0.0)
+        shift = d.sum(axis=0) / np.maximum(here.sum(axis=0), 1)
+        d = np.where(here, d - shift, 0.0)
+        m = here.astype(np.float64)
+        n = m.T @ m
+        some = np.maximum(n, 1)
+        off = (d.T @ m) / some                     # what is left of the mean over the rows of a pair
+        squares = (d * d).T @ m - n * off * off
+        products = d.T @ d - n * off * off.T
+        return CoMoments(n, np.where(n > 0, (first + shift)[:, None] + off, 0.0), np.maximum(squares, 0.0), products)
+
+    def merge(self, o: CoMoments) -> CoMoments:
+        n = self.n + o.n
+        share = np.divide(o.n, n, out=np.zeros_like(n), where=n > 0)
+        gap = np.where((self.n > 0) & (o.n > 0), o.mean - self.mean, 0.0)
+        weight = self.n * share
+        mean = np.where(self.n > 0, self.mean + gap * share, o.mean)
+        return CoMoments(n, mean, self.squares + o.squares + gap * gap * weight, self.products + o.products + gap * gap.T * weight)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([a.ravel() for a in (self.n, self.mean, self.squares, self.products)])
+
+    @staticmethod
+    def from_flat(a: np.ndarray, k: int) -> CoMoments:
+        return CoMoments(*np.asarray(a, dtype=np.float64).reshape(4, k, k))
+
+    def correlations(self) -> tuple[np.ndarray, np.ndarray]:
+        """(r, defined): Pearson's r per pair, NaN for a constant column; defined with two rows or more."""
+        across = self.squares * self.squares.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = np.where(across > 0, self.products / np.sqrt(across), np.nan)
+        return r, self.n >= 2
+
+
+HELD_NUMBERS = 8_000_000         # numbers of co-moments that a task holds before it hands them on
+SLOTS = 64                       # first merges of a key
 
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -112,32 +131,68 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None,
     form ``(key, col_x, col_y, r)`` for the upper triangle with diagonal.
 
     Pairwise deletion (a row counts for a pair when both values are
-    present), as a pandas ``DataFrame.corr`` does.  Plan: per-key means
-    (native aggregate) -> centred co-moment matrices per partition and key
-    (numpy, Arrow batches) -> one small ``groupBy(key, i, j)`` sum.  Work is
-    one pass over the rows; the shuffle carries k(k+1)/2 rows per key and
-    partition, independent of the row count.
+    present), as a pandas ``DataFrame.corr`` does.  One scan: every task reduces its
+    rows to one :class:`CoMoments` per key, and those are merged by the stable update formula, first in ``SLOTS``
+    parts per key, then per key.  Rows without a key are a key of their own.
     """
     columns = columns or [c for c in MEASURE_COLUMNS if c in df.columns]
+    k = len(columns)
     key_type = df.schema[key].dataType.simpleString()
-    means = df.groupBy(key).agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(columns)])
-    centred = df.join(means, key).select(
-        key, *[(F.col(c).cast("double") - F.col(f"_m{i}")).alias(c) for i, c in enumerate(columns)])
-    schema = (f"{key} {key_type}, i int, j int, n double, sx double, sy double, "
-              "sxx double, syy double, sxy double")
-    partial = centred.mapInPandas(_comoment_partials(key, columns), schema)
-    tot = partial.groupBy(key, "i", "j").agg(*[F.sum(c).alias(c) for c in
-                                              ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    cov = F.col("sxy") - sx * sy / n
-    vx = F.col("sxx") - sx * sx / n
-    vy = F.col("syy") - sy * sy / n
-    r = (F.when(n < 2, F.lit(None).cast("double"))
-         .when((vx <= 0) | (vy <= 0), F.lit(float("nan")))
-         .otherwise(cov / F.sqrt(vx * vy)))
-    names = F.array(*[F.lit(c) for c in columns])
-    return tot.select(key, F.element_at(names, F.col("i") + 1).alias("col_x"),
-                      F.element_at(names, F.col("j") + 1).alias("col_y"), r.alias("r"))
+    key_arrow = _arrow_type(df, key)
+    iu, ju = np.triu_indices(k)
+
+    def partial(batches):
+        held: dict = {}
+        from pyspark import TaskContext
+        slot = TaskContext.get().partitionId() % SLOTS
+
+        def flush():
+            rows = list(held.items())
+            held.clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kv for kv, _ in rows], key_arrow), pa.array([slot] * len(rows), pa.int32()),
+                     pa.array([c.flat().tolist() for _, c in rows], pa.list_(pa.float64()))], names=[key, "slot", "moments"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            coded = b.column(0).dictionary_encode("encode")
+            names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(k)]).astype(np.float64)
+            for code in np.unique(at):
+                c = CoMoments.of(x[at == code])
+                kv = names[code]
+                held[kv] = held[kv].merge(c) if kv in held else c
+            if len(held) * 4 * k * k > HELD_NUMBERS:
+                yield from flush()
+        yield from flush()
+
+    def whole(table: pa.Table) -> CoMoments:
+        out = None
+        for a in table.column("moments"):
+            c = CoMoments.from_flat(a.values.to_numpy(), k)
+            out = c if out is None else out.merge(c)
+        return out
+
+    def add(table: pa.Table) -> pa.Table:
+        return table.slice(0, 1).set_column(2, "moments", pa.array([whole(table).flat().tolist()], pa.list_(pa.float64())))
+
+    def finish(table: pa.Table) -> pa.Table:
+        r, defined = whole(table).correlations()
+        kv = table.column(0)[0].as_py()
+        return pa.table({key: pa.array([kv] * len(iu), key_arrow), "col_x": [columns[i] for i in iu], "col_y": [columns[j] for j in ju],
+                         "r": pa.array(r[iu, ju], mask=~defined[iu, ju])})
+
+    schema = f"`{key}` {key_type}, slot int, moments array<double>"
+    parts = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(partial, schema)
+    return (parts.groupBy(key, "slot").applyInArrow(add, schema)
+            .groupBy(key).applyInArrow(finish, f"`{key}` {key_type}, col_x string, col_y string, r double"))
+
+
+def _arrow_type(df: DataFrame, column: str):
+    from pyspark.sql.pandas.types import to_arrow_type
+    return to_arrow_type(df.schema[column].dataType)
 
 
 def split_sorted(df: DataFrame, key: str = "currency", order: str = "current_time",

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 
 MAX_CONDITION = 1e13     # of the design with columns of unit length
+HELD_NUMBERS = 8_000_000     # numbers of matrices that a task holds before it hands them on
 PERFECT = 1e-14          # share of y'y below which residuals are rounding noise
 
 
@@ -39,6 +40,14 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None =
 
     def run(batches):
         acc: dict = {}
+
+        def flush():
+            for kv, m in acc.items():
+                out = {c: v for c, v in zip(keys, kv)}
+                out.update({"i": iu.astype("int32"), "j": ju.astype("int32"), "s": m[iu, ju]})
+                yield pd.DataFrame(out)
+            acc.clear()
+
         for pdf in batches:
             for kv, g in pdf.groupby(keys, sort=False, dropna=False):
                 x = g[cols].to_numpy(dtype="float64", na_value=np.nan)
@@ -46,10 +55,9 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], where: Column | None =
                     x = x[g["_in"].to_numpy(dtype=bool)]
                 m = x.T @ x
                 acc[kv] = acc[kv] + m if kv in acc else m
-        for kv, m in acc.items():
-            out = {c: v for c, v in zip(keys, kv)}
-            out.update({"i": iu.astype("int32"), "j": ju.astype("int32"), "s": m[iu, ju]})
-            yield pd.DataFrame(out)
+            if len(acc) * k * k > HELD_NUMBERS:       # many keys: hand their matrices on
+                yield from flush()
+        yield from flush()
 
     data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols],
                      *([F.coalesce(where, F.lit(False)).alias("_in")] if masked else []))

@@ -16,6 +16,8 @@ from ..sinks import orc as O
 from ..sources.fixtures import feed_table
 from ..streaming import event_time as E
 from ..streaming.cycle import run_cycle
+from ..streaming.jobs import consume
+from ..streaming.late import correct_windows, split_late
 from ..streaming.microbatch import start_parity
 from ..streaming.source import read_feed_stream, write_time_slices
 from . import sqlgen as Q
@@ -156,17 +158,40 @@ def q_run_cycle(spark, sf_dir):
     return _rounded(out)
 
 
+@register("stream_late_corrections", _closed_tv_sql())
+def q_stream_late_corrections(spark, sf_dir):
+    """A tenth of the first half of the feed arrives after the second half: late rows go to a side table, on-time ones through the
+    event-time query, and the windows concerned are corrected in the fact table."""
+    feed = feed_table(spark, sf_dir)
+    mid = feed.agg(F.percentile_approx("us", 0.5).alias("m")).first()["m"]
+    tardy = (F.col("us") < mid) & (F.pmod(F.xxhash64("seq"), F.lit(10)) == 0) if mid is not None else F.lit(False)
+    loc = scratch_path(spark, "late")
+    O.create_database(spark, C.DATABASE, f"{loc}/{C.DATABASE}.db")
+    table = f"{C.DATABASE}.{C.TRADE_VOLUME_TABLE}_late_{loc.rsplit('-', 1)[-1]}"
+    places = {"archive": f"{loc}/archive", "late": f"{loc}/side"}
+    for part in (feed.where(F.coalesce(~tardy, F.lit(True))), feed.where(tardy)):
+        write_time_slices(part, f"{loc}/in")
+        split_late(read_feed_stream(spark, f"{loc}/in", files_per_trigger=5), checkpoint=f"{loc}/_split", step="1 day", delay=DELAY,
+                   available_now=True, **places).awaitTermination()
+    consume(spark, read_feed_stream(spark, places["archive"], files_per_trigger=5), table=table, checkpoint=f"{loc}/_main", step="1 day",
+            delay=DELAY, available_now=True).awaitTermination()
+    end = spark.read.parquet(places["archive"]).agg(F.max("ts").alias("m")).select(F.col("m") - F.expr(f"INTERVAL {DELAY}")).first()[0]
+    if end is not None:
+        correct_windows(spark, table=table, closed_before=end, step="1 day", **places)
+    return _rounded(spark.table(table))
+
+
 @register("stream_latest_by_symbol", f"""WITH {Q.feed_sql()}
 SELECT currency, feed, last(cost ORDER BY us, seq) AS cost, last(quantity ORDER BY us, seq) AS quantity,
        last(ts ORDER BY us, seq) AS ts, last(seq ORDER BY us, seq) AS seq
 FROM feed GROUP BY currency, feed""")
 def q_stream_latest_by_symbol(spark, sf_dir):
-    """Latest value of every feed per symbol maintained by a streaming
-    aggregate and kept as a versioned snapshot table."""
+    """Latest value of every feed per symbol maintained by a streaming aggregate; every batch writes the
+    keys it changed into a snapshot table."""
     from ..operators.feeds import latest_by_key
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)
     out = scratch_path(spark, "latest_snapshot")
     E.latest_snapshot(latest_by_key(s), out, scratch_path(spark, "latest_ckpt"))
-    snap = E.read_snapshot(spark, out)
+    snap = E.read_snapshot(spark, out, ["currency", "feed"])
     return snap.select("currency", "feed", "cost", "quantity",
                        F.col("ts").cast("timestamp_ntz").alias("ts"), "seq")

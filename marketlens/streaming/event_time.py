@@ -109,39 +109,58 @@ def run_to_files(df: DataFrame, out: str, checkpoint: str, *, mode: str = "appen
     return q
 
 
-def snapshot_versions(spark, out: str) -> list:
-    """Complete versions of a snapshot, oldest first, as (file system, path)."""
+FOLD_EVERY = 50        # batches of changes between two whole versions of a snapshot
+
+
+def _complete(spark, out: str, kind: str) -> list:
+    """(number, file system, path) of the complete parts ``kind``-N of a snapshot, oldest first."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(out)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out}/version-*/_SUCCESS")) or []
-    paths = sorted((s.getPath().getParent() for s in done), key=lambda p: p.getName())
-    return [(fs, p) for p in paths]
-
-
-def read_snapshot(spark, out: str) -> DataFrame:
-    """The latest complete version of a snapshot."""
-    return spark.read.parquet(snapshot_versions(spark, out)[-1][1].toString())
-
-
-def latest_snapshot(latest: DataFrame, out: str, checkpoint: str, *,
+    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out}/{kind}-*/_SUCCESS")) or []
+    paths = [s.getPath().getParent() for s in done]
+    return sorted(((int(p.getName().rsplit("-", 1)[1]), fs, p) for p in paths), key=lambda x: x[0])
+
+
+def read_snapshot(spark, out: str, keys: list[str]) -> DataFrame:
+    """The snapshot as of its last complete batch: the newest row of every key, from the latest whole version and the
+    changes behind it."""
+    versions = _complete(spark, out, "version")
+    base = versions[-1] if versions else None
+    changes = [c for c in _complete(spark, out, "change") if base is None or c[0] > base[0]]
+    parts = [spark.read.parquet(p.toString()).withColumn("_batch", F.lit(n)) for n, _, p in ([base] if base else []) + changes]
+    if not parts:
+        raise FileNotFoundError(f"no complete snapshot at {out}")
+    rows = reduce(DataFrame.unionByName, parts)
+    values = [c for c in rows.columns if c not in (*keys, "_batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_row"))
+    return newest.select(*keys, "_row.*").select(*[c for c in rows.columns if c != "_batch"])
+
+
+def latest_snapshot(latest: DataFrame, out: str, checkpoint: str, *, keys: list[str] | None = None, fold_every: int = FOLD_EVERY,
                     available_now: bool = True, partitions: int | None = None) -> StreamingQuery:
     """Keep the latest value per key as a table at ``out``.
 
     The aggregate's state holds one row per key (bounded by the number of
-    keys, so no watermark is needed); complete mode hands the whole (small)
-    result to every batch.  Each batch writes a version of its own, so a
-    reader (:func:`read_snapshot`) always finds a complete one, also while a
-    batch is being written or after a crash; a replayed batch rewrites its
-    own version.  The version before the last is kept, older ones go.
+    keys, so no watermark is needed).  In update mode a batch brings the keys it touched, and only those are
+    written, as the batch's changes; readers (:func:`read_snapshot`) lay them over the last whole version.
+    Every ``fold_every`` batches the two become a new version, so a reader opens a bounded number of
+    parts.  Each part is complete or ignored, a replayed batch rewrites its own, and the
+    version before the last stays for readers that have begun.
     """
     spark = latest.sparkSession
+    keys = keys or ["currency", "feed"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/version-{batch_id:012d}")
-        for fs, p in snapshot_versions(spark, out)[:-2]:
-            fs.delete(p, True)
-    w = latest.writeStream.outputMode("complete").foreachBatch(write) \
+        batch.write.mode("overwrite").parquet(f"{out}/change-{batch_id:012d}")
+        if (batch_id + 1) % fold_every == 0:
+            read_snapshot(spark, out, keys).write.mode("overwrite").parquet(f"{out}/version-{batch_id:012d}")
+            for _, fs, p in _complete(spark, out, "version")[:-2]:
+                fs.delete(p, True)
+            for n, fs, p in _complete(spark, out, "change"):
+                if n <= batch_id - fold_every:
+                    fs.delete(p, True)
+    w = latest.writeStream.outputMode("update").foreachBatch(write) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     with state_partitions(latest.sparkSession, partitions):

@@ -2,13 +2,15 @@
 hour grid, inverse normal."""
 
 import datetime as dt
+
+import pytest
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
 from marketlens.functions.normal import norm_ppf
 from marketlens.functions.scalars import epoch_millis_to_ts, narrow_to_float, to_double
-from marketlens.functions.timegrid import bucket_bounds, candle_grid, hour_grid
+from marketlens.functions.timegrid import bucket_bounds, candle_grid, grid_days, hour_grid
 from marketlens.sources import kafka as KF
 
 
@@ -49,6 +51,32 @@ def test_candle_grid_per_symbol(spark):
     assert counts == {"A": 12, "B": 6}
 
 
+def test_minute_grid_over_twenty_years_has_short_arrays(spark):
+    df = spark.createDataFrame([("A", "2004-03-17 05:00:00"), ("A", "2024-02-29 05:00:00")], "currency string, s string") \
+        .select("currency", F.to_timestamp("s").alias("ts"))
+    days = grid_days(df, "1 minute")
+    n = (dt.date(2024, 2, 29) - dt.date(2004, 3, 17)).days + 1
+    got = days.agg(F.count("*").alias("n"), F.max(F.size("steps")).alias("longest"), F.sum(F.size("steps")).alias("all")).first()
+    assert (got.n, got.longest, got["all"]) == (n, 1440, n * 1440)
+    edges = candle_grid(df, "1 minute").agg(F.min("bucket_start"), F.max("bucket_start")).first()
+    assert [str(x) for x in edges] == ["2004-03-17 00:00:00", "2024-02-29 23:59:00"]
+
+
+@pytest.mark.parametrize("step,seconds", [("7 minutes", 420), ("5 hours", 18000), ("36 hours", 129600), ("1 day", 86400), ("3 days", 259200)])
+def test_grid_of_any_step_runs_on_over_midnight(spark, step, seconds):
+    df = spark.createDataFrame([("A", "2024-01-30 05:00:00"), ("A", "2024-02-03 23:00:00"), ("B", "2024-01-31 00:00:00")], "currency string, s string") \
+        .select("currency", F.to_timestamp("s").cast("timestamp_ntz").alias("ts"))
+    got = {}
+    for r in candle_grid(df, step).collect():
+        got.setdefault(r.currency, []).append(r.bucket_start)
+    for k, first, last in (("A", dt.datetime(2024, 1, 30), dt.datetime(2024, 2, 4)), ("B", dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 1))):
+        want, t = [], first
+        while t + dt.timedelta(seconds=seconds) <= last:
+            want.append(t)
+            t += dt.timedelta(seconds=seconds)
+        assert sorted(got.get(k, [])) == want
+
+
 def test_json_decode_cases(spark):
     values = [
         '{"currency":"ETHBTC","cost":1.5,"quantity":2.0}',        # good

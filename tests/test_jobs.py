@@ -48,6 +48,9 @@ def test_cli_parses_every_command():
     p = build_parser()
     assert p.parse_args(["consume", "--checkpoint", "c", "--bootstrap", "b"]).mode == "event"
     assert p.parse_args(["cycle", "--checkpoint", "c", "--source-path", "s"]).minutes == C.RUN_CYCLE_MINUTES
+    assert p.parse_args(["cycle", "--checkpoint", "c", "--source-path", "s", "--repeat", "--stop-file", "f"]).repeat
+    assert p.parse_args(["split", "--checkpoint", "c", "--source-path", "s", "--archive", "a", "--late", "l"]).late == "l"
+    assert p.parse_args(["correct", "--archive", "a", "--late", "l", "--closed-before", "2024-01-01"]).step == "1 day"
     assert p.parse_args(["compact"]).table.endswith(C.TRADE_VOLUME_TABLE)
     assert p.parse_args(["analyze", "adf", "--out", "o"]).what == "adf"
 

@@ -41,8 +41,8 @@ def test_entry_smoke(spark):
     assert df.count() == 8 and len(df.columns) == 35
 
 
-STREAM_KEYS = ["stream_restart", "stream_candles", "stream_dedup", "stream_microbatch",
-               "stream_latest_by_symbol"]
+STREAM_KEYS = ["stream_trade_volume", "stream_feed_join", "stream_restart", "stream_candles", "stream_dedup", "stream_microbatch",
+               "stream_latest_by_symbol", "stream_late_corrections", "run_cycle"]
 
 
 @pytest.fixture(scope="module")

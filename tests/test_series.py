@@ -10,7 +10,7 @@ import pytest
 
 from feed_help import SF01
 from marketlens.operators import series as X
-from marketlens.operators.analysis import corr_matrix
+from marketlens.operators.analysis import CoMoments, corr_matrix
 from marketlens.operators.arima import arima_fits
 from marketlens.plans.tv import saved_trade_volume
 
@@ -154,6 +154,35 @@ def test_corr_matrix_pairwise_deletion(spark):
             assert abs(r.r - want.loc[r.col_x, r.col_y]) < 1e-10
 
 
+def test_corr_matrix_is_one_scan_and_keeps_the_null_key(spark):
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=4000)
+    rows = [(None if i % 5 == 0 else "K", float(1e9 + v), float(1e9 - v), 7.5) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "currency string, a double, b double, c double").repartition(7)
+    m = corr_matrix(df, ["a", "b", "c"])
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    got = {(r.currency, r.col_x, r.col_y): r.r for r in m.collect()}
+    assert len(got) == 12
+    for k in ("K", None):
+        a = np.array([r[1] for r in rows if r[0] == k])
+        b = np.array([r[2] for r in rows if r[0] == k])
+        assert got[k, "a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-12)
+        assert math.isnan(got[k, "a", "c"]) and math.isnan(got[k, "c", "c"])
+
+
+def test_comoments_merge_in_any_grouping():
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(300, 3)) * [1, 1e-6, 100] + [1e6, 1, -5]
+    x[rnd.random(x.shape) < 0.2] = np.nan
+    parts = [CoMoments.of(x[a:b]) for a, b in zip([0, 1, 2, 50, 51, 200], [1, 2, 50, 51, 200, 300])]
+    while len(parts) > 1:
+        i = len(parts) // 2 - 1
+        parts[i:i + 2] = [parts[i].merge(parts[i + 1])]
+    r, _ = parts[0].correlations()
+    assert np.allclose(r, pd.DataFrame(x).corr().to_numpy(), atol=1e-10)
+
+
 def walk(level, n=300, seed=4):
     r = np.random.default_rng(seed)
     e = r.normal(size=n)

@@ -144,10 +144,45 @@ def test_later_input_releases_the_open_window(spark):
 
 def test_snapshot_survives_a_broken_batch(spark):
     out = scratch_path(spark, "t_versions")
-    frame = lambda v: spark.createDataFrame([(v,)], "v int")
-    frame(1).write.parquet(f"{out}/version-000000000000")
-    frame(2).write.parquet(f"{out}/version-000000000001")
-    fs, p = E.snapshot_versions(spark, out)[-1]
+    frame = lambda *r: spark.createDataFrame(r, "k string, v int")
+    frame(("a", 1), ("b", 1)).write.parquet(f"{out}/version-000000000001")
+    frame(("a", 2)).write.parquet(f"{out}/change-000000000002")
+    frame(("b", 3), ("c", 3)).write.parquet(f"{out}/change-000000000003")
+    frame(("a", 0)).write.parquet(f"{out}/change-000000000000")          # older than the version
+    read = lambda: {r.k: r.v for r in E.read_snapshot(spark, out, ["k"]).collect()}
+    assert read() == {"a": 2, "b": 3, "c": 3}
+    _, fs, p = E._complete(spark, out, "change")[-1]
     jvm = spark.sparkContext._jvm
     fs.delete(jvm.org.apache.hadoop.fs.Path(f"{p.toString()}/_SUCCESS"), False)     # the crash
-    assert E.read_snapshot(spark, out).first().v == 1
+    assert read() == {"a": 2, "b": 1}
+
+
+def test_snapshot_writes_changed_keys_only(spark):
+    from marketlens.operators.feeds import latest_by_key
+    feed = feed_table(spark, SF001)
+    src, out = scratch_path(spark, "t_changed_in"), scratch_path(spark, "t_changed")
+    write_time_slices(feed, src)
+    E.latest_snapshot(latest_by_key(read_feed_stream(spark, src, 4)), out, scratch_path(spark, "t_changed_ckpt"), fold_every=1000)
+    touched = []
+    q = read_feed_stream(spark, src, 4).writeStream.foreachBatch(
+        lambda b, i: touched.append(b.select("currency", "feed").distinct().count())) \
+        .option("checkpointLocation", scratch_path(spark, "t_touched_ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    written = [spark.read.parquet(p.toString()).count() for _, _, p in E._complete(spark, out, "change")]
+    assert written == touched and len(touched) > 3
+    want = latest_by_key(feed).select("currency", "feed", "cost", "seq")
+    assert E.read_snapshot(spark, out, ["currency", "feed"]).select(*want.columns).exceptAll(want).count() == 0
+    assert E.read_snapshot(spark, out, ["currency", "feed"]).count() == want.count()
+
+
+def test_snapshot_folds_changes_into_versions(spark):
+    from marketlens.operators.feeds import latest_by_key
+    feed = feed_table(spark, SF001)
+    src, out = scratch_path(spark, "t_fold_in"), scratch_path(spark, "t_fold")
+    write_time_slices(feed, src)
+    E.latest_snapshot(latest_by_key(read_feed_stream(spark, src, 3)), out, scratch_path(spark, "t_fold_ckpt"), fold_every=3)
+    versions, changes = E._complete(spark, out, "version"), E._complete(spark, out, "change")
+    assert 1 <= len(versions) <= 2 and len(changes) <= 6
+    want = latest_by_key(feed).select("currency", "feed", "cost", "seq")
+    got = E.read_snapshot(spark, out, ["currency", "feed"]).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
