@@ -5,19 +5,19 @@ roles and texts are escaped reversibly (``&`` -> ``&amp;``, ``<|`` -> ``&lt;|``,
 roles a line feed too), so the output can be parsed back.
 
 Every assistant turn is an example of its own: all turns before it are
-context, only its reply is trainable.  Written out, the contexts of one
-conversation grow with the square of its turns, so the output is kept in two
-tables in the shared folder: ``turns`` (each formatted turn once, with its
-character range in the conversation) and ``examples`` (one row per assistant turn:
-its context is the conversation up to ``context_chars``, its loss mask the
-range ``loss_start`` to ``loss_end``).  ``render`` gives the text of any selection of
-examples.  Character offsets are running sums over blocks of turns, so one
-conversation is spread over many tasks.
+context, only its reply is trainable.  ``expand`` gives two tables in the shared folder: ``turns`` (each
+formatted turn once, with its character range in the conversation) and ``examples`` (one row per assistant
+turn: its context is the conversation up to ``context_chars``, its loss mask the range ``loss_start`` to ``loss_end``).
+``render`` writes the examples out, each with its whole context, by streaming the ordered turns past a running text.
+Written contexts grow with the square of a conversation's turns; so its examples are cut into blocks of
+512 turns, and every block is a task's work of its own, from the turns up to its end.
+Character offsets are running sums over blocks of turns, so one conversation is spread over many tasks.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; a null text
 or role counts as empty; null conversation ids are one conversation; repeated rows are
 turns of their own; conversations without an assistant turn have no example;
-an empty table gives empty tables; extra columns are ignored.
+very long texts and conversations are taken whole (an example is one row, so it must fit a task); an empty table
+gives empty tables; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +36,9 @@ ASSISTANT = "assistant"
 TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
 BLOCK_BITS = 10      # a block has 1,024 consecutive turn numbers
+BLOCK_TURNS_BITS = 9  # examples of 512 consecutive turns are rendered together
+OUT_CHARS = 4_000_000  # characters of examples that a worker holds
+SLICE_ROWS = 256
 
 
 def escape(c: Column) -> Column:
@@ -92,27 +95,72 @@ def expand(conv: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def render(turns: DataFrame, examples: DataFrame) -> DataFrame:
-    """The whole text of the given ``examples`` (context and target turn), with the
-    loss range inside it.  Its size is the sum of their contexts: choose
-    examples, or stream them conversation by conversation."""
-    e = examples.select(F.col("conv_id").alias("e_conv"), "target_seq", "loss_start", "loss_end")
-    j = e.join(turns, F.col("e_conv").eqNullSafe(F.col("conv_id")) & (F.col("seq") <= F.col("target_seq")))
-    parts = F.sort_array(F.collect_list(F.struct("seq", "formatted")))
-    return (j.groupBy("e_conv", "target_seq", "loss_start", "loss_end")
-            .agg(F.concat_ws("", F.transform(parts, lambda p: p["formatted"])).alias("formatted"))
-            .withColumnRenamed("e_conv", "conv_id"))
-
-
-def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
-    """One row per conversation, parsed from the two written tables: turns are
-    recovered by the template, the trainable text by the examples' loss
-    ranges.  ``formatted_chars`` is the length of all examples' texts.
-
-    The digests run over a conversation's turns in order; its rows are sorted
-    by Spark and streamed through, never held together."""
-    ex = examples.select(F.col("conv_id").alias("e_conv"), "target_seq", "loss_start", "loss_end", "context_chars")
+    """(conv_id, target_seq, loss_start, loss_end, formatted): the given ``examples`` with their whole texts (context and target turn)."""
+    block = F.shiftright("target_seq", BLOCK_TURNS_BITS)
+    blocks = examples.select(F.col("conv_id").alias("e_conv"), block.alias("block")).distinct()
+    ends = blocks.groupBy("e_conv").agg(F.collect_set("block").alias("blocks"))        # one number per 512 turns
+    rows = (turns.join(ends, F.col("conv_id").eqNullSafe(F.col("e_conv")))
+            .withColumn("block", F.explode(F.filter("blocks", lambda b: b >= F.shiftright(F.col("seq"), BLOCK_TURNS_BITS))))
+            .select("conv_id", "block", "seq", "formatted"))
+    ex = examples.select(F.col("conv_id").alias("e_conv"), "target_seq", block.alias("e_block"), "loss_start", "loss_end")
+    rows = (rows.join(ex, F.col("conv_id").eqNullSafe(F.col("e_conv")) & (F.col("seq") == F.col("target_seq")) & (F.col("block") == F.col("e_block")), "left")
+            .select("conv_id", "block", "seq", "formatted", "loss_start", "loss_end")
+            .repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq"))
+    schema = "conv_id bigint, target_seq bigint, loss_start bigint, loss_end bigint, formatted string"
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        key, text, out, chars = None, [], [], 0
+
+        def made():
+            cols = list(zip(*out))
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n == "formatted" else pa.int64()) for c, n in zip(cols, names)], names=names)
+
+        for b in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
+            for conv, blk, seq, formatted, lo, hi in zip(*(c.to_pylist() for c in b.columns)):
+                if key != (conv, blk):
+                    key, text = (conv, blk), []
+                text.append(formatted)
+                if lo is not None:
+                    whole_text = "".join(text)
+                    text = [whole_text]
+                    out.append((conv, seq, lo, hi, whole_text))
+                    chars += len(whole_text)
+                    if chars > OUT_CHARS:
+                        yield made()
+                        out, chars = [], 0
+        if out:
+            yield made()
+
+    return rows.mapInArrow(run, schema)
+
+
+def trained_parts(rendered: DataFrame) -> DataFrame:
+    """(conv_id, target_seq, trained, chars): what each example trains on, unescaped, and its length; both read from the
+    example's text.  An example whose text does not parse as the turns up to its target fails the job."""
+    def run(batches):
+        for b in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
+            trained, chars = [], []
+            for seq, lo, hi, text in zip(*(b.column(i).to_pylist() for i in range(1, 4)), (x.as_py() for x in b.column(4))):
+                if text.count(START) != seq or text.count(END) != seq or text[hi:] != END + "\n":
+                    raise ValueError(f"example at turn {seq} is not its conversation up to there")
+                trained.append(unescape(text[lo:hi]))
+                chars.append(len(text))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(trained, pa.string()), pa.array(chars, pa.int64())],
+                                             names=["conv_id", "target_seq", "trained", "chars"])
+
+    return rendered.mapInArrow(run, "conv_id bigint, target_seq bigint, trained string, chars bigint")
+
+
+def read_back(turns: DataFrame, rendered: DataFrame) -> DataFrame:
+    """One row per conversation, parsed from the written turns and examples: turns are recovered by the template,
+    the trainable text by the loss ranges of the examples' texts; ``formatted_chars`` is the length of all of them.
+
+    Parsing is spread over all rows.  The digests run over a conversation's turns in order; its rows are
+    sorted by Spark and streamed through, never held together."""
+    ex = trained_parts(rendered).select(F.col("conv_id").alias("e_conv"), "target_seq", "trained", "chars")
     rows = (turns.join(ex, F.col("conv_id").eqNullSafe(F.col("e_conv")) & (F.col("seq") == F.col("target_seq")), "left")
-            .select("conv_id", "seq", "start", "formatted", "loss_start", "loss_end")
+            .select("conv_id", "seq", "formatted", "trained", "chars")
             .repartition("conv_id").sortWithinPartitions("conv_id", "seq"))
     schema = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
               "formatted_chars bigint, n_examples bigint")
@@ -131,9 +179,8 @@ def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
             n, sha, chars, loss, total, n_ex = state
             done.append((key[0], n, sha.hexdigest(), chars, loss.hexdigest(), total, n_ex))
 
-        for b in batches:
-            for conv, start, formatted, lo, hi in zip(*(b.column(n).to_pylist() for n in
-                                                        ("conv_id", "start", "formatted", "loss_start", "loss_end"))):
+        for b in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
+            for conv, formatted, trained, chars in zip(*(b.column(n).to_pylist() for n in ("conv_id", "formatted", "trained", "chars"))):
                 if key is None or key[0] != conv:
                     if key is not None:
                         closed()
@@ -141,11 +188,10 @@ def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
                 role, text = map(unescape, TURN.fullmatch(formatted).groups())
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
-                if lo is not None:
-                    trained = unescape(formatted[lo - start:hi - start])
+                if chars is not None:
                     state[2] += len(trained)
                     state[3].update(trained.encode())
-                    state[4] += start + len(formatted)
+                    state[4] += chars
                     state[5] += 1
             if len(done) >= 2000:
                 yield rows_of(done)
@@ -156,3 +202,9 @@ def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
             yield rows_of(done)
 
     return rows.mapInArrow(digest, schema)
+
+
+def formatted_conversations(conv: DataFrame) -> DataFrame:
+    """Formats conversations, writes every example and reads all back: see :func:`read_back`."""
+    turns, examples = expand(conv)
+    return read_back(turns, written(render(turns, examples), "chat-rendered"))

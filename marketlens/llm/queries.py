@@ -93,7 +93,7 @@ def op4(spark, sf_dir):
     extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
                                   "conv_id long, turn long, role string, text string")
     conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(*chat.expand(conv.unionByName(extra)))
+    return chat.formatted_conversations(conv.unionByName(extra))
 
 
 @query("op5_token_counts")
@@ -134,6 +134,14 @@ def op7(spark, sf_dir):
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+@query("decontamination_proximity")
+def op7_near(spark, sf_dir):
+    """Documents with benchmark items that stand in them only approximately: all anchors of a window near their places."""
+    found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    near = F.concat_ws(",", "near_items")
+    return found.where(F.size("near_items") > 0).select("doc_id", F.size("near_items").cast("long").alias("n_near_items"), near.alias("near_items"))
+
+
 @query("op8_token_files")
 def op8(spark, sf_dir):
     """All documents written as token files in doc_id order and read back."""

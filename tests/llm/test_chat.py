@@ -39,7 +39,7 @@ def brute(rows):
 def test_round_trip(spark):
     rows = data()
     turns, examples = C.expand(frame(spark, rows, SCHEMA))
-    got = {r.conv_id: tuple(r)[1:] for r in C.read_back(turns, examples).collect()}
+    got = {r.conv_id: tuple(r)[1:] for r in C.read_back(turns, C.render(turns, examples)).collect()}
     assert got == brute(rows)
 
 
@@ -60,4 +60,36 @@ def test_rendered_examples(spark):
 
 def test_empty(spark):
     turns, examples = C.expand(frame(spark, [], SCHEMA))
-    assert turns.count() == examples.count() == C.read_back(turns, examples).count() == 0
+    assert turns.count() == examples.count() == C.read_back(turns, C.render(turns, examples)).count() == 0
+
+
+def test_every_example_is_its_conversation_so_far(spark, monkeypatch):
+    """Whatever the blocks: one conversation holds a third of all rows."""
+    rows = [r for r in data() if r[0] in (1, 2, 3)] + [(8, i, "assistant" if i % 3 else "user", f"t{i}") for i in range(40)] + [(100 + i, 0, "user", "x") for i in range(40)]
+    texts = {}
+    for c in {r[0] for r in rows}:
+        run = ""
+        for seq, (_, _, role, x) in enumerate(sorted((r for r in rows if r[0] == c), key=lambda r: r[1]), 1):
+            esc = lambda s: s.replace("&", "&amp;").replace("<|", "&lt;|")
+            run += f"<|im_start|>{esc(role or '').replace(chr(10), '&#10;')}\n{esc(x or '')}<|im_end|>\n"
+            if role == "assistant":
+                texts[c, seq] = (run, x or "")
+    for bits in (0, 2, 9):
+        monkeypatch.setattr(C, "BLOCK_TURNS_BITS", bits)
+        got = {(r.conv_id, r.target_seq): (r.formatted, C.unescape(r.formatted[r.loss_start:r.loss_end])) for r in C.render(*C.expand(frame(spark, rows, SCHEMA))).collect()}
+        assert got == texts
+
+
+def test_broken_examples_are_found(spark):
+    import pytest
+    turns, examples = C.expand(frame(spark, data(), SCHEMA))
+    cut = C.render(turns, examples.where("conv_id = 7 AND target_seq = 40")).selectExpr(
+        "conv_id", "target_seq", "loss_start", "loss_end", "substring(formatted, 30) AS formatted")
+    with pytest.raises(Exception, match="not its conversation"):
+        C.trained_parts(cut).collect()
+
+
+def test_very_long_text(spark):
+    rows = [(1, 0, "user", "u" * 300_000), (1, 1, "assistant", "a & <| " * 100_000), (1, 2, "assistant", "b")]
+    got = {r.conv_id: tuple(r)[1:] for r in C.formatted_conversations(frame(spark, rows, SCHEMA)).collect()}
+    assert got == brute(rows)
