@@ -21,7 +21,7 @@ blocks of that size, more windows are joined by a shuffle.
 
 Defined results: null and empty texts have no words, items without words no
 windows; a null item id counts as the empty string; repeated rows each get a
-row; repeated items count once per id; an empty table gives no rows (no items: no hits); extra
+row; very long texts are indexed whole; repeated items count once per id; an empty table gives no rows (no items: no hits); extra
 columns are not returned.
 """
 

@@ -10,7 +10,7 @@ no sort of documents, one map-side-combined aggregate per level.
 Defined results: a null source is a source of its own (last in order); a null
 or empty text has size 0 and is never taken; rows equal in id and text share a
 hash, so they are taken together; an empty table gives no rows and no sources;
-extra columns pass through untouched (helper columns avoid clashing names).
+very long texts are counted whole; extra columns pass through untouched (helper columns avoid clashing names).
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ component and never all pairs of a group.  Components give each document the
 smallest doc_id that it can reach.
 
 Defined results: texts without words (null, empty, blank) have fingerprint
-zero; 1 to k-1 words are one shingle; repeated rows link like copies; null
+zero; 1 to k-1 words are one shingle; very long texts count whole; repeated rows link like copies; null
 doc_ids take part but never name a component, unless it has no other; an empty table
 gives no rows; extra columns are ignored.
 """

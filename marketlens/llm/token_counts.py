@@ -11,7 +11,7 @@ any merge, the others are merged by the library once per worker and kept in a
 bounded table.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); repeated
-rows each give a row; extra columns pass through.
+rows each give a row; very long texts are counted whole; extra columns pass through.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ worker and kept (bounded), which gives the ids of the whole text.  A text
 that has one of the tokenizer's special strings is encoded as a whole.
 
 Defined results: null and empty texts have the end id only; equal ids are ordered
-by text; repeated rows stay; an empty table gives an empty manifest; extra
+by text; repeated rows stay; very long texts are one document as any other; an empty table gives an empty manifest; extra
 columns are not part of the files.
 """
 
@@ -44,6 +44,8 @@ from .common import Memo, grouped
 KEEP, KEEP_CHARS = 450_000, 48      # runs a worker keeps in each of two generations
 GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
+SHARD_BYTES = 128 << 20      # bytes of text of a shard
+PART_TOKENS = 1 << 22        # ids that are read back together
 
 # --- fixed values: Unicode white space, as the tokenizer's \s has it ------------
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -131,12 +133,18 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def shard_count(docs: DataFrame, text: str = "text") -> int:
+    """Shards of about ``SHARD_BYTES`` of text, and no fewer than a few for each core."""
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    return max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
+
+
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_id", text: str = "text",
                  end_id: int = 0, shards: int | None = None) -> DataFrame:
     """Writes the files of ``docs`` to ``folder`` (a shared location) and returns
     the manifest with each shard's ``base``."""
     spark = docs.sparkSession
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shards or shard_count(docs, text)
     keys = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
     ranged = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                           F.xxhash64(F.col(text)).alias("tie"))
@@ -200,6 +208,26 @@ def open_array(folder: str, name: str, dtype) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=dtype)
 
 
+class Ranges:
+    """Parts of one file as arrays: memory-mapped where the folder is a mounted one, else read where they lie."""
+
+    def __init__(self, folder: str, name: str, dtype):
+        store, root = _filesystem(folder)
+        self.dtype = np.dtype(dtype)
+        self.mapped = np.memmap(f"{root}/{name}", dtype=dtype, mode="r") if store.type_name == "local" else None
+        self.file = None if self.mapped is not None else store.open_input_file(f"{root}/{name}")
+
+    def __call__(self, lo: int, hi: int) -> np.ndarray:
+        if self.mapped is not None:
+            return self.mapped[lo:hi]
+        self.file.seek(lo * self.dtype.itemsize)
+        return np.frombuffer(self.file.read((hi - lo) * self.dtype.itemsize), dtype=self.dtype)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
 def read_documents(manifest: DataFrame, folder: str, tokenizer: str) -> DataFrame:
     """Documents read back from the files, one task per shard: doc_id, start
     (tokens of all documents before), n_tokens, ids_crc32 (of the ids as 32-bit integers)."""
@@ -210,19 +238,26 @@ def read_documents(manifest: DataFrame, folder: str, tokenizer: str) -> DataFram
         for b in batches:
             for r in b.to_pylist():
                 stem = f"shard-{r['shard']:06d}"
-                flat = open_array(folder, f"{stem}.bin", dtype)
-                idx = open_array(folder, f"{stem}.idx", "<u8").astype("i8")
-                ids = open_array(folder, f"{stem}.ids", "<i8")
-                for lo in range(0, r["docs"], DOCS_OUT):
+                flat, idx, ids = Ranges(folder, f"{stem}.bin", dtype), Ranges(folder, f"{stem}.idx", "<u8"), Ranges(folder, f"{stem}.ids", "<i8")
+                lo = 0
+                while lo < r["docs"]:
                     hi = min(lo + DOCS_OUT, r["docs"])
-                    crc = [zlib.crc32(flat[idx[i]:idx[i + 1]].astype("<u4")) for i in range(lo, hi)]
+                    at = idx(lo, hi + 1).astype("i8")
+                    # as many documents as about PART_TOKENS ids
+                    few = max(1, int(np.searchsorted(at, at[0] + PART_TOKENS, side="right")) - 1)
+                    hi, at = lo + min(few, hi - lo), at[:min(few, hi - lo) + 1]
+                    tokens = flat(int(at[0]), int(at[-1]))
+                    crc = [zlib.crc32(tokens[a:b].astype("<u4")) for a, b in zip(at - at[0], at[1:] - at[0])]
                     yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array(ids[lo:hi], pa.int64(), mask=np.arange(lo, hi) < r["null_ids"]),
-                        "start": pa.array(idx[lo:hi] + r["base"], pa.int64()),
-                        "n_tokens": pa.array(np.diff(idx[lo:hi + 1]), pa.int64()),
+                        "doc_id": pa.array(ids(lo, hi), pa.int64(), mask=np.arange(lo, hi) < r["null_ids"]),
+                        "start": pa.array(at[:-1] + r["base"], pa.int64()),
+                        "n_tokens": pa.array(np.diff(at), pa.int64()),
                         "ids_crc32": pa.array(crc, pa.int64())})
+                    lo = hi
+                for f in (flat, idx, ids):
+                    f.close()
 
-    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, manifest.count())
     return manifest.repartition(n, "shard").mapInArrow(read, schema)
 
 
