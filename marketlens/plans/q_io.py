@@ -14,7 +14,7 @@ from ..sources import files as FL
 from ..sources import kafka as KF
 from ..sources.fixtures import feed_table, kafka_records, raw_trades
 from . import sqlgen as Q
-from .registry import register
+from .registry import register, rounded
 from .tv import saved_trade_volume
 
 
@@ -129,19 +129,13 @@ def _write_fragmented(spark, sf_dir, table=None, path=None, appends=3):
         O.append_partitioned(part, table=table, path=path, tasks=tasks)
 
 
-def _rounded(df):
-    return df.select(*[F.round(F.col(f.name), Q.R).alias(f.name)
-                       if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 @register("orc_partitioned_roundtrip", Q.trade_volume())
 def q_orc_partitioned_roundtrip(spark, sf_dir):
     """Fact rows appended in three batches to ORC partitioned by
     (current_day, currency) and read back."""
     path = scratch_path(spark, "trade_volume_orc")
     _write_fragmented(spark, sf_dir, path=path)
-    return _rounded(O.read_partitioned(spark, path))
+    return rounded(O.read_partitioned(spark, path))
 
 
 @register("tv_one_symbol", f"WITH {Q.trade_volume_cte()} SELECT * FROM tv WHERE currency = 'BTCUSDT'")
@@ -151,7 +145,7 @@ def q_tv_one_symbol(spark, sf_dir):
     path = scratch_path(spark, "trade_volume_orc")
     _write_fragmented(spark, sf_dir, path=path)
     from ..operators.analysis import one_symbol
-    return _rounded(one_symbol(O.read_partitioned(spark, path), "BTCUSDT"))
+    return rounded(one_symbol(O.read_partitioned(spark, path), "BTCUSDT"))
 
 
 @register("compact_partitions", Q.trade_volume())
@@ -163,4 +157,4 @@ def q_compact_partitions(spark, sf_dir):
     O.create_database(spark, db, f"{loc}/{db}.db")
     table = f"{db}.{C.TRADE_VOLUME_TABLE}_{loc.rsplit('-', 1)[-1]}"
     _write_fragmented(spark, sf_dir, table=table, path=f"{loc}/{db}.db/{C.TRADE_VOLUME_TABLE}")
-    return _rounded(O.compact(spark, table))
+    return rounded(O.compact(spark, table))

@@ -9,7 +9,7 @@ from ..operators import arima as A
 from ..operators import series as X
 from . import sql_series as S
 from . import sqlgen as Q
-from .registry import register
+from .registry import register, rounded
 from .tv import saved_trade_volume
 
 NLAGS = 10
@@ -17,12 +17,6 @@ FEATURES = ["first_cost", "buy_avg_quantity", "sell_avg_quantity"]
 WIN = 4
 
 
-def _rounded(df):
-    return df.select(*[F.round(F.col(f.name), Q.R).alias(f.name)
-                       if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 def _digits(df, *names):
     """The named columns to seven significant digits."""
     return df.withColumns({n: F.when(F.col(n).isNotNull(), F.format_string("%.6e", n).cast("double")) for n in names})
@@ -54,7 +48,7 @@ acf_ AS (SELECT grid.currency, CAST(grid.lag AS INTEGER) AS lag,
 @register("acf", f"WITH {_acf_cte()} SELECT currency, lag, round(acf, {Q.R}) AS acf FROM acf_")
 def q_acf(spark, sf_dir):
     """Autocorrelation of each symbol's daily first price, lags 0..10."""
-    return _rounded(X.acf(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
+    return rounded(X.acf(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
 
 
 _PACF_CTE = f"""rl AS (SELECT currency, list(acf ORDER BY lag) AS r FROM acf_ GROUP BY currency),
@@ -76,7 +70,7 @@ UNION ALL SELECT currency, k AS lag, round(pkk, {Q.R}) AS pacf FROM dl""")
 def q_pacf(spark, sf_dir):
     """Partial autocorrelation (Durbin-Levinson on the ACF), lags 0..10."""
     a = X.acf(saved_trade_volume(spark, sf_dir), nlags=NLAGS)
-    return _rounded(X.pacf(a))
+    return rounded(X.pacf(a))
 
 
 def _crit_sql(n: str) -> str:
@@ -114,7 +108,7 @@ FROM bands_ LEFT JOIN dl ON dl.currency = bands_.currency AND dl.k = bands_.lag"
 @register("correlogram", f"WITH RECURSIVE {_acf_cte()},\n{_correlogram_sql(NLAGS)}")
 def q_correlogram(spark, sf_dir):
     """Autocorrelation and partial autocorrelation with their 95 % bands, lags 0..10."""
-    return _rounded(X.correlogram(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
+    return rounded(X.correlogram(saved_trade_volume(spark, sf_dir), nlags=NLAGS))
 
 
 def _residuals(spark, sf_dir):
@@ -155,11 +149,11 @@ def q_arima_residual_qq(spark, sf_dir):
 SELECT *, CAST(NULL AS VARCHAR) AS error FROM adf_""")
 def q_arima_residual_adf(spark, sf_dir):
     """Augmented Dickey-Fuller test of the residuals of each symbol's best ARIMA model, lag order by AIC."""
-    return _adf_rounded(X.adf(_residuals(spark, sf_dir), order="t", value="resid"))
+    return _adfrounded(X.adf(_residuals(spark, sf_dir), order="t", value="resid"))
 
 
-def _adf_rounded(a):
-    return _digits(_rounded(a.withColumn("pvalue", F.round("pvalue", 7)).drop("adf_stat", "icbest")).join(
+def _adfrounded(a):
+    return _digits(rounded(a.withColumn("pvalue", F.round("pvalue", 7)).drop("adf_stat", "icbest")).join(
         a.select(F.col("currency").alias("_c"), "adf_stat", "icbest"), F.col("currency").eqNullSafe(F.col("_c"))).drop("_c"), "adf_stat", "icbest")
 
 
@@ -169,7 +163,7 @@ SELECT *, CAST(NULL AS VARCHAR) AS error FROM adf_""")
 def q_adf(spark, sf_dir):
     """Augmented Dickey-Fuller test of each symbol's daily first price,
     lag order chosen by AIC."""
-    return _adf_rounded(X.adf(saved_trade_volume(spark, sf_dir)))
+    return _adfrounded(X.adf(saved_trade_volume(spark, sf_dir)))
 
 
 @register("adf_lag0", f"""WITH {_series_cte()},
@@ -189,7 +183,7 @@ FROM a""")
 def q_adf_lag0(spark, sf_dir):
     """Dickey-Fuller regression without augmentation lags (fixed lag 0)."""
     a = X.adf(saved_trade_volume(spark, sf_dir), maxlag=0, autolag=None)
-    return _rounded(a.select("currency", "adf_stat", "usedlag", "nobs",
+    return rounded(a.select("currency", "adf_stat", "usedlag", "nobs",
                              "crit_1pct", "crit_5pct", "crit_10pct"))
 
 
@@ -199,7 +193,7 @@ SELECT currency, i, round(p, {Q.R}) AS p, round(z, {Q.R}) AS z, round(sample, {Q
        round(z * sd + mu, {Q.R}) AS fit FROM z""")
 def q_qq_points(spark, sf_dir):
     """Normal Q-Q points of each symbol's daily first price."""
-    return _rounded(X.qq_points(saved_trade_volume(spark, sf_dir)))
+    return rounded(X.qq_points(saved_trade_volume(spark, sf_dir)))
 
 
 def _lag_sql() -> str:
@@ -215,7 +209,7 @@ SELECT * FROM x WHERE t >= {WIN - 1}"""
 @register("lag_features", _lag_sql())
 def q_lag_features(spark, sf_dir):
     """Sliding windows of the last 4 days of three features per symbol."""
-    return _rounded(X.lag_features(saved_trade_volume(spark, sf_dir), FEATURES, WIN))
+    return rounded(X.lag_features(saved_trade_volume(spark, sf_dir), FEATURES, WIN))
 
 
 @register("ar_linear", f"""WITH RECURSIVE {Q.saved_tv_cte()},

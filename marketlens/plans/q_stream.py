@@ -21,7 +21,7 @@ from ..streaming.late import correct_windows, split_late
 from ..streaming.microbatch import start_parity
 from ..streaming.source import read_feed_stream, write_time_slices
 from . import sqlgen as Q
-from .registry import register
+from .registry import register, rounded
 
 _INPUTS: dict[tuple[str, str], str] = {}
 DELAY = "1 hour"
@@ -38,12 +38,6 @@ def stream_input(spark, sf_dir: str) -> str:
     return _INPUTS[key]
 
 
-def _rounded(df):
-    return df.select(*[F.round(F.col(f.name), Q.R).alias(f.name)
-                       if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 def _run(spark, df, name):
     out, ckpt = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ckpt")
     E.run_to_files(df, out, ckpt)
@@ -74,14 +68,14 @@ SELECT * FROM tv WHERE current_time + INTERVAL {step} <= {wm}"""
 def q_stream_trade_volume(spark, sf_dir):
     """One-pass wide row on a watermarked stream (day windows, 1 h delay)."""
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)
-    return _rounded(_run(spark, E.stream_trade_volume(s, "1 day", DELAY), "stream_tv"))
+    return rounded(_run(spark, E.stream_trade_volume(s, "1 day", DELAY), "stream_tv"))
 
 
 @register("stream_feed_join", _closed_tv_sql(per_feed=True))
 def q_stream_feed_join(spark, sf_dir):
     """Five windowed feed summaries joined stream-to-stream on (window, symbol)."""
     s = read_feed_stream(spark, stream_input(spark, sf_dir), files_per_trigger=5)
-    return _rounded(_run(spark, E.stream_feed_join(s, "1 day", DELAY), "stream_join"))
+    return rounded(_run(spark, E.stream_feed_join(s, "1 day", DELAY), "stream_join"))
 
 
 @register("stream_dedup", f"""WITH {Q.feed_sql()}
@@ -126,7 +120,7 @@ def q_stream_microbatch(spark, sf_dir):
     path, ckpt = scratch_path(spark, "parity_tv"), scratch_path(spark, "parity_ckpt")
     q = start_parity(s, spark, checkpoint=ckpt, path=path, stamp="event", available_now=True)
     q.awaitTermination()
-    return _rounded(O.read_partitioned(spark, path))
+    return rounded(O.read_partitioned(spark, path))
 
 
 @register("stream_restart", _closed_tv_sql())
@@ -143,7 +137,7 @@ def q_stream_restart(spark, sf_dir):
         write_time_slices(half, src)            # new files arrive ...
         s = read_feed_stream(spark, src, files_per_trigger=5)
         E.run_to_files(E.stream_trade_volume(s, "1 day", DELAY), out, ckpt)   # ... query restarts
-    return _rounded(spark.read.parquet(out))
+    return rounded(spark.read.parquet(out))
 
 
 @register("run_cycle", _closed_tv_sql())
@@ -155,7 +149,7 @@ def q_run_cycle(spark, sf_dir):
     O.create_database(spark, C.DATABASE, f"{loc}/{C.DATABASE}.db")
     table = f"{C.DATABASE}.{C.TRADE_VOLUME_TABLE}_cycle_{loc.rsplit('-', 1)[-1]}"
     out = run_cycle(spark, s, table=table, checkpoint=f"{loc}/_ckpt", available_now=True)
-    return _rounded(out)
+    return rounded(out)
 
 
 @register("stream_late_corrections", _closed_tv_sql())
@@ -178,7 +172,7 @@ def q_stream_late_corrections(spark, sf_dir):
     end = spark.read.parquet(places["archive"]).agg(F.max("ts").alias("m")).select(F.col("m") - F.expr(f"INTERVAL {DELAY}")).first()[0]
     if end is not None:
         correct_windows(spark, table=table, closed_before=end, step="1 day", **places)
-    return _rounded(spark.table(table))
+    return rounded(spark.table(table))
 
 
 @register("stream_latest_by_symbol", f"""WITH {Q.feed_sql()}

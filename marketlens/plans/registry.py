@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import stats as S
@@ -37,6 +38,13 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def rounded(df: DataFrame) -> DataFrame:
+    """Double columns to the decimals that both sides compare."""
+    return df.select(*[F.round(F.col(f.name), Q.R).alias(f.name)
+                       if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def _feed(spark: SparkSession, sf_dir: str, step: str = "1 day") -> DataFrame:
     return S.with_bucket(feed_table(spark, sf_dir), step)
 
