@@ -19,6 +19,7 @@ import hashlib
 import json
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -39,7 +40,11 @@ class Files:
         return bool(self._fs.exists(self.path(path)))
 
     def rename(self, source: str, target: str) -> bool:
-        return bool(self._fs.rename(self.path(source), self.path(target)))
+        """False where it did not succeed; some file systems say so, others raise."""
+        try:
+            return bool(self._fs.rename(self.path(source), self.path(target)))
+        except Py4JJavaError:
+            return False
 
     def mkdirs(self, path: str) -> None:
         self._fs.mkdirs(self.path(path))
@@ -118,7 +123,7 @@ class Publication:
         for folder in sorted({target.rpartition("/")[0] for _, target, _ in plan["add"]}):
             data.mkdirs(folder)
         for source, target, _ in plan["add"]:
-            if data.exists(source) and not data.rename(source, target):
+            if not data.rename(source, target) and data.exists(source):
                 raise OSError(f"could not move {source} to {target}")
         for path in plan["remove"]:
             data.delete(path)
