@@ -84,13 +84,13 @@ def cmd_compact(args) -> None:
     compact(_session(args), args.table, target_bytes=args.target_mb << 20)
 
 
-ANALYSES = ("acf", "pacf", "adf", "qq", "corr", "arima_grid", "arima_likelihood", "arima_forecast", "split_sorted")
+ANALYSES = ("acf", "pacf", "adf", "qq", "corr", "arima_grid", "arima_likelihood", "arima_mle", "arima_forecast", "split_sorted")
 
 
 def cmd_analyze(args) -> None:
     from .operators import analysis as A
     from .operators import series as X
-    from .operators.arima import arima_forecast, arima_grid, arima_likelihood
+    from .operators.arima import arima_forecast, arima_grid, arima_likelihood, arima_mle
     spark = _session(args)
     tv = spark.read.orc(args.path) if args.path else spark.table(args.table)
     if args.symbol:
@@ -103,6 +103,7 @@ def cmd_analyze(args) -> None:
         "corr": lambda: A.corr_matrix(tv),
         "arima_grid": lambda: arima_grid(tv, value=args.value),
         "arima_likelihood": lambda: arima_likelihood(tv, value=args.value),
+        "arima_mle": lambda: arima_mle(tv, value=args.value),
         "arima_forecast": lambda: arima_forecast(tv, value=args.value, horizon=args.horizon),
         "split_sorted": lambda: A.split_sorted(tv),
     }[args.what]()

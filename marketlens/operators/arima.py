@@ -1,5 +1,5 @@
 """ARIMA(p, d, q) order search and forecasts by Hannan-Rissanen regressions,
-and the exact Gaussian likelihood of the fitted models.
+the exact Gaussian likelihood of the fitted models, and fits that maximise it.
 
 For every key and differencing order d the series w = (1-B)^d y is fitted by
 
@@ -22,7 +22,8 @@ The exact likelihood of a fitted model is the Kalman filter's.  Its gains and in
 data, and given them a chunk of rows maps the state at its start to the state at its end by an affine function, and the
 state at its start to its sum of squared innovations by a quadratic one.  Every chunk
 returns those small matrices for all models of its key; they are composed in order (:func:`carry`), so
-the recursion over a symbol's rows runs in as many tasks as it has chunks.
+the recursion over a symbol's rows runs in as many tasks as it has chunks.  :func:`arima_mle` climbs this
+likelihood from the regression estimates, all keys and models together, one pass over the rows per step.
 
 The per-key solves see only Gram matrices, and the forecast recursion sees only
 each key's last max(p, d, q) + 1 rows.  Fits that cannot be made (too few
@@ -384,17 +385,9 @@ def carry(maps: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return squares, logs
 
 
-def arima_likelihood(df: DataFrame, key: str = "currency", order: str = "current_time", value: str = "first_cost",
-                     max_p: int = 4, max_d: int = 4, max_q: int = 4, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``(key, p, d, q, loglik, sigma2, aic, best)`` of the successful fits: exact Gaussian log-likelihood of the n - d
-    values of the differenced series, its variance estimate and AIC; ``best`` marks the least AIC of a key."""
-    fits, rows, per_key = _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)
-    model = F.struct("d", "p", "q", F.col("_const").alias("const"), "ar", "ma")
-    good = (fits.where("status = 'ok'").groupBy(F.col(key).alias("_key"))
-            .agg(F.sort_array(F.collect_list(model)).alias("models")))           # at most the grid's size
-    own = session.materialise(per_key.join(good, F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "a"), "arima-models")
-    key_type = df.schema[key].dataType.simpleString()
-    r = max(max_p, max_q + 1)
+def _loglik(rows: DataFrame, own: DataFrame, key: str, r: int, max_d: int, chunk_rows: int) -> DataFrame:
+    """``(key, i, loglik, sigma2)`` of the i-th of each key's ``models`` (array of d, p, q, const, ar, ma in standard units)."""
+    key_type = rows.schema[key].dataType.simpleString()
 
     def maps(left: pa.Table, right: pa.Table) -> pa.Table:
         if not right.num_rows:
@@ -414,17 +407,187 @@ def arima_likelihood(df: DataFrame, key: str = "currency", order: str = "current
         order = np.argsort(left.column("part").to_numpy())
         pieces = []
         for i in order:
-            a, b, h, lg = np.split(np.array(left.column("maps")[int(i)].as_py()), sizes)
+            a, b, h, lg = np.split(left.column("maps")[int(i)].values.to_numpy(), sizes)
             pieces.append((a.reshape(n, r, r), b.reshape(n, r), h.reshape(n, r + 1, r + 1), lg))
         squares, logs = carry(pieces)
         obs = own["_n"] - np.array([m["d"] for m in models])
         sigma2 = squares / obs
         ll = -0.5 * (obs * (np.log(2 * np.pi * sigma2) + 1) + logs) - obs * math.log(own["_scale"])
-        coefs = np.array([m["p"] + m["q"] + (m["d"] == 0) for m in models])
-        cols = {c: pa.array([m[c] for m in models], pa.int32()) for c in ("p", "d", "q")}
-        return pa.table({key: pa.array([own[key]] * n, right.schema.field(key).type), **cols, "loglik": pa.array(ll), "sigma2": pa.array(sigma2 * own["_scale"] ** 2),
-                         "aic": pa.array(-2 * ll + 2 * (coefs + 1))})
+        return pa.table({key: pa.array([own[key]] * n, right.schema.field(key).type), "i": pa.array(np.arange(n, dtype=np.int32)), "loglik": pa.array(ll),
+                         "sigma2": pa.array(sigma2 * own["_scale"] ** 2)})
 
-    out = parts.groupBy(key).cogroup(own.groupBy(key)).applyInArrow(combine, f"`{key}` {key_type}, p int, d int, q int, loglik double, sigma2 double, aic double")
+    return parts.groupBy(key).cogroup(own.groupBy(key)).applyInArrow(combine, f"`{key}` {key_type}, i int, loglik double, sigma2 double")
+
+
+def _accepted(fits: DataFrame, per_key: DataFrame, key: str, top: int | None = None) -> DataFrame:
+    """``per_key`` with ``models``: the successful fits of each key, or the ``top`` ones by AIC."""
+    good = fits.where("status = 'ok'")
+    if top is not None:
+        rank = Window.partitionBy(key).orderBy("aic", "p", "d", "q")
+        good = good.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= top)
+    model = F.struct("d", "p", "q", F.col("_const").alias("const"), "ar", "ma")
+    good = good.groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list(model)).alias("models"))       # at most the grid's size
+    return session.materialise(per_key.join(good, F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "a"), "arima-models")
+
+
+def _with_aic(out: DataFrame, key: str) -> DataFrame:
+    coefs = F.col("p") + F.col("q") + (F.col("d") == 0).cast("int")
     w = Window.partitionBy(key).orderBy("aic", "p", "d", "q")
-    return out.withColumn("best", F.row_number().over(w) == 1)
+    return (out.withColumn("aic", -2 * F.col("loglik") + 2 * (coefs + 1)).withColumn("best", F.row_number().over(w) == 1))
+
+
+def arima_likelihood(df: DataFrame, key: str = "currency", order: str = "current_time", value: str = "first_cost",
+                     max_p: int = 4, max_d: int = 4, max_q: int = 4, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(key, p, d, q, loglik, sigma2, aic, best)`` of the successful fits: exact Gaussian log-likelihood of the n - d
+    values of the differenced series, its variance estimate and AIC; ``best`` marks the least AIC of a key."""
+    fits, rows, per_key = _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)
+    own = _accepted(fits, per_key, key)
+    ll = _loglik(rows, own, key, max(max_p, max_q + 1), max_d, chunk_rows).withColumnRenamed(key, "_key")
+    of = own.select(key, F.posexplode("models").alias("_i", "_m"))
+    out = of.join(ll, F.col(key).eqNullSafe(F.col("_key")) & (F.col("i") == F.col("_i")))
+    return _with_aic(out.select(key, "_m.p", "_m.d", "_m.q", "loglik", "sigma2"), key)
+
+
+# ---------------------------------------------------------------------------
+# maximum likelihood
+# ---------------------------------------------------------------------------
+
+def from_partial(u: np.ndarray) -> np.ndarray:
+    """Coefficients of a stable recursion from unconstrained numbers: u / sqrt(1 + u^2) are its partial correlations."""
+    out = np.zeros(0)
+    for r in u / np.sqrt(1 + u * u):
+        out = np.append(out - r * out[::-1], r)
+    return out
+
+
+def to_partial(c: np.ndarray) -> np.ndarray:
+    """The inverse of :func:`from_partial`, for coefficients of a stable recursion."""
+    c, out = np.array(c, dtype=float), []
+    while len(c):
+        r = c[-1]
+        out.append(r)
+        c = (c[:-1] + r * c[-2::-1]) / (1 - r * r) if len(c) > 1 else c[:0]
+    r = np.clip(np.array(out[::-1]), -1 + 1e-9, 1 - 1e-9)
+    return r / np.sqrt(1 - r * r)
+
+
+STEPS = (4.0, 2.0, 1.0, 0.5, 0.2, 0.05, 0.01)      # of a search along a direction
+SHIFT = 1e-4                                       # of a central difference
+
+
+class Climb:
+    """Quasi-Newton ascent of one model's log-likelihood, told of the function's values from outside: ``points`` are
+    wanted, ``tell`` takes their values."""
+
+    def __init__(self, theta, inverse=None, gradient=None, before=None, value=None, searching=False, direction=None):
+        self.theta, self.value, self.searching = np.asarray(theta, dtype=float), value, searching
+        k = len(self.theta)
+        self.inverse = np.eye(k) * 0.01 if inverse is None else np.asarray(inverse, dtype=float).reshape(k, k)
+        self.gradient = None if gradient is None else np.asarray(gradient, dtype=float)
+        self.before = None if before is None else np.asarray(before, dtype=float)
+        self.direction = None if direction is None else np.asarray(direction, dtype=float)
+
+    def points(self) -> np.ndarray:
+        if self.searching:
+            return np.array([self.theta + a * self.direction for a in STEPS])
+        k = len(self.theta)
+        return np.vstack([self.theta, self.theta + SHIFT * np.eye(k), self.theta - SHIFT * np.eye(k)])
+
+    def tell(self, values: np.ndarray) -> None:
+        k = len(self.theta)
+        values = np.where(np.isfinite(values), values, -np.inf)
+        if self.searching:
+            best = int(values.argmax())
+            if values[best] > self.value:
+                self.before, self.theta, self.value = self.theta, self.theta + STEPS[best] * self.direction, float(values[best])
+            else:                            # the curvature misled: along the gradient next time
+                self.inverse, self.before = np.eye(k) * 0.01 * float(np.abs(np.diag(self.inverse)).min() / 0.01) * 0.1, None
+            self.searching = False
+            return
+        g = (values[1:k + 1] - values[k + 1:]) / (2 * SHIFT)
+        self.value = float(values[0])
+        if self.before is not None and self.gradient is not None:
+            s, y = self.theta - self.before, self.gradient - g       # of the negative function
+            sy = float(s @ y)
+            if sy > 1e-12:
+                a = np.eye(k) - np.outer(s, y) / sy
+                self.inverse = a @ self.inverse @ a.T + np.outer(s, s) / sy
+        self.gradient, self.direction, self.searching = g, self.inverse @ g, True
+
+
+def _model(m: dict, theta: np.ndarray) -> dict:
+    """The model of parameters (mean if d = 0, then both partial correlations' numbers)."""
+    off = int(m["d"] == 0)
+    ar, ma = from_partial(theta[off:off + m["p"]]), -from_partial(theta[off + m["p"]:])
+    return {"d": m["d"], "p": m["p"], "q": m["q"], "const": float(theta[0] * (1 - ar.sum())) if off else 0.0, "ar": ar.tolist(), "ma": ma.tolist()}
+
+
+def _start(m: dict) -> np.ndarray:
+    mean = [m["const"] / (1 - sum(m["ar"]))] if m["d"] == 0 else []
+    return np.concatenate([mean, to_partial(m["ar"]), to_partial(-np.array(m["ma"], dtype=float))])
+
+
+MODEL_TYPE = "struct<d:int,p:int,q:int,const:double,ar:array<double>,ma:array<double>>"
+
+
+def arima_mle(df: DataFrame, key: str = "currency", order: str = "current_time", value: str = "first_cost", max_p: int = 4,
+              max_d: int = 4, max_q: int = 4, top: int = 3, rounds: int = 6, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(key, p, d, q, loglik, sigma2, const, ar, ma, aic, best)``: the ``top`` fits of each key by AIC, taken from their regression
+    estimates to a maximum of the exact likelihood.
+
+    A quasi-Newton search over partial correlations, so every point is stationary and invertible.  One pass over the rows
+    evaluates the wanted points of all keys and models together (:func:`chunk_maps`); the searches themselves are a few numbers per
+    model, carried in a table between passes.  A round is two passes, differences and a search along a line."""
+    fits, rows, per_key = _fits(df, key, order, value, max_p, max_d, max_q, chunk_rows)
+    own = _accepted(fits, per_key, key, top)
+    key_type = df.schema[key].dataType.simpleString()
+    r = max(max_p, max_q + 1)
+    states = "models array<" + MODEL_TYPE + ">, climbs array<struct<base:" + MODEL_TYPE + ",theta:array<double>,inverse:array<double>,gradient:array<double>,before:array<double>,value:double,searching:boolean,direction:array<double>>>"
+    carried = [key, "_n", "_m", "_mean", "_scale"]
+    types = dict(own.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in carried) + ", " + states
+
+    def row_of(head: dict, bases: list[dict], climbs: list[Climb], models: list[dict]) -> pd.DataFrame:
+        def flat(a):
+            return None if a is None else np.asarray(a).ravel().tolist()
+        packed = [{"base": b, "theta": flat(c.theta), "inverse": flat(c.inverse), "gradient": flat(c.gradient), "before": flat(c.before), "value": c.value,
+                   "searching": c.searching, "direction": flat(c.direction)} for b, c in zip(bases, climbs)]
+        return pd.DataFrame([{**head, "models": models, "climbs": packed}])
+
+    def plain(m) -> dict:
+        return {**{k: int(m[k]) for k in ("d", "p", "q")}, "const": float(m["const"]), "ar": [float(x) for x in m["ar"]], "ma": [float(x) for x in m["ma"]]}
+
+    def begin(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        bases = [plain(m) for m in first["models"]]
+        climbs = [Climb(_start(m)) for m in bases]
+        return row_of({c: first[c] for c in carried}, bases, climbs, [_model(m, p) for m, c in zip(bases, climbs) for p in c.points()])
+
+    def unpack(first):
+        bases = [plain(c["base"]) for c in first["climbs"]]
+        climbs = [Climb(c["theta"], c["inverse"], c["gradient"], c["before"], c["value"], c["searching"], c["direction"]) for c in first["climbs"]]
+        return bases, climbs
+
+    def advance(last: bool):
+        def step(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            first = right.iloc[0]
+            bases, climbs = unpack(first)
+            values, at = left.sort_values("i")["loglik"].to_numpy(), 0
+            for c in climbs:
+                n = len(c.points())
+                c.tell(values[at:at + n])
+                at += n
+            wanted = [_model(m, p) for m, c in zip(bases, climbs) for p in ([c.theta] if last else c.points())]
+            return row_of({c: first[c] for c in carried}, bases, climbs, wanted)
+        return step
+
+    state = session.materialise(own.groupBy(key).applyInPandas(begin, schema), "arima-search")
+    for i in range(2 * rounds):
+        ll = _loglik(rows, state.drop("climbs"), key, r, max_d, chunk_rows)
+        state = session.materialise(ll.groupBy(key).cogroup(state.groupBy(key)).applyInPandas(advance(i == 2 * rounds - 1), schema), "arima-search")
+    ll = _loglik(rows, state.drop("climbs"), key, r, max_d, chunk_rows).withColumnRenamed(key, "_key")
+    of = state.select(key, "_mean", "_scale", F.posexplode("models").alias("_at", "_fit"))
+    out = of.join(ll, F.col(key).eqNullSafe(F.col("_key")) & (F.col("i") == F.col("_at")))
+    rest = 1 - F.aggregate("_fit.ar", F.lit(0.0), lambda a, x: a + x)
+    const = F.when(F.col("_fit.d") == 0, F.col("_mean") * rest + F.col("_scale") * F.col("_fit.const")).otherwise(F.lit(0.0))
+    return _with_aic(out.select(key, "_fit.p", "_fit.d", "_fit.q", "loglik", "sigma2", const.alias("const"), "_fit.ar", "_fit.ma"), key)

@@ -234,6 +234,12 @@ def q_arima_likelihood(spark, sf_dir):
     return A.arima_likelihood(saved_trade_volume(spark, sf_dir))
 
 
+@register("arima_mle", None)
+def q_arima_mle(spark, sf_dir):
+    """Each symbol's three best ARIMA orders, fitted by maximum exact likelihood."""
+    return A.arima_mle(saved_trade_volume(spark, sf_dir), top=3, rounds=4)
+
+
 @register("arima_forecast", f"""WITH RECURSIVE {_series_cte()},
 {S.source('s')}, {S.arima()}, {S.fitted()}, {S.forecast(1000)}
 SELECT currency, t::BIGINT AS t, 'fit' AS kind, {S.digits('mean + scale * y')} AS y, {S.digits('mean + scale * (y - resid)')} AS fitted,

@@ -161,3 +161,50 @@ def test_likelihood_settles_and_prefers_the_true_model():
     assert ll.argmax() == 1
     part = [A.chunk_maps(x[max(0, a - 1):a + 500], max(0, a - 1), a, models) for a in range(0, 3000, 500)]
     assert np.allclose(A.carry(part)[0], squares, rtol=1e-12)
+
+
+def exact_ll(y, d, mean, ar, ma):
+    w = np.diff(y, d)
+    squares, logs = kalman(w, np.array(ar), np.array(ma), mean)
+    n = len(w)
+    return -0.5 * (n * (math.log(2 * math.pi * squares / n) + 1) + logs)
+
+
+def test_partial_correlations_round_trip():
+    r = np.random.default_rng(2)
+    for _ in range(50):
+        u = r.normal(size=r.integers(0, 5))
+        c = A.from_partial(u)
+        assert A.outside_unit_circle(list(c), -1)
+        assert np.allclose(A.to_partial(c), u, atol=1e-7)
+
+
+def test_climb_finds_the_top():
+    target = np.array([0.4, -1.0, 2.0])
+    scale = np.array([[900.0, 40, 0], [40, 5, 1], [0, 1, 60]])
+    f = lambda x: -float((x - target) @ scale @ (x - target))
+    c = A.Climb(np.zeros(3))
+    for _ in range(30):
+        c.tell(np.array([f(p) for p in c.points()]))
+    assert np.allclose(c.theta, target, atol=1e-3)
+
+
+@pytest.mark.parametrize("chunk", [70, 10_000])
+def test_maximum_likelihood(spark, chunk):
+    named = {"A": walk(400, 21, 50.0, 0.6, 0.4), "B": walk(250, 22, 2e-6, 0.5, -0.5)}
+    df = frame(spark, named)
+    before = {(r.currency, r.p, r.d, r.q): r.loglik for r in A.arima_likelihood(df, max_p=1, max_d=1, max_q=1).collect()}
+    got = A.arima_mle(df, max_p=1, max_d=1, max_q=1, top=2, rounds=5, chunk_rows=chunk).collect()
+    assert len(got) == 4 and sum(g.best for g in got) == 2
+    for g in got:
+        y = named[g.currency]
+        mean = g.const / (1 - sum(g.ar)) if g.d == 0 else 0.0
+        top = exact_ll(y, g.d, mean, g.ar, g.ma)
+        assert g.loglik == pytest.approx(top, rel=1e-8, abs=1e-6)
+        assert g.loglik >= before[g.currency, g.p, g.d, g.q] - 1e-9
+        spread = float(np.std(y))
+        for shift in (-0.02, 0.02):                     # no better point nearby
+            near = [exact_ll(y, g.d, mean, [a + shift for a in g.ar], g.ma)] if g.ar else []
+            near += [exact_ll(y, g.d, mean, g.ar, [m + shift for m in g.ma])] if g.ma else []
+            near += [exact_ll(y, 0, mean + shift * spread * 5, g.ar, g.ma)] if g.d == 0 else []
+            assert all(top >= v - 1e-3 for v in near)
