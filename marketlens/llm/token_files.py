@@ -44,7 +44,7 @@ from .common import Memo, grouped
 KEEP, KEEP_CHARS = 450_000, 48      # runs a worker keeps in each of two generations
 GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
-SHARD_BYTES = 128 << 20      # bytes of text of a shard
+SHARD_BYTES = 32 << 20       # bytes of text of a shard
 PART_TOKENS = 1 << 22        # ids that are read back together
 
 # --- fixed values: Unicode white space, as the tokenizer's \s has it ------------
@@ -134,9 +134,9 @@ def _filesystem(uri: str):
 
 
 def shard_count(docs: DataFrame, text: str = "text") -> int:
-    """Shards of about ``SHARD_BYTES`` of text, and no fewer than a few for each core."""
+    """Shards of about ``SHARD_BYTES`` of text, and no fewer than the cluster has cores."""
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    return max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_id", text: str = "text",
