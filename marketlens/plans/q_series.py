@@ -153,8 +153,8 @@ def q_arima_residual_adf(spark, sf_dir):
 
 
 def _adf_rounded(a):
-    return _digits(rounded(a.withColumn("pvalue", F.round("pvalue", 7)).drop("adf_stat", "icbest")).join(
-        a.select(F.col("currency").alias("_c"), "adf_stat", "icbest"), F.col("currency").eqNullSafe(F.col("_c"))).drop("_c"), "adf_stat", "icbest")
+    crit = {c: F.round(c, Q.R) for c in ("crit_1pct", "crit_5pct", "crit_10pct")}
+    return _digits(a.withColumns({**crit, "pvalue": F.round("pvalue", 7)}), "adf_stat", "icbest")
 
 
 @register("adf", f"""WITH RECURSIVE {_series_cte()},
