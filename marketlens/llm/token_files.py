@@ -145,10 +145,11 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
     the manifest with each shard's ``base``."""
     spark = docs.sparkSession
     n = shards or shard_count(docs, text)
+    # equal rows, which may be a third of all, are told apart by their place and so dealt to several shards
     keys = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
     ranged = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                          F.xxhash64(F.col(text)).alias("tie"))
-              .repartitionByRange(n, *keys).sortWithinPartitions(*keys, F.col("text").asc_nulls_first())
+                          F.xxhash64(F.col(text)).alias("tie"), F.monotonically_increasing_id().alias("nth"))
+              .repartitionByRange(n, *keys, F.col("nth").asc()).sortWithinPartitions(*keys, F.col("text").asc_nulls_first())
               .select("doc_id", "text"))
 
     def write(batches):

@@ -104,3 +104,13 @@ def test_memo_and_groups():
     m.get(["c", "d"], make)
     assert m.get(["a", "e"], make) == ["A", "E"] and calls[-1] == ["e"]
     assert list(grouped([3, 3, 3, 1], 5)) == [(0, 2), (2, 4)] and list(grouped([], 5)) == []
+
+
+def test_equal_rows_are_dealt_to_several_shards(spark, tmp_path):
+    docs = spark.range(6000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "'the same text' AS text").repartition(4)
+    manifest = T.write_shards(docs, P.path("byte_bpe_50k.json"), str(tmp_path / "same"), shards=6)
+    sizes = [r.docs for r in manifest.collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 3000
+    got = sorted(r.start for r in T.read_documents(manifest, str(tmp_path / "same"), P.path("byte_bpe_50k.json")).collect())
+    step = got[1] - got[0]
+    assert got == list(range(0, 6000 * step, step))
