@@ -41,9 +41,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..session import scratch_path
 from .common import Memo, grouped
 
-KEEP, KEEP_CHARS = 450_000, 48      # runs a worker keeps in each of two generations
+KEEP, KEEP_CHARS = 400_000, 48      # runs a worker keeps in each of two generations
 GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
+SLICE_ROWS = 512             # texts that a worker holds
 SHARD_BYTES = 32 << 20       # bytes of text of a shard
 PART_TOKENS = 1 << 22        # ids that are read back together
 
@@ -162,9 +163,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
         mine = f".{uuid.uuid4().hex}"
         files: dict = {}
         docs_n = nulls = tokens = 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
             if not files:
                 files = {x: store.open_output_stream(p + mine) for x, p in names.items()}
                 end = np.asarray([end_id], dtype=enc.dtype).tobytes()
