@@ -41,11 +41,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..session import scratch_path
 from .common import Memo, grouped
 
-KEEP, KEEP_CHARS = 400_000, 48      # runs a worker keeps in each of two generations
+KEEP, KEEP_CHARS = 450_000, 48      # runs a worker keeps in each of two generations
 GROUP_CHARS = 400_000                # texts encoded together
 DOCS_OUT = 4096
 SLICE_ROWS = 512             # texts that a worker holds
-SHARD_BYTES = 32 << 20       # bytes of text of a shard
+SHARD_BYTES = 16 << 20       # bytes of text of a shard: a worker keeps most runs of so much text
 PART_TOKENS = 1 << 22        # ids that are read back together
 
 # --- fixed values: Unicode white space, as the tokenizer's \s has it ------------
