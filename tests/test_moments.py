@@ -208,3 +208,23 @@ def test_maximum_likelihood(spark, chunk):
             near += [exact_ll(y, g.d, mean, g.ar, [m + shift for m in g.ma])] if g.ma else []
             near += [exact_ll(y, 0, mean + shift * spread * 5, g.ar, g.ma)] if g.d == 0 else []
             assert all(top >= v - 1e-3 for v in near)
+
+
+def test_models_on_the_unit_circle_have_no_likelihood():
+    """A search may ask for points whose AR part is not stationary in double precision; they do not end the job."""
+    edge = [A.from_partial(np.array(u)) for u in ([1e9], [5.0, 1e9], [3e4] * 4, [1e200])]
+    models = [{"d": 0, "p": len(a), "q": 0, "const": 1.0, "ar": a.tolist(), "ma": []} for a in edge]
+    inside = {"d": 0, "p": 1, "q": 1, "const": 1.0, "ar": [0.5], "ma": [0.3]}
+    got = A.Models([*models, inside], 5)
+    alone = A.Models([inside], 5)
+    assert got.usable.tolist() == [False] * 4 + [True]
+    assert np.array_equal(got.first[-1], alone.first[0]) and got.mean[-1] == alone.mean[0] == 2.0
+    assert np.isfinite(got.first).all() and np.isfinite(got.mean).all()
+
+
+def test_climb_leaves_points_without_a_value():
+    c = A.Climb([0.0, 1.0])
+    f = lambda x: -(x[0] - 3) ** 2 - x[1] ** 2 if x[1] <= 1.0 else np.nan
+    for _ in range(40):
+        c.tell(np.array([f(p) for p in c.points()]))
+    assert np.allclose(c.theta, [3, 0], atol=1e-2) and np.isfinite(c.value)
