@@ -228,3 +228,15 @@ def test_climb_leaves_points_without_a_value():
     for _ in range(40):
         c.tell(np.array([f(p) for p in c.points()]))
     assert np.allclose(c.theta, [3, 0], atol=1e-2) and np.isfinite(c.value)
+
+
+def test_models_without_coefficients_are_fitted(spark):
+    """A random walk's best order is (0, 1, 0), which has nothing to search."""
+    r = np.random.default_rng(4)
+    named = {"A": 100 + np.cumsum(r.normal(size=120)), "B": 5 + np.cumsum(r.normal(size=90)) * 1e-3}
+    got = A.arima_mle(frame(spark, named), max_p=1, max_d=1, max_q=0, rounds=2).collect()
+    plain = [g for g in got if (g.p, g.d, g.q) == (0, 1, 0)]
+    assert {g.currency for g in plain} == {"A", "B"}
+    for g in plain:
+        assert g.loglik == pytest.approx(exact_ll(named[g.currency], 1, 0.0, [], []), rel=1e-8)
+        assert list(g.ar) == list(g.ma) == [] and g.const == 0
