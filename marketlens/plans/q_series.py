@@ -236,8 +236,8 @@ def q_arima_likelihood(spark, sf_dir):
 
 @register("arima_mle", None)
 def q_arima_mle(spark, sf_dir):
-    """Each symbol's three best ARIMA orders, fitted by maximum exact likelihood."""
-    return A.arima_mle(saved_trade_volume(spark, sf_dir), top=3, rounds=4)
+    """Every accepted ARIMA order of each symbol, fitted by maximum exact likelihood; best order by it."""
+    return A.arima_mle(saved_trade_volume(spark, sf_dir))
 
 
 @register("arima_forecast", f"""WITH RECURSIVE {_series_cte()},

@@ -240,3 +240,35 @@ def test_models_without_coefficients_are_fitted(spark):
     for g in plain:
         assert g.loglik == pytest.approx(exact_ll(named[g.currency], 1, 0.0, [], []), rel=1e-8)
         assert list(g.ar) == list(g.ma) == [] and g.const == 0
+
+
+def test_every_accepted_order_is_climbed_to_a_maximum(spark, monkeypatch):
+    """All orders of the grid, and no search ends before its top."""
+    monkeypatch.setattr(A, "SLICE", 3)
+    y = walk(150, 23, 10.0, 0.6, 0.3)
+    df = frame(spark, {"A": y, None: y[:90]})
+    before = {(r.currency, r.p, r.d, r.q): r.loglik for r in A.arima_likelihood(df, max_p=2, max_d=1, max_q=1).collect()}
+    got = {(r.currency, r.p, r.d, r.q): r for r in A.arima_mle(df, max_p=2, max_d=1, max_q=1).collect()}
+    assert got.keys() == before.keys() and len(got) > 8
+    for (k, p, d, q), g in got.items():
+        own = y if k == "A" else y[:90]
+        mean = g.const / (1 - sum(g.ar)) if d == 0 else 0.0
+        assert g.loglik == pytest.approx(exact_ll(own, d, mean, g.ar, g.ma), rel=1e-8, abs=1e-6)
+        assert g.loglik >= before[k, p, d, q] - 1e-9
+        # a search from here gains nothing
+        theta = A._start({"p": p, "d": d, "q": q, "const": g.const, "ar": g.ar, "ma": g.ma})
+        c = A.Climb(theta)
+        for _ in range(30):
+            fits = [A._model({"p": p, "d": d, "q": q}, x) for x in c.points()]
+            c.tell(np.array([exact_ll(own, d, m["const"] / (1 - sum(m["ar"])) if d == 0 else 0.0, m["ar"], m["ma"]) for m in fits]))
+        assert c.settled and c.value <= g.loglik + 1e-3
+
+
+def test_climb_goes_on_until_it_settles():
+    """A long curved ridge takes more than a few rounds."""
+    f = lambda x: -((1 - x[0]) ** 2 + 100 * (x[1] - x[0] ** 2) ** 2)
+    c, passes = A.Climb([-1.2, 1.0]), 0
+    while not c.settled:
+        c.tell(np.array([f(p) for p in c.points()]))
+        passes += 1
+    assert 8 < passes < 100 and np.allclose(c.theta, 1, atol=1e-2)
