@@ -272,3 +272,12 @@ def test_climb_goes_on_until_it_settles():
         c.tell(np.array([f(p) for p in c.points()]))
         passes += 1
     assert 8 < passes < 100 and np.allclose(c.theta, 1, atol=1e-2)
+
+
+def test_one_walk_equals_the_chunks():
+    r = np.random.default_rng(6)
+    models = A.Models([{"d": d, "p": len(ar), "q": len(ma), "const": 0.3 * (d == 0), "ar": ar, "ma": ma}
+                       for d in range(3) for ar, ma in (([], []), ([0.9], [-0.999]), ([0.5, -0.3], [0.4]), ([], [0.2, 0.1, 0.3]))], 4)
+    y = np.cumsum(r.normal(size=300))
+    for n in (1, 2, 40, 300):
+        assert np.allclose(A.plain_sums(y[:n], models), A.carry([A.chunk_maps(y[:n], 0, 0, models)]), rtol=1e-9)
